@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from refmine.llm.leakage import leaked_items
 from refmine.llm.splitting import split_oversized
 from refmine.llm.tokenizer import encode_corpus, vocabulary_path
 from refmine.session import table
@@ -14,6 +15,21 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_corpus(docs, "text", vocabulary_path()).select("doc_id", "ids")
 
 
+def p8_candidates(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "eval_items")
+    return leaked_items(docs, items, "doc_id", "text", "item_id", "text", "gold_labels")
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p8_candidates(spark, folder).where("run >= least(12, words)").select("doc_id", "item_id")
+
+
+def p8_paraphrased(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold no whole run of an item but most of its words in order."""
+    rows = p8_candidates(spark, folder).where("run < least(12, words) AND lcs >= 0.75 * least(24, words)")
+    return rows.select("doc_id", "item_id", "words", "run", "lcs", "answer")
+
+
 def p9_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return split_oversized(table(spark, folder, "documents"), "doc_id", "text", vocabulary_path())
 
@@ -22,6 +38,6 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return p9_pieces(spark, folder).where("piece = 1").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p7_ids, p9_found, p9_pieces)}
+QUERIES = {f.__name__: f for f in (p7_ids, p8_found, p8_paraphrased, p9_found, p9_pieces)}
 
 ORACLE: dict[str, str] = {}
