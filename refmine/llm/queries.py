@@ -5,11 +5,63 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from refmine.llm.leakage import leaked_items
+from refmine.llm.ledger import CopyLedger, canonical_items, canonical_text, in_batches, key_digest
 from refmine.llm.splitting import split_oversized
+from refmine.llm.survivors import surviving_fields
+from refmine.llm.terms import term_frequencies
 from refmine.llm.tokenizer import encode_corpus, vocabulary_path
 from refmine.session import table
 
 
+#: Batches in which the ledger takes in the tables.
+BATCHES = 3
+
+
+def _copy_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """(scope, key, id, at) of both tables; rows that aren't compared have a null key."""
+    e = table(spark, folder, "extraction_results")
+    items = key_digest(F.col("citing_paper_id"), F.col("cited_paper_id"), canonical_items("extracted_datasets"))
+    a = table(spark, folder, "analyzed_datasets")
+    return (
+        e.select(F.lit("extraction_results").alias("scope"), items.alias("key"), F.col("extraction_id").alias("id"), F.col("ingested_at").alias("at"))
+        .unionByName(a.select(F.lit("analyzed_datasets").alias("scope"), key_digest(canonical_text("dataset")).alias("key"), F.col("row_id").alias("id"), F.col("ingested_at").alias("at")))
+        .where("key IS NOT NULL")
+    )
+
+
+def _ledger(rows: DataFrame) -> CopyLedger:
+    ledger = CopyLedger(rows.sparkSession)
+    for batch in in_batches(rows, "at", BATCHES):
+        ledger.update(batch)
+    return ledger
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _copy_keys(spark, folder)
+    return _ledger(rows).copies(rows).select(F.col("scope").alias("table_name"), "first_id", "copy_id")
+
+
+def p2_records(spark: SparkSession, folder: str) -> DataFrame:
+    """One row a distinct record, with its number of copies."""
+    return _ledger(_copy_keys(spark, folder)).entries.select(F.col("scope").alias("table_name"), "first_id", "copies")
+
+
+def _terms(spark: SparkSession, folder: str) -> DataFrame:
+    return term_frequencies(table(spark, folder, "extraction_results"), ["extracted_datasets", "resource_type"])
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _terms(spark, folder).where("mark IS NOT NULL").select("field_name", "term", "mark")
+
+
+def p5_terms(spark: SparkSession, folder: str) -> DataFrame:
+    return _terms(spark, folder).select("field_name", "term", "occurrences", "records")
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return surviving_fields(table(spark, folder, "merged_datasets"), table(spark, folder, "extraction_results"))
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return encode_corpus(docs, "text", vocabulary_path()).select("doc_id", "ids")
@@ -38,6 +90,39 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return p9_pieces(spark, folder).where("piece = 1").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p7_ids, p8_found, p8_paraphrased, p9_found, p9_pieces)}
-
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (p2_found, p2_records, p5_found, p5_terms, p6_found, p7_ids, p8_found, p8_paraphrased, p9_found, p9_pieces)}
+
+_BARE = r"lower(regexp_replace({}, '[^\p{{L}}\p{{N}}]+', '', 'g'))"
+_KEYS = f"""
+WITH e AS (
+  SELECT extraction_id AS id, citing_paper_id AS a, cited_paper_id AS b,
+    list_sort(list_distinct(list_filter(list_transform(extracted_datasets, lambda x: {_BARE.format("x")}), lambda x: x <> ''))) AS k
+  FROM extraction_results WHERE citing_paper_id IS NOT NULL AND cited_paper_id IS NOT NULL
+), keys AS (
+  SELECT 'extraction_results' AS table_name, id, a || '/' || b || '/' || array_to_string(k, chr(31)) AS k FROM e WHERE len(k) > 0
+  UNION ALL
+  SELECT 'analyzed_datasets', row_id, {_BARE.format("dataset")} FROM analyzed_datasets WHERE {_BARE.format("dataset")} <> ''
+)"""
+_WHITE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+_TERMS = f"""
+WITH i AS (
+  SELECT extraction_id AS id, 'extracted_datasets' AS field_name, unnest(extracted_datasets) AS x FROM extraction_results
+  UNION ALL
+  SELECT extraction_id, 'resource_type', unnest(resource_type) FROM extraction_results
+), t AS (
+  SELECT id, field_name, trim(regexp_replace(lower(x), '{_WHITE}+', ' ', 'g')) AS term FROM i
+), n AS (
+  SELECT field_name, term, count(*) AS occurrences, count(DISTINCT id) AS records FROM t WHERE term <> '' GROUP BY ALL
+), h AS (
+  SELECT field_name, count(DISTINCT id) AS holding FROM t WHERE term <> '' GROUP BY ALL
+)"""
+
+ORACLE: dict[str, str] = {
+    "p2_found": _KEYS + """
+SELECT * FROM (SELECT table_name, min(id) OVER (PARTITION BY table_name, k) AS first_id, id AS copy_id FROM keys) WHERE first_id <> copy_id""",
+    "p2_records": _KEYS + " SELECT table_name, min(id) AS first_id, count(*) AS copies FROM keys GROUP BY table_name, k",
+    "p5_found": _TERMS + """
+SELECT field_name, term, CASE WHEN records < 3 THEN 'rare' ELSE 'common' END AS mark FROM n JOIN h USING (field_name)
+WHERE records < 3 OR records > 0.1 * holding""",
+    "p5_terms": _TERMS + " SELECT * FROM n",
+}
