@@ -374,13 +374,14 @@ def ingest_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 @query("SELECT user_id, max(event_id) AS event_id, max(ts) AS ts FROM events WHERE user_id IS NOT NULL GROUP BY user_id")
 def ingest_incremental(spark: SparkSession, folder: str) -> DataFrame:
     """Two deliveries by the streaming file source, then the latest row a user."""
-    base, schema = f"{shared_dir(spark)}/{_unique('incremental')}", "event_id bigint, user_id bigint, ts timestamp"
-    events = table(spark, folder, "events").select("event_id", "user_id", "ts")
+    base, schema = f"{shared_dir(spark)}/{_unique('incremental')}", "event_id bigint, user_id bigint, micros bigint"
+    events = table(spark, folder, "events").select("event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"))
     middle = events.agg(F.percentile_approx("event_id", 0.5)).first()[0]
     for part in (events.where(F.col("event_id") <= middle), events.where(F.col("event_id") > middle)):
-        part.write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(base + "/in")
+        part.write.mode("append").json(base + "/in")
         ingest_new_files(spark, base + "/in", base + "/table", base + "/seen", schema, "*.json")
-    return latest_by_key(spark.read.parquet(base + "/table").select("event_id", "user_id", "ts"), "user_id", "event_id").select("user_id", "event_id", "ts")
+    latest = latest_by_key(spark.read.parquet(base + "/table").select("event_id", "user_id", "micros"), "user_id", "event_id")
+    return latest.select("user_id", "event_id", F.timestamp_micros("micros").alias("ts"))
 
 
 @query("SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
