@@ -29,6 +29,18 @@ ABOVE = {
 SPARK_TYPES = {"boolean": "boolean", "integer": "bigint", "decimal": "double", "array": "string", "object": "string", "string": "string"}
 
 
+#: Closes a line when it is parsed; a line can't hold it by chance.
+_END = "end-of-line-9f1c7be2"
+
+
+def whole_object(raw: Column | str) -> Column:
+    """The line as VARIANT if it is one whole JSON object, else null (the parser alone would pass over text after it)."""
+    raw = F.col(raw) if isinstance(raw, str) else raw
+    pair = F.try_parse_json(F.concat(F.lit("["), raw, F.lit(f',"{_END}"]')))
+    v = F.try_variant_get(pair, "$[0]", "variant")
+    return F.when((F.try_variant_get(pair, "$[1]", "string") == _END) & F.schema_of_variant(v).startswith("OBJECT"), v)
+
+
 def _values(df: DataFrame, keep: list[str], raw: str) -> DataFrame:
     """(keep..., _field, _type, _text): one row a top-level field of each whole JSON object.
 
@@ -36,7 +48,7 @@ def _values(df: DataFrame, keep: list[str], raw: str) -> DataFrame:
     in compact form with sorted keys. Lines that aren't one whole object (also those that
     name a field twice) give nothing.
     """
-    parsed = df.select(*[F.col(k) for k in keep], F.try_parse_json(raw).alias("_v"), F.from_json(raw, "map<string,string>").alias("_m")).where(F.col("_v").isNotNull())
+    parsed = df.select(*[F.col(k) for k in keep], whole_object(raw).alias("_v"), F.from_json(raw, "map<string,string>").alias("_m")).where(F.col("_v").isNotNull())
     exploded = parsed.lateralJoin(parsed.sparkSession.tvf.variant_explode(F.col("_v").outer())).where(F.col("key").isNotNull())
     kind = F.schema_of_variant("value")
     text = F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.to_json("value")).otherwise(F.try_element_at("_m", F.col("key")))
@@ -83,7 +95,7 @@ def schema_changes(df: DataFrame, feed: str = "feed", seq: str = "file_seq", edg
     old_files = files.join(changed, ["feed", "seq"]).select("feed", F.col("before").alias("at"), "seq", F.lit(True).alias("older"))
     new_files = changed.select("feed", F.col("seq").alias("at"), "seq", F.lit(False).alias("older"))
     wanted = gone.select("feed", "seq", "field", F.lit(True).alias("older")).unionByName(fresh.select("feed", "seq", "field", F.lit(False).alias("older")))
-    edge_of = F.variant_get(F.try_parse_json("raw"), "$." + edge, "string")
+    edge_of = F.try_variant_get(whole_object("raw"), "$." + edge, "string")
     lines = rows.withColumnRenamed("seq", "at").join(old_files.unionByName(new_files), ["feed", "at"]).withColumn("edge", edge_of).where("edge IS NOT NULL")
     values = _values(lines, ["feed", "seq", "older", "edge"], "raw").where("_text IS NOT NULL").withColumnRenamed("_field", "field")
     states = (
@@ -174,14 +186,17 @@ def unified(df: DataFrame, keep: list[str], schema: DataFrame, targets: Mapping[
         to = targets.get(column, SPARK_TYPES[r["type"] or "string"])
         tries = []
         for n in r["names"]:
-            p = "$['" + n.replace("'", "\\'") + "']"
-            tries.append(F.try_variant_get(v, p, to))
+            # A path can't name a field with both kinds of quotes: such a field is looked up in a map.
+            odd = "'" in n and '"' in n
+            mark = '"' if "'" in n else "'"
+            at, p = (F.try_element_at(F.try_variant_get(v, "$", "map<string,variant>"), F.lit(n)), "$") if odd else (v, f"$[{mark}{n}{mark}]")
+            tries.append(F.try_variant_get(at, p, to))
             if to.startswith("array<"):
-                tries.append(F.when(F.try_variant_get(v, p, to[6:-1]).isNotNull(), F.array(F.try_variant_get(v, p, to[6:-1]))))
+                tries.append(F.when(F.try_variant_get(at, p, to[6:-1]).isNotNull(), F.array(F.try_variant_get(at, p, to[6:-1]))))
             elif to != "string":
-                tries += [F.try_variant_get(v, p + ".id", to), F.try_variant_get(v, p + "[0]", to)]
+                tries += [F.try_variant_get(at, p + ".id", to), F.try_variant_get(at, p + "[0]", to)]
         out.append(F.coalesce(*tries).alias(column))
-    parsed = df.select(*keep, F.try_parse_json(raw).alias("_v")).where(F.schema_of_variant("_v").startswith("OBJECT"))
+    parsed = df.select(*keep, whole_object(raw).alias("_v")).where(F.col("_v").isNotNull())
     names = F.array(*[F.lit(n) for n in used]) if used else F.array().cast("array<string>")
     rest = F.map_filter(F.try_variant_get(v, "$", "map<string,string>"), lambda k, _: ~F.array_contains(names, k))
     return parsed.select(*keep, *out, rest.alias("rest"))
