@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from refmine.session import materialize, ship
 
@@ -282,6 +283,7 @@ def _search_block(source: DataFrame, index: ItemIndex, rank: int, loss: float, g
         else:
             frequency[r["word"]] = r["n"]
     idf = (np.log((documents + 1) / (frequency + 1)) + 1).astype(np.float32)
+    item_arrow = to_arrow_type(item_type)
     latent = sc.broadcast(_Latent(index, idf, _basis(found, index, idf, rank, seed), loss))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,7 +301,7 @@ def _search_block(source: DataFrame, index: ItemIndex, rank: int, loss: float, g
                 if not rows:
                     continue
                 place, item, run, lcs, cosine, answer = zip(*rows)
-                ids = pa.array([tool.index.ids[i] for i in item])
+                ids = pa.array([tool.index.ids[i] for i in item], item_arrow)
                 words = pa.array([len(tool.index.words[i]) for i in item], pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(pa.array(place)), ids, words, pa.array(run, pa.int32()), pa.array(lcs, pa.int32()), pa.array(cosine, pa.float64()), pa.array(answer)],
