@@ -2,7 +2,8 @@
 
 For each text a dynamic programme over its boundary positions picks the cuts: it minimises
 the penalties of the cuts (paragraph < line < sentence < word < other) plus the imbalance
-of the pieces' sizes, subject to the limit and to the overlap that each piece repeats.
+of the pieces' sizes, subject to the limit and to the overlap that each piece repeats. A
+piece brings at least an eighth of the limit of new text wherever the boundaries allow it.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ PARAGRAPH, LINE, SENTENCE, WORD, SLICE, INSIDE = "paragraph", "line", "sentence"
 #: What a cut of each kind costs; an imbalance of the whole limit costs 1.
 PENALTY = {PARAGRAPH: 0.0, LINE: 0.05, SENTENCE: 0.15, WORD: 0.6, SLICE: 1.2, INSIDE: 2.0}
 _KINDS = list(PENALTY)
+_COSTS = np.array(list(PENALTY.values()))
 _PARAGRAPH = re.compile(r"(?:\r\n|[\n\r ])[^\S\n\r ]*(?:\r\n|[\n\r ])\s*| \s*")
 _LINE = re.compile(r"[\n\r \x85]\s*")
 _SENTENCE = re.compile(r"[.!?…]++[\"'”’»)\]]*+(?=\s)|[。！？]++[」』”’）)]*+")
@@ -37,7 +39,7 @@ def _words(text: str, p: np.ndarray) -> np.ndarray:
 
 
 def _boundaries(text: str, starts: list[int], ids: list[tuple], cap: int, merger: PairMerger):
-    """Candidate cuts (tokens before, characters before, kind number), ascending, from 0 to the end.
+    """Candidate cuts as arrays (tokens before, characters before, kind number), ascending, from 0 to the end.
 
     Paragraph, line and sentence ends always; word ends, slice ends, and places inside a
     slice only where the better ones lie more than ``cap`` tokens apart.
@@ -70,10 +72,11 @@ def _boundaries(text: str, starts: list[int], ids: list[tuple], cap: int, merger
     for lo, hi in list(gaps(chosen)):  # neighbours now: one slice
         a, b = _inside(text[p[lo] : p[hi]], ids[lo], merger)
         inner[int(lo)] = a + k[lo], b + p[lo]
-        extra += [(t, c, 5) for t, c in zip(inner[int(lo)][0].tolist(), inner[int(lo)][1].tolist())]
-    out = [(int(k[i]), int(p[i]), int(kind[i])) for i in chosen] + extra
-    out.sort()
-    return out, k, p, inner, word
+        extra.append(inner[int(lo)])
+    t, c = (np.concatenate([x[chosen], *[e[n] for e in extra]]) for n, x in enumerate((k, p)))
+    kinds = np.concatenate([kind[chosen], np.full(len(t) - len(chosen), 5, np.int8)])
+    order = np.argsort(t, kind="stable")
+    return t[order], c[order], kinds[order], k, p, inner, word
 
 
 def _inside(piece: str, ids: tuple, merger: PairMerger) -> tuple[np.ndarray, np.ndarray]:
@@ -88,41 +91,67 @@ def _inside(piece: str, ids: tuple, merger: PairMerger) -> tuple[np.ndarray, np.
     return a[keep] + 1, b[keep] + 1
 
 
-def _restarts(cuts: list, k: np.ndarray, p: np.ndarray, inner: dict, word: np.ndarray, text: str, ids: list, overlap: int, merger: PairMerger) -> list[tuple[int, int]]:
+def _restarts(t: np.ndarray, c: np.ndarray, k: np.ndarray, p: np.ndarray, inner: dict, word: np.ndarray, text: str, ids: list, overlap: int, merger: PairMerger) -> tuple[np.ndarray, np.ndarray]:
     """For each cut the place (tokens, characters) where the next piece begins: about ``overlap`` tokens before it."""
-    t = np.array([x[0] for x in cuts], np.int64)
+    if overlap <= 0:
+        return t, c
     want = t - overlap
 
     def nearest(places: np.ndarray) -> np.ndarray:
-        at = np.clip(np.searchsorted(places, want), 1, max(1, len(places) - 1))
         if len(places) < 2:
             return np.zeros(len(want), np.int64)
+        at = np.clip(np.searchsorted(places, want), 1, len(places) - 1)
         return np.where(want - places[at - 1] <= places[at] - want, at - 1, at)
 
     words = np.flatnonzero(word)
     by_word, by_slice = words[nearest(k[words])], nearest(k)
     fits = [(np.abs(k[i] - want) <= _SLACK) & (k[i] < t) for i in (by_word, by_slice)]
     pick = np.where(fits[0], by_word, by_slice)
-    ok = fits[0] | fits[1]
-    out = []
-    for n, (tokens, chars, _) in enumerate(cuts):
-        if overlap <= 0:
-            out.append((tokens, chars))
-        elif want[n] <= 0:
-            out.append((0, 0))
-        elif ok[n]:
-            out.append((int(k[pick[n]]), int(p[pick[n]])))
-        else:  # within a long slice; no overlap where no token and character end together nearby
-            i = int(np.searchsorted(k, want[n], "right") - 1)
-            if i not in inner:
-                a, b = _inside(text[p[i] : p[i + 1]], ids[i], merger)
-                inner[i] = a + k[i], b + p[i]
-            a, b = inner[i]
-            at = int(np.searchsorted(a, want[n]))
-            near = [m for m in (at - 1, at) if 0 <= m < len(a) and a[m] < tokens and abs(a[m] - want[n]) <= _SLACK]
-            m = min(near, key=lambda m: abs(a[m] - want[n]), default=None)
-            out.append((tokens, chars) if m is None else (int(a[m]), int(b[m])))
-    return out
+    early = want <= 0
+    tokens, chars = np.where(early, 0, k[pick]), np.where(early, 0, p[pick])
+    for n in np.flatnonzero(~(fits[0] | fits[1] | early)):
+        # Within a long slice; no overlap where no token and character end together nearby.
+        i = int(np.searchsorted(k, want[n], "right") - 1)
+        if i not in inner:
+            a, b = _inside(text[p[i] : p[i + 1]], ids[i], merger)
+            inner[i] = a + k[i], b + p[i]
+        a, b = inner[i]
+        at = int(np.searchsorted(a, want[n]))
+        near = [m for m in (at - 1, at) if 0 <= m < len(a) and a[m] < t[n] and abs(a[m] - want[n]) <= _SLACK]
+        m = min(near, key=lambda m: abs(a[m] - want[n]), default=None)
+        tokens[n], chars[n] = (t[n], c[n]) if m is None else (a[m], b[m])
+    # Later cuts restart no earlier.
+    top = np.maximum.accumulate(np.where(np.maximum.accumulate(tokens) == tokens, np.arange(len(tokens)), 0))
+    return tokens[top], chars[top]
+
+
+def _best_cuts(t: np.ndarray, s: np.ndarray, penalty: np.ndarray, limit: int, target: float, least: int) -> list[int] | None:
+    """The cuts of least cost, each ``least`` tokens or more after the one before; null if there are none.
+
+    Cuts within ``least`` tokens of each other can't follow one another, so such a run of
+    cuts is solved at once, against all cuts before it.
+    """
+    cost, came = np.full(len(t), np.inf), np.full(len(t), -1, np.int64)
+    cost[0], at = 0.0, 1
+    while at < len(t):
+        end = max(at + 1, int(np.searchsorted(t, t[at] + least, "left")))
+        lo, hi = int(np.searchsorted(s, t[at] - limit, "left")), int(np.searchsorted(t, t[end - 1] - least, "right"))
+        hi = min(hi, at)
+        if lo < hi:
+            size = t[at:end, None] - s[None, lo:hi]
+            sums = cost[None, lo:hi] + ((size - target) / limit) ** 2
+            sums[(size > limit) | (t[at:end, None] - t[None, lo:hi] < least)] = np.inf
+            best = np.argmin(sums, axis=1)
+            cost[at:end] = sums[np.arange(end - at), best] + penalty[at:end]
+            came[at:end] = best + lo
+        at = end
+    if not np.isfinite(cost[-1]):
+        return None
+    path, j = [], len(t) - 1
+    while j > 0:
+        path.append(j)
+        j = int(came[j])
+    return path[::-1]
 
 
 def split_text(text: str, merger: PairMerger, limit: int, overlap: int, slices: tuple[list[int], list[tuple]] | None = None) -> list[dict]:
@@ -137,37 +166,19 @@ def split_text(text: str, merger: PairMerger, limit: int, overlap: int, slices:
     if total <= limit:
         return [{"piece": 1, "start": 0, "stop": len(text), "tokens": total, "overlap": 0, "cut": "end"}]
     cap = limit - overlap - _SLACK
-    cuts, k, p, inner, word = _boundaries(text, starts, ids, cap, merger)
-    again = _restarts(cuts, k, p, inner, word, text, ids, overlap, merger)
-    t = np.array([c[0] for c in cuts], np.int64)
-    s = np.array([a[0] for a in again], np.int64)
-    s[0] = 0
-    penalty = np.array([PENALTY[_KINDS[c[2]]] for c in cuts])
+    t, c, kinds, k, p, inner, word = _boundaries(text, starts, ids, cap, merger)
+    s, back = _restarts(t, c, k, p, inner, word, text, ids, overlap, merger)
+    penalty = _COSTS[kinds]
     penalty[-1] = 0.0
     count = max(2, -(-(total - overlap) // (limit - overlap)))
     target = (total + (count - 1) * overlap) / count
-    cost, came = np.full(len(t), np.inf), np.full(len(t), -1, np.int64)
-    cost[0] = 0.0
-    first = 0
-    for j in range(1, len(t)):
-        while s[first] < t[j] - limit:  # restarts ascend with the cuts
-            first += 1
-        if first >= j:
-            continue
-        size = (t[j] - s[first:j]) / limit
-        total_cost = cost[first:j] + (size - target / limit) ** 2
-        b = int(np.argmin(total_cost))
-        cost[j], came[j] = total_cost[b] + penalty[j], first + b
-    if not np.isfinite(cost[-1]):
+    path = _best_cuts(t, s, penalty, limit, target, limit // 8) or _best_cuts(t, s, penalty, limit, target, 1)
+    if path is None:
         return _by_bytes(text, merger, limit, overlap)
-    path, j = [], len(t) - 1
-    while j > 0:
-        path.append(j)
-        j = int(came[j])
     out, before, stop_before = [], 0, 0
-    for n, j in enumerate(reversed(path)):
-        start, stop = (0 if n == 0 else again[before][1]), cuts[j][1]
-        out.append({"piece": n + 1, "start": start, "stop": stop, "tokens": int(t[j] - s[before]), "overlap": stop_before - start, "cut": "end" if stop == len(text) else _KINDS[cuts[j][2]]})
+    for n, j in enumerate(path):
+        start, stop = (0 if n == 0 else int(back[before])), int(c[j])
+        out.append({"piece": n + 1, "start": start, "stop": stop, "tokens": int(t[j] - (s[before] if n else 0)), "overlap": stop_before - start, "cut": "end" if stop == len(text) else _KINDS[kinds[j]]})
         before, stop_before = j, stop
     # White space at a piece's end can merge otherwise than before more text: count such pieces again.
     loose = [x for x in out[:-1] if text[x["stop"] - 1].isspace()]
