@@ -156,5 +156,7 @@ def term_frequencies(df: DataFrame, fields: Sequence[str], rare_below: int = 3,
     holding = leaves.where("prefix IS NULL").groupBy("field").agg(F.sum(F.col("records")[0]).alias("holding"))  # one row a field
     names = F.array(*[F.lit(f) for f in fields])
     marked = merged.join(F.broadcast(holding), "field")
-    mark = F.when(F.col("records") < rare_below, "rare").when(F.col("records") > common_above * F.col("holding"), "common")
+    # Exact: a tenth is no binary fraction.
+    bound = F.lit(str(common_above)).cast("decimal(10,8)") * F.col("holding").cast("decimal(20,0)")
+    mark = F.when(F.col("records") < rare_below, "rare").when(F.col("records").cast("decimal(20,0)") > bound, "common")
     return marked.select(names[F.col("field")].alias("field_name"), "term", "occurrences", "records", "holding", mark.alias("mark"))
