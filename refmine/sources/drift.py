@@ -33,31 +33,36 @@ SPARK_TYPES = {"boolean": "boolean", "integer": "bigint", "decimal": "double", "
 _END = "end-of-line-9f1c7be2"
 
 
-def whole_object(raw: Column | str) -> Column:
-    """The line as VARIANT if it is one whole JSON object, else null (the parser alone would pass over text after it)."""
-    raw = F.col(raw) if isinstance(raw, str) else raw
-    pair = F.try_parse_json(F.concat(F.lit("["), raw, F.lit(f',"{_END}"]')))
-    v = F.try_variant_get(pair, "$[0]", "variant")
-    return F.when((F.try_variant_get(pair, "$[1]", "string") == _END) & F.schema_of_variant(v).startswith("OBJECT"), v)
+def with_objects(df: DataFrame, keep: list[str], raw: str) -> DataFrame:
+    """(keep..., _raw, _v): each line with its VARIANT, null unless it is one whole JSON value.
+
+    The parser alone would pass over text after the value. The pair is a column of its own
+    so that a line is parsed once.
+    """
+    pairs = df.select(*keep, F.col(raw).alias("_raw"), F.try_parse_json(F.concat(F.lit("["), F.col(raw), F.lit(f',"{_END}"]'))).alias("_p"))
+    return pairs.select(*keep, "_raw", F.when(F.try_variant_get("_p", "$[1]", "string") == _END, F.try_variant_get("_p", "$[0]", "variant")).alias("_v"))
 
 
-def _values(df: DataFrame, keep: list[str], raw: str) -> DataFrame:
-    """(keep..., _field, _type, _text): one row a top-level field of each whole JSON object.
+def _values(df: DataFrame, keep: list[str], raw: str, edge: str | None = None) -> DataFrame:
+    """(keep..., [_edge,] _field, _type, _text): one row a top-level field of each whole JSON object.
 
     _type is null for a JSON null. _text is a scalar as it was written, an array or object
-    in compact form with sorted keys. Lines that aren't one whole object (also those that
-    name a field twice) give nothing.
+    in compact form with sorted keys; _edge is the text of the field ``edge``. Lines that
+    aren't one whole object (also those that name a field twice) give nothing.
     """
-    parsed = df.select(*[F.col(k) for k in keep], whole_object(raw).alias("_v"), F.from_json(raw, "map<string,string>").alias("_m")).where(F.col("_v").isNotNull())
+    parsed = with_objects(df, keep, raw).select(*keep, F.from_json("_raw", "map<string,string>").alias("_m"), *([F.try_variant_get("_v", "$." + edge, "string").alias("_edge")] if edge else []), "_v")
     exploded = parsed.lateralJoin(parsed.sparkSession.tvf.variant_explode(F.col("_v").outer())).where(F.col("key").isNotNull())
     kind = F.schema_of_variant("value")
-    text = F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.to_json("value")).otherwise(F.try_element_at("_m", F.col("key")))
-    number = kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+    written = F.try_element_at("_m", F.col("key"))
+    rows = exploded.select(*keep, *(["_edge"] if edge else []), F.col("key").alias("_field"), kind.alias("_kind"), written.alias("_written"), F.col("value").alias("_value"))
+    nested = F.col("_kind").startswith("OBJECT") | F.col("_kind").startswith("ARRAY")
+    number = F.col("_kind").rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
     typ = (
-        F.when(kind == "STRING", "string").when(kind == "BOOLEAN", "boolean").when(kind.startswith("ARRAY"), "array").when(kind.startswith("OBJECT"), "object")
-        .when(number & F.try_element_at("_m", F.col("key")).rlike("[.eE]"), "decimal").when(number, "integer")
+        F.when(F.col("_kind") == "STRING", "string").when(F.col("_kind") == "BOOLEAN", "boolean").when(F.col("_kind").startswith("ARRAY"), "array").when(F.col("_kind").startswith("OBJECT"), "object")
+        .when(number & F.col("_written").rlike("[.eE]"), "decimal").when(number, "integer")
     )
-    return exploded.select(*keep, F.col("key").alias("_field"), typ.alias("_type"), F.when(kind != "VOID", text).alias("_text"))
+    text = F.when(nested, F.to_json("_value")).otherwise(F.col("_written"))
+    return rows.select(*keep, *(["_edge"] if edge else []), "_field", typ.alias("_type"), F.when(F.col("_kind") != "VOID", text).alias("_text"))
 
 
 def file_schemas(df: DataFrame, feed: str = "feed", seq: str = "file_seq", raw: str = "raw") -> DataFrame:
@@ -92,15 +97,15 @@ def schema_changes(df: DataFrame, feed: str = "feed", seq: str = "file_seq", edg
     gone, fresh = both.where("in_new IS NULL").select("feed", "seq", "field", "old_type"), both.where("in_old IS NULL").select("feed", "seq", "field", "new_type")
     # Only files in which something went and something came can hold a renaming.
     changed = gone.select("feed", "seq").distinct().join(fresh.select("feed", "seq").distinct(), ["feed", "seq"])
-    old_files = files.join(changed, ["feed", "seq"]).select("feed", F.col("before").alias("at"), "seq", F.lit(True).alias("older"))
-    new_files = changed.select("feed", F.col("seq").alias("at"), "seq", F.lit(False).alias("older"))
-    wanted = gone.select("feed", "seq", "field", F.lit(True).alias("older")).unionByName(fresh.select("feed", "seq", "field", F.lit(False).alias("older")))
-    edge_of = F.try_variant_get(whole_object("raw"), "$." + edge, "string")
-    lines = rows.withColumnRenamed("seq", "at").join(old_files.unionByName(new_files), ["feed", "at"]).withColumn("edge", edge_of).where("edge IS NOT NULL")
-    values = _values(lines, ["feed", "seq", "older", "edge"], "raw").where("_text IS NOT NULL").withColumnRenamed("_field", "field")
+    wanted = (
+        gone.join(files, ["feed", "seq"]).select("feed", "seq", F.col("before").alias("at"), "field", F.lit(True).alias("older"))
+        .unionByName(fresh.select("feed", "seq", F.col("seq").alias("at"), "field", F.lit(False).alias("older")))
+        .join(changed, ["feed", "seq"], "left_semi")
+    )
+    values = _values(rows.withColumnRenamed("seq", "at"), ["feed", "at"], "raw", edge).where("_text IS NOT NULL AND _edge IS NOT NULL")
     states = (
-        values.join(wanted, ["feed", "seq", "field", "older"], "left_semi")
-        .groupBy("feed", "seq", "edge", "older", "field").agg(F.min("_text").alias("lo"), F.max("_text").alias("hi"))
+        values.withColumnRenamed("_field", "field").join(wanted, ["feed", "at", "field"])
+        .groupBy("feed", "seq", F.col("_edge").alias("edge"), "older", "field").agg(F.min("_text").alias("lo"), F.max("_text").alias("hi"))
     )
     was = states.where("older").select("feed", "seq", "edge", F.col("field").alias("old_field"), F.col("lo").alias("lo1"), F.col("hi").alias("hi1"))
     now = states.where("NOT older").select("feed", "seq", "edge", F.col("field").alias("new_field"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
@@ -196,7 +201,7 @@ def unified(df: DataFrame, keep: list[str], schema: DataFrame, targets: Mapping[
             elif to != "string":
                 tries += [F.try_variant_get(at, p + ".id", to), F.try_variant_get(at, p + "[0]", to)]
         out.append(F.coalesce(*tries).alias(column))
-    parsed = df.select(*keep, whole_object(raw).alias("_v")).where(F.col("_v").isNotNull())
+    parsed = with_objects(df, keep, raw).where(F.schema_of_variant("_v").startswith("OBJECT"))
     names = F.array(*[F.lit(n) for n in used]) if used else F.array().cast("array<string>")
     rest = F.map_filter(F.try_variant_get(v, "$", "map<string,string>"), lambda k, _: ~F.array_contains(names, k))
     return parsed.select(*keep, *out, rest.alias("rest"))
