@@ -17,14 +17,16 @@ DEFAULT_CONFIDENCE = 0.5
 
 
 def mentions_of(extractions: DataFrame, order: str = "extraction_id", names: str = "extracted_datasets", descriptions: str = "dataset_descriptions", confidence: str = "confidence_score", keep: Sequence[str] = ("citing_paper_id", "cited_paper_id")) -> DataFrame:
-    """One row a name that isn't blank: (ord, name trimmed, description, confidence, keep...).
+    """One row a name that isn't blank: (ord, row, pos, name trimmed, description, confidence, keep...).
 
-    The description is looked up under the name as extracted; '' where there is none. A
+    ``order`` is an integer that orders the extractions; ``ord`` packs it with the name's
+    place in the list (below 10^9) into one DECIMAL, so that its minimum stays a hash
+    aggregate of fixed width. The description is looked up under the name as extracted; '' where there is none. A
     missing confidence is 0.5.
     """
     base = extractions.select(F.col(order).alias("_o"), F.coalesce(F.col(confidence), F.lit(DEFAULT_CONFIDENCE)).alias("confidence"), F.col(descriptions).alias("_d"), *keep, F.posexplode(names).alias("_p", "_raw"))
     said = F.coalesce(F.try_element_at("_d", F.col("_raw")), F.lit(""))
-    return base.where(not_blank("_raw")).select(F.struct(F.col("_o").alias("row"), F.col("_p").alias("pos")).alias("ord"), trim_u("_raw").alias("name"), said.alias("description"), "confidence", *keep)
+    return base.where(not_blank("_raw")).select((F.col("_o").cast("decimal(19,0)") * F.lit(10**9) + F.col("_p")).cast("decimal(38,0)").alias("ord"), F.col("_o").alias("row"), F.col("_p").alias("pos"), trim_u("_raw").alias("name"), said.alias("description"), "confidence", *keep)
 
 
 def consolidate(mentions: DataFrame, citing: str = "citing_paper_id", cited: str = "cited_paper_id") -> DataFrame:
@@ -60,7 +62,7 @@ def collect_mentions(mentions: DataFrame, per_group: int | None = None) -> DataF
     rows = mentions.withColumn("normalized_name", normalize_name("name"))
     if per_group:
         rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy("normalized_name").orderBy("ord"))).where(F.col("_r") <= per_group).drop("_r")
-    fields = [c for c in mentions.columns if c != "ord"]
+    fields = [c for c in mentions.columns if c not in ("ord", "row", "pos")]
     return rows.groupBy("normalized_name").agg(F.sort_array(F.collect_list(F.struct("ord", *fields))).alias("mentions"))
 
 

@@ -74,6 +74,18 @@ def with_paper_info(edges: DataFrame, papers: DataFrame, key: str, prefix: str,
     return edges.join(info, key, "left")
 
 
+def grouped_by_paper(edges: DataFrame, papers: DataFrame, direction: str, fields: Sequence[str] = ("title",)) -> DataFrame:
+    """(corpusid, fields..., citations | citing_papers): the edges of each paper as one array, for export documents.
+
+    Arrays grow with the hottest paper; ``papers`` is unique in corpusid. For large exports
+    write the edges themselves.
+    """
+    key, far, name = (CITING, CITED, "citations") if direction == "citing" else (CITED, CITING, "citing_papers")
+    rest = [c for c in edges.columns if c not in (CITING, CITED)]
+    grouped = edges.groupBy(F.col(key).alias("corpusid")).agg(F.collect_list(F.struct(far, *rest)).alias(name))
+    return with_paper_info(grouped, papers, "corpusid", "", fields).select("corpusid", *fields, name)
+
+
 def table_info(df: DataFrame, key: str) -> DataFrame:
     """One row: (rows, approx_keys, min_key, max_key)."""
     return df.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(key).alias("approx_keys"), F.min(key).alias("min_key"), F.max(key).alias("max_key"))

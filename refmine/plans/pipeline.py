@@ -12,9 +12,10 @@ from refmine.functions.text import context_file_name
 from refmine.model.client import LLMClient
 from refmine.model.operator import extract_datasets, extraction_rows, filter_relevant
 from refmine.operators.consolidate import consolidate, mentions_of, rank_table
-from refmine.operators.graph import CITED, CITING, DIRECTIONS, frontier, hop, hop_stats, lookup_papers, seed_ids, table_info
+from refmine.operators.graph import CITED, CITING, DIRECTIONS, frontier, grouped_by_paper, hop, hop_stats, lookup_papers, seed_ids, table_info, with_paper_info
 from refmine.session import materialize
 from refmine.sinks.files import save_document, save_tsv
+from refmine.sources.documents import read_context_files, read_contexts
 from refmine.sources.jsonl import ingest_jsonl
 from refmine.sources.search import search_local
 from refmine.streaming.incremental import ingest_new_files, latest_by_key
@@ -127,6 +128,34 @@ def extract(contexts: DataFrame, client: Callable[[], LLMClient], output: str, t
     return extraction_rows(contexts.sparkSession.read.parquet(output))
 
 
+def export_contexts(edges: DataFrame, papers: DataFrame, direction: str, path: str, topic: str, backup: bool = True) -> bool:
+    """The export document of one direction: each paper with its title and its citations."""
+    return save_document(grouped_by_paper(edges, papers, direction), path, "papers", {"query": topic}, backup)
+
+
+def export_audit(edges: DataFrame, papers: DataFrame, folder: str) -> None:
+    """Every edge with both titles, as CSV written by Spark."""
+    named = with_paper_info(with_paper_info(edges, papers, CITING, "citing_"), papers, CITED, "cited_")
+    named.write.mode("overwrite").options(header=True, escape='"').csv(folder)
+
+
+def merge_contexts(spark: SparkSession, folder: str, topic: str, name: str = "all_contexts.json") -> bool:
+    """One merged document of all context documents of a folder, earlier merged output left out."""
+    rows = materialize(read_context_files(spark, folder, name), "merged-contexts")
+    flat = rows.orderBy("ord").select("context", "citing_paper_id", "cited_paper_id", "source")
+    return save_document(flat, f"{folder.rstrip('/')}/{name}", "contexts", {"query": topic, "total_contexts": rows.count()}, backup=False)
+
+
+def extract_file(spark: SparkSession, contexts_path: str, output_path: str, client: Callable[[], LLMClient], topic: str | None = None) -> bool:
+    """A context document of either format to an extraction document; False without contexts."""
+    started = datetime.now()
+    contexts = read_contexts(spark, contexts_path)
+    if contexts.limit(1).count() == 0:
+        return False
+    done = materialize(extract_datasets(contexts, client, topic), "extractions")
+    return extraction_document(done.orderBy("ord").drop("ord"), output_path, topic, contexts_path, started)
+
+
 def extraction_document(extracted: DataFrame, path: str, topic: str | None, source_file: str, started: datetime, backup: bool = True) -> bool:
     """The extraction document: counts, duration, topic and source around the rows with a dataset."""
     total, some = extracted.agg(F.count(F.lit(1)), F.count_if(F.size("datasets") > 0)).first()

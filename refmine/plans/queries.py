@@ -73,7 +73,7 @@ def _groups(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_MENTIONS + """ SELECT extraction_id, CAST(pos AS INTEGER) AS pos, name, coalesce(d[raw], '') AS description, confidence FROM m""")
 def mention_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return _mentions(spark, folder).select(F.col("ord.row").alias("extraction_id"), F.col("ord.pos").alias("pos"), "name", "description", "confidence")
+    return _mentions(spark, folder).select(F.col("row").alias("extraction_id"), "pos", "name", "description", "confidence")
 
 
 @query(_GROUPS + """
@@ -214,6 +214,18 @@ def citing_export(spark: SparkSession, folder: str) -> DataFrame:
     return _edges(spark, folder).groupBy(F.col("citingcorpusid").alias("citing")).agg(F.count(F.lit(1)).alias("contexts"), F.count_distinct("citedcorpusid").alias("cited"))
 
 
+@query("""SELECT c.citing_paper_id AS corpusid, any_value(s.title) AS title, count(*) AS contexts,
+  array_to_string(list(CAST(c.cited_paper_id AS VARCHAR) || ': ' || coalesce(c.context, '') ORDER BY CAST(c.cited_paper_id AS VARCHAR) || ': ' || coalesce(c.context, '')), '|') AS citations
+FROM citation_contexts c LEFT JOIN (SELECT corpusid, min(title) AS title FROM papers GROUP BY corpusid) s ON s.corpusid = c.citing_paper_id
+WHERE c.citing_paper_id <> 0 AND c.cited_paper_id <> 0 GROUP BY c.citing_paper_id""")
+def context_export(spark: SparkSession, folder: str) -> DataFrame:
+    """What the JSON export holds of each citing paper, its citations as one text."""
+    papers = table(spark, folder, "papers").groupBy("corpusid").agg(F.min("title").alias("title"))
+    grouped = G.grouped_by_paper(_edges(spark, folder), papers, "citing")
+    said = F.transform("citations", lambda x: F.concat(x["citedcorpusid"].cast("string"), F.lit(": "), F.coalesce(x["context"], F.lit(""))))
+    return grouped.select("corpusid", "title", F.size("citations").cast("bigint").alias("contexts"), F.array_join(F.array_sort(said), "|").alias("citations"))
+
+
 @query("SELECT count(*) AS rows, min(corpusid) AS min_key, max(corpusid) AS max_key FROM papers")
 def store_info(spark: SparkSession, folder: str) -> DataFrame:
     return G.table_info(table(spark, folder, "papers"), "corpusid").select("rows", "min_key", "max_key")

@@ -1,10 +1,11 @@
+import json
 import random
 
 from pyspark.sql import functions as F
 
 from refmine.model.client import RuleClient, extraction_rule, relevance_rule
 from refmine.operators import consolidate as C, contexts as N, graph as G
-from refmine.plans.pipeline import ContextQuery, Store, analyze, extract
+from refmine.plans.pipeline import ContextQuery, Store, analyze, export_audit, export_contexts, extract, extract_file, merge_contexts
 
 
 def toy_extractions(spark):
@@ -96,3 +97,23 @@ def test_store_and_query(spark, tmp_path):
     assert q.file_name(spark) == "crop_combined_contexts.json"
     contexts = spark.createDataFrame([(1, "Pozi QA is used"), (2, "none")], "id int, context string")
     assert extract(contexts, lambda: RuleClient(extraction_rule), str(tmp_path / "ex")).count() == 1
+
+
+def test_exports_feed_the_next_stage(spark, tmp_path):
+    edges = spark.createDataFrame([(1, 11, "We use Pozi QA."), (1, 12, "none"), (2, 11, None)], "citingcorpusid bigint, citedcorpusid bigint, context string")
+    papers = spark.createDataFrame([(1, "one"), (11, "eleven")], "corpusid bigint, title string")
+    path = tmp_path / "x_citing_contexts.json"
+    assert export_contexts(edges, papers, "citing", str(path), "t")
+    doc = json.loads(path.read_text())
+    assert {p["corpusid"]: (p["title"], len(p["citations"])) for p in doc["papers"]} == {1: ("one", 2), 2: (None, 1)}
+    export_audit(edges, papers, str(tmp_path / "audit"))
+    assert spark.read.csv(str(tmp_path / "audit"), header=True).where("cited_title = 'eleven'").count() == 2
+    # The documents that the merge reads hold lists of contexts.
+    path.write_text(json.dumps({"papers": [{"corpusid": 1, "citations": [{"cited_corpusid": 11, "contexts": ["We use Pozi QA.", " "]}]}]}))
+    assert merge_contexts(spark, str(tmp_path), "t") and merge_contexts(spark, str(tmp_path), "t")
+    merged = json.loads((tmp_path / "all_contexts.json").read_text())
+    assert merged["total_contexts"] == 1 and merged["contexts"][0]["source"] == path.name
+    out = tmp_path / "extractions.json"
+    assert extract_file(spark, str(tmp_path / "all_contexts.json"), str(out), lambda: RuleClient(extraction_rule), "t")
+    found = json.loads(out.read_text())
+    assert found["contexts_with_datasets"] == 1 and found["extractions"][0]["datasets"] == ["Pozi QA"]
