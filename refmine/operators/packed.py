@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from refmine.functions.text import is_blank, trim_u
 from refmine.operators.skew import hot_key_join
-from refmine.session import ship
+from refmine.session import materialize, ship
 
 #: Candidate delimiters. A slash counts only with white space on both sides.
 CANDIDATES = (",", ";", "|", "\n", "\t", "<br>", " / ", "、", "；", "，", "｜")
@@ -146,12 +146,12 @@ def infer_delimiters(cells: DataFrame, min_score: float = 0.5, prior_pieces: int
     regular pieces, smoothed with ``prior_pieces`` pieces of the field as a whole so that a
     source of few cells can be judged, times 1/2 + 1/2 of its piece-count consistency
     1 / (1 + variance / mean^2). Scores are sums, so that a source that holds most rows
-    leaves one row a task and candidate.
+    leaves one row a task and candidate; they are written once and read by all later steps.
     """
     seen = cells.select("_source", "_field", F.explode(_scores("_cell")).alias("_s"))
     n, reg = F.sum("_s.pieces").cast("double"), F.sum("_s.regular").cast("double")
     times, sq = F.sum("_s.times").cast("double"), F.sum(F.col("_s.times").cast("double") * F.col("_s.times"))
-    by_source = seen.groupBy("_source", "_field", F.col("_s.delimiter").alias("_d")).agg(F.count(F.lit(1)).cast("double").alias("_cells"), n.alias("_n"), times.alias("_times"), sq.alias("_sq"), reg.alias("_reg"))
+    by_source = materialize(seen.groupBy("_source", "_field", F.col("_s.delimiter").alias("_d")).agg(F.count(F.lit(1)).cast("double").alias("_cells"), n.alias("_n"), times.alias("_times"), sq.alias("_sq"), reg.alias("_reg")), "delimiter-scores")
     # One row a field and candidate at most: bounded by the fields and CANDIDATES.
     by_field = by_source.groupBy("_field", "_d").agg(F.try_divide(F.sum("_reg"), F.sum("_n")).alias("_usual"))
     mean = F.col("_times") / F.col("_cells")
