@@ -55,13 +55,22 @@ class ItemIndex:
             for k in range(len(w) - g + 1):
                 windows.append(w[k : k + g])
                 owner.append(i)
-        self.windows, self.owner = windows, np.array(owner, np.int32)
+        self.windows, self.owner = [np.unique(w) for w in windows], np.array(owner, np.int32)
 
-    def vectors(self, idf: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(self.windows), len(self.vocab)), np.float32)
-        for row, w in enumerate(self.windows):
-            out[row, w] = idf[w]
-        return out
+
+def weighted_sums(rows: list[np.ndarray], weight: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For sets of words, none empty: the weighted sums of their rows of ``matrix``, and the sums of their squared weights.
+
+    These are the products of sparse TF-IDF vectors with the matrix; no vector is made dense.
+    """
+    sums, squares = [np.zeros((0, matrix.shape[1]), matrix.dtype)], [np.zeros(0, matrix.dtype)]
+    for at in range(0, len(rows), 2048):
+        part = rows[at : at + 2048]
+        flat, starts = np.concatenate(part), np.cumsum([0, *map(len, part[:-1])])
+        w = weight[flat].astype(matrix.dtype)
+        sums.append(np.add.reduceat(matrix[flat] * w[:, None], starts, axis=0))
+        squares.append(np.add.reduceat(w * w, starts))
+    return np.concatenate(sums), np.concatenate(squares)
 
 
 def passages_of(words: list[str], vocab: dict[str, int], shortest: int, gap: int) -> Iterator[np.ndarray]:
@@ -114,21 +123,15 @@ class _Latent:
 
     def __init__(self, index: ItemIndex, idf: np.ndarray, basis: np.ndarray, loss: float):
         self.index, self.idf, self.basis, self.loss = index, idf, basis, loss
-        q = index.vectors(idf)
-        self.projected = q @ basis
-        self.square = np.einsum("ij,ij->i", q, q)
+        self.projected, self.square = weighted_sums(index.windows, idf, basis)
         self.residual = np.sqrt(np.maximum(self.square - np.einsum("ij,ij->i", self.projected, self.projected), 0.0)) + 1e-3
         self.norm = np.sqrt(np.maximum(np.einsum("ij,ij->i", self.projected, self.projected), 1e-9))
 
     def judge(self, windows: list[np.ndarray]) -> list[list[tuple]]:
         """For each passage: (item number, run, lcs, cosine, answer) of its candidates."""
-        d = np.zeros((len(windows), len(self.idf)), np.float32)
-        for row, w in enumerate(windows):
-            w = w[w >= 0]
-            d[row, w] = self.idf[w]
-        projected = d @ self.basis
+        projected, square = weighted_sums([np.unique(w[w >= 0]) for w in windows], self.idf, self.basis)
         own = np.einsum("ij,ij->i", projected, projected)
-        residual = np.sqrt(np.maximum(np.einsum("ij,ij->i", d, d) - own, 0.0)) + 1e-3
+        residual = np.sqrt(np.maximum(square - own, 0.0)) + 1e-3
         dots = projected @ self.projected.T
         hits = dots >= (1.0 - self.loss) * self.square[None, :] - residual[:, None] * self.residual[None, :] - 1e-3 * self.square[None, :]
         out = []
@@ -178,8 +181,9 @@ def _basis(passages: DataFrame, index: ItemIndex, idf: np.ndarray, rank: int, se
     total = np.zeros((size, k))
     for r in sums.toLocalIterator():
         total[r["word"]] = r["row"]
-    q = index.vectors(idf).astype(np.float64)
-    total += q.T @ (q @ noise)
+    shares, _ = weighted_sums(index.windows, idf, noise.astype(np.float64))
+    for w, share in zip(index.windows, shares):
+        total[w] += idf[w][:, None] * share[None, :]
     # A'A is about total (G' total)^-1 total': its eigenvectors from the sketch alone.
     middle = noise.T.astype(np.float64) @ total
     middle = (middle + middle.T) / 2
@@ -190,7 +194,7 @@ def _basis(passages: DataFrame, index: ItemIndex, idf: np.ndarray, rank: int, se
     return left[:, : min(rank, k)].astype(np.float32)
 
 
-def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, labels: str | None = None, gram: int = 12, rank: int = 192, loss: float = 0.2, gap: int = 2, block_chars: int = 2_000_000, seed: int = 7) -> DataFrame:
+def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, labels: str | None = None, gram: int = 12, rank: int = 192, loss: float = 0.2, gap: int = 2, block_chars: int = 200_000, seed: int = 7) -> DataFrame:
     """(doc_id, item_id, words, run, lcs, cosine, answer): which documents hold passages of which items.
 
     One row a document and item with a candidate passage. ``words``: the item's words.
@@ -290,8 +294,8 @@ def _search_block(source: DataFrame, index: ItemIndex, rank: int, loss: float, g
         tool, known = latent.value, {}
         for b in batches:
             windows = [np.array(w, np.int32) for w in b.column(1).to_pylist()]
-            for at in range(0, len(windows), 512):
-                part = windows[at : at + 512]
+            for at in range(0, len(windows), 256):
+                part = windows[at : at + 256]
                 fresh = {w.tobytes(): w for w in part if w.tobytes() not in known}
                 if len(known) > 50_000:
                     known, fresh = {}, {w.tobytes(): w for w in part}

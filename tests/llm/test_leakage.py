@@ -87,7 +87,7 @@ def test_exact_leaks_whatever_the_rank(spark):
     i = spark.createDataFrame(items, "item_id int, text string, gold array<string>")
     want = brute(items, docs)
     assert want
-    for rank, block in ((192, 2_000_000), (4, 2_000_000), (64, 1500)):
+    for rank, block in ((192, 200_000), (4, 200_000), (64, 1500)):
         found = leaked_items(d, i, "doc_id", "text", "item_id", "text", "gold", rank=rank, block_chars=block)
         got = {(r.doc_id, r.item_id) for r in found.where("run >= least(12, words)").collect()}
         assert got == want, rank
