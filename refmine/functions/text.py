@@ -72,26 +72,32 @@ def extract_doi(c: Column | str) -> Column:
     return F.when(by_url != "", by_url).when(anywhere != "", anywhere)
 
 
-def link_key(core: Column) -> Column:
-    """What two spellings of one link share."""
-    doi = extract_doi(core)
-    return F.when(doi.isNotNull(), F.concat(F.lit("doi:"), F.lower(doi))).otherwise(F.concat(F.lit("url:"), F.lower(rstrip_chars(core, LINK_TAIL))))
-
-
 def dedup_link_cell(c: Column | str) -> Column:
     """Drop repeated links of a comma-separated cell; the first spelling and its suffix stay.
 
-    Null, blank and ``nan`` give the empty string.
+    Two links are one if their DOIs are equal or, without a DOI, their texts but for closing
+    punctuation, case ignored. Null, blank and ``nan`` give the empty string.
     """
     c = _col(c)
     items = F.filter(F.transform(F.split(c, ","), trim_u), lambda x: x != "")
-    keys = F.transform(items, lambda x: link_key(trim_u(F.regexp_replace(x, COUNT_SUFFIX, ""))))
-    # Zip, then keep an item where its key's first place is its own.
-    pairs = F.transform(items, lambda x, i: F.struct(x.alias("item"), i.alias("i")))
-    kept = F.filter(pairs, lambda p: F.array_position(keys, F.get(keys, p["i"])) == p["i"] + 1)
-    joined = F.array_join(F.transform(kept, lambda p: p["item"]), ", ")
+    # Step by step, as nothing within a lambda is computed once for two uses.
+    cores = F.transform(items, lambda x: F.struct(x.alias("item"), trim_u(F.regexp_replace(x, COUNT_SUFFIX, "")).alias("core")))
+    found = F.transform(cores, lambda x: F.struct(x["item"].alias("item"), x["core"].alias("core"), F.regexp_extract(x["core"], DOI_URL, 1).alias("url"), F.regexp_extract(x["core"], DOI_ANYWHERE, 0).alias("doi")))
+
+    def key(x: Column) -> Column:
+        doi = F.when(x["url"] != "", trim_u(x["url"])).otherwise(rstrip_chars(x["doi"], LINK_TAIL))
+        return F.when((x["url"] != "") | (x["doi"] != ""), F.concat(F.lit("doi:"), F.lower(doi))).otherwise(F.concat(F.lit("url:"), F.lower(rstrip_chars(x["core"], LINK_TAIL))))
+
+    keyed = F.transform(found, lambda x: F.struct(x["item"].alias("item"), key(x).alias("key")))
+    none = F.array().cast("array<string>")
+    kept = F.aggregate(
+        keyed,
+        F.struct(none.alias("keys"), none.alias("items")),
+        lambda acc, x: F.when(F.array_contains(acc["keys"], x["key"]), acc).otherwise(F.struct(F.array_append(acc["keys"], x["key"]).alias("keys"), F.array_append(acc["items"], x["item"]).alias("items"))),
+        lambda acc: F.array_join(acc["items"], ", "),
+    )
     empty = c.isNull() | is_blank(c) | (F.lower(trim_u(c)) == "nan")
-    return F.when(empty, "").otherwise(joined)
+    return F.when(empty, "").otherwise(kept)
 
 
 def strip_file_suffix(c: Column | str) -> Column:

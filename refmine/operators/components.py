@@ -26,6 +26,7 @@ def components(members: DataFrame, node: str, link: str, max_rounds: int = 60) -
     pairs = materialize(members.select(F.col(node).alias("u"), F.col(link).alias("f")).where("u IS NOT NULL AND f IS NOT NULL").distinct(), "cc-pairs")
     stars = pairs.groupBy("f").agg(F.min("u").alias("v"))
     edges = materialize(hot_key_join(pairs, stars, ["f"]).where("u <> v").select("u", "v").distinct(), "cc-edges")
+    before = _print(edges)
     for _ in range(max_rounds):
         # Large star: each larger neighbour of u is tied to u's smallest neighbour (or u).
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -36,10 +37,10 @@ def components(members: DataFrame, node: str, link: str, max_rounds: int = 60) -
         low = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
         tied = large.join(low.where("n > 1").select("u", "m"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = materialize(tied.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "cc-edges")
-        done = _same(edges, after)
-        edges = after
-        if done:
+        edges, now = after, _print(after)
+        if now == before:
             break
+        before = now
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     # Settled edges are stars: every node but a component's smallest has one edge to it.
@@ -48,7 +49,6 @@ def components(members: DataFrame, node: str, link: str, max_rounds: int = 60) -
     return nodes.join(roots, node, "left").select(node, F.coalesce("_v", node).alias("component"))
 
 
-def _same(a: DataFrame, b: DataFrame) -> bool:
-    """Equal edge sets (both are distinct): equal counts and order-free hashes."""
-    x, y = (df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first() for df in (a, b))
-    return tuple(x) == tuple(y)
+def _print(edges: DataFrame) -> tuple:
+    """Count and order-free hash of a set of edges: equal for equal sets."""
+    return tuple(edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first())

@@ -75,9 +75,10 @@ def with_ranks(df: DataFrame, order: Sequence, rank: str = "rank") -> DataFrame:
     """Numbers 1..n by a total order, without moving all rows into one task.
 
     Rows are range-partitioned and sorted; each task numbers its own from the sum of the
-    counts before it, of which there is one a task.
+    counts before it, of which there is one a task. The input is written first, as finding
+    the ranges would otherwise compute it twice.
     """
-    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    ordered = materialize(df, "to-rank").repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
     fixed = materialize(ordered, "ranked")
     counts = fixed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
