@@ -43,8 +43,9 @@ class CopyLedger:
     batch's distinct keys only, never the ledger, and a lost executor reads it again.
     """
 
-    def __init__(self, spark: SparkSession, buckets: int = 32, label: str = "ledger"):
-        self.spark, self.buckets = spark, buckets
+    def __init__(self, spark: SparkSession, buckets: int | None = None, label: str = "ledger"):
+        """``buckets``: as many as the session's shuffle partitions, unless given."""
+        self.spark, self.buckets = spark, buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.name = f"{label}_{uuid.uuid4().hex}"
         self.version = 0
 
