@@ -109,7 +109,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], parts: int = HOT_PARTS) -> Data
     """The keys with more than 1/parts of all rows: fewer than ``parts`` rows, whatever the input."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = df.agg(F.count(F.lit(1)).alias("_all"))
-    return counts.join(F.broadcast(total), F.col("_n") * parts > F.col("_all")).select(*keys)
+    return counts.where(F.col("_n") * parts > total.scalar()).select(*keys)
 
 
 def hot_key_join(big: DataFrame, states: DataFrame, keys: Sequence[str], how: str = "inner", hot: DataFrame | None = None) -> DataFrame:
