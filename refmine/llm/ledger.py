@@ -90,7 +90,7 @@ class CopyLedger:
             raise ValueError("the ledger is empty")
         repeated = self.entries.where("copies > 1").select("scope", "key", "copies", "first_id")
         total = self.entries.agg(F.sum("copies").alias("_all"))
-        hot = repeated.join(F.broadcast(total), F.col("copies") * HOT_PARTS > F.col("_all")).select("scope", "key")
+        hot = repeated.where(F.col("copies") * HOT_PARTS > total.scalar()).select("scope", "key")
         found = hot_key_join(rows.where("key IS NOT NULL"), repeated.drop("copies"), ["scope", "key"], hot=hot)
         return found.where("id <> first_id").select("scope", "first_id", F.col("id").alias("copy_id"))
 
