@@ -216,8 +216,41 @@ def vocabulary_path(folder: str = TOKENIZER_DIR, name: str = BYTE_BPE) -> str:
     return str(Path(folder) / name)
 
 
+def safe_parts(text: str, size: int) -> list[str]:
+    """A text cut into parts of about ``size`` characters where a slice begins whatever is around:
+    at a blank between two letters. Without such a place the rest stays whole."""
+    parts, start = [], 0
+    while len(text) - start > size:
+        at = text.find(" ", start + size)
+        while 0 < at < len(text) - 1 and not (text[at - 1].isalpha() and text[at + 1].isalpha()):
+            at = text.find(" ", at + 1)
+        if not 0 < at < len(text) - 1:
+            break
+        parts.append(text[start:at])
+        start = at
+    parts.append(text[start:])
+    return parts
+
+
 def encode_slices(texts: list[str], merger: PairMerger):
-    """For each text: (slice starts as a list, ids of each slice as a list of tuples)."""
+    """For each text: (slice starts as a list, ids of each slice as a list of tuples).
+
+    A single text beyond _CHUNK_CHARS is scanned in parts, so that its scan needs no more
+    memory than other batches.
+    """
+    if len(texts) == 1 and len(texts[0]) > _CHUNK_CHARS:
+        starts, ids, base = [], [], 0
+        for part in safe_parts(texts[0], _CHUNK_CHARS):
+            s, i = next(_encode_slices([part], merger))
+            starts += [x + base for x in s]
+            ids += i
+            base += len(part)
+        yield starts, ids
+        return
+    yield from _encode_slices(texts, merger)
+
+
+def _encode_slices(texts: list[str], merger: PairMerger):
     if not texts:
         return
     joined, marks, is_sep = token_slices(texts)

@@ -47,6 +47,17 @@ def test_batches_do_not_matter():
     assert ids_of(TEXTS) == alone
 
 
+def test_long_texts_go_in_parts(monkeypatch):
+    from refmine.llm import tokenizer
+
+    rng = random.Random(6)
+    texts = ["".join(rng.choices(["a", "b ", " c", "  ", "\n", "'s", "d'll", "é", " 1"], k=400)) for _ in range(30)] + ["x" * 500, " " * 500, "a " * 300]
+    want = [next(encode_slices([t], load_merger(PATH))) for t in texts]
+    monkeypatch.setattr(tokenizer, "_CHUNK_CHARS", 40)
+    assert [next(encode_slices([t], load_merger(PATH))) for t in texts] == want
+    assert all("".join(tokenizer.safe_parts(t, 40)) == t for t in texts)
+
+
 def test_merging_takes_the_lowest_rank_leftmost():
     ranks = {bytes([i]): i for i in range(256)} | {b"aa": 256, b"aaaa": 257, b"ab": 258}
     assert merge_pairs(b"aaaaa", ranks) == [257, 97]
