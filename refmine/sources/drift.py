@@ -29,6 +29,11 @@ ABOVE = {
 SPARK_TYPES = {"boolean": "boolean", "integer": "bigint", "decimal": "double", "array": "string", "object": "string", "string": "string"}
 
 
+#: Spark's integer types.
+_INTEGERS = ("tinyint", "smallint", "int", "bigint")
+#: An id written as text behind the name of its kind, as in CorpusId:7.
+_PREFIXED = r"^\s*\p{L}\w*[:#/\s-]+(\d+)\s*$"
+
 #: Closes a line when it is parsed; a line can't hold it by chance.
 _END = "end-of-line-9f1c7be2"
 
@@ -173,35 +178,44 @@ def unified(df: DataFrame, keep: list[str], schema: DataFrame, targets: Mapping[
     ``targets`` gives wanted Spark types by column, under any of its names, and the column
     then has that name; other columns take the lattice's type.
     For a scalar target a value wrapped in an object (its ``id``) or in a list (its first
-    item) is unwrapped; for an array target a lone value becomes a list of one. What can't be
-    cast is null there. Of several names of a column in one line the first that isn't null
-    holds. The union schema is metadata and read on the driver, ``max_columns`` columns of
-    it; fields beyond these are kept whole in the map column ``rest``. Columns of ``keep``
-    win over fields of the same name.
+    item) is unwrapped; for an array target a lone value becomes a list of one; for a wanted
+    integer type an id behind a prefix (``CorpusId:7``) gives its digits. A value that can't
+    be cast is null there and kept, as text, in the map column ``rest``. Of several names of
+    a column in one line the first that isn't null holds. The union schema is metadata and
+    read on the driver, ``max_columns`` columns of it; fields beyond these are kept whole in
+    ``rest``. Columns of ``keep`` win over fields of the same name.
     """
     targets = dict(targets or {})
     known = schema.orderBy(F.desc("lines"), "column").limit(max_columns).collect()
     v = F.col("_v")
-    out, used = [], []
+    out, used, hidden, casts, taken = [], [], [], [], []
     for r in known:
         used += list(r["names"])
         column = next((n for n in targets if n in r["names"]), r["column"])
         if column in keep:
+            hidden += list(r["names"])
             continue
         to = targets.get(column, SPARK_TYPES[r["type"] or "string"])
-        tries = []
+        own = []
         for n in r["names"]:
             # A path can't name a field with both kinds of quotes: such a field is looked up in a map.
             odd = "'" in n and '"' in n
             mark = '"' if "'" in n else "'"
             at, p = (F.try_element_at(F.try_variant_get(v, "$", "map<string,variant>"), F.lit(n)), "$") if odd else (v, f"$[{mark}{n}{mark}]")
-            tries.append(F.try_variant_get(at, p, to))
+            tries = [F.try_variant_get(at, p, to)]
             if to.startswith("array<"):
                 tries.append(F.when(F.try_variant_get(at, p, to[6:-1]).isNotNull(), F.array(F.try_variant_get(at, p, to[6:-1]))))
             elif to != "string":
                 tries += [F.try_variant_get(at, p + ".id", to), F.try_variant_get(at, p + "[0]", to)]
-        out.append(F.coalesce(*tries).alias(column))
-    parsed = with_objects(df, keep, raw).where(F.schema_of_variant("_v").startswith("OBJECT"))
+            if column in targets and to in _INTEGERS:
+                tries += [F.regexp_extract(F.try_variant_get(at, p + q, "string"), _PREFIXED, 1).try_cast(to) for q in ("", ".id", "[0]")]
+            own.append(f"_cast{len(casts)}")
+            casts.append(F.coalesce(*tries).alias(own[-1]))
+            taken.append(F.when(F.col(own[-1]).isNotNull(), F.lit(n)))
+        out.append(F.coalesce(*own).alias(column))
+    parsed = with_objects(df, keep, raw).where(F.schema_of_variant("_v").startswith("OBJECT")).select(*keep, "_v", *casts)
     names = F.array(*[F.lit(n) for n in used]) if used else F.array().cast("array<string>")
-    rest = F.map_filter(F.try_variant_get(v, "$", "map<string,string>"), lambda k, _: ~F.array_contains(names, k))
+    held = F.array_compact(F.array(*[F.lit(n) for n in hidden], *taken)) if used else F.array().cast("array<string>")
+    # Of the columns' names only what none of the casts could take.
+    rest = F.map_filter(F.try_variant_get(v, "$", "map<string,string>"), lambda k, x: ~F.array_contains(names, k) | (x.isNotNull() & ~F.array_contains(held, k)))
     return parsed.select(*keep, *out, rest.alias("rest"))

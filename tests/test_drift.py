@@ -49,6 +49,15 @@ def test_one_table(spark):
     assert len(narrow) == 4 and any("src" in (r.rest or {}) for r in narrow)
 
 
+def test_no_value_is_lost(spark):
+    values = ["CorpusId:200065346", 7, {"id": "CorpusId:8"}, ["S2CID 9"], "n/a", "2018-05", "CorpusId:99999999999999999999", None, {"x": 1}]
+    df = lines(spark, {("f", 1): [{"edge_uid": i, "corpusid": x, "n": "many" if i == 1 else i} for i, x in enumerate(values)]})
+    rows = sorted(unified(df, ["line_id"], union_schema(df), {"corpusid": "bigint", "edge_uid": "bigint"}).collect(), key=lambda r: r.line_id)
+    assert [r.corpusid for r in rows] == [200065346, 7, 8, 9, None, None, None, None, None]
+    assert [r.n for r in rows] == [0, None, 2, 3, 4, 5, 6, 7, 8]
+    assert [r.rest for r in rows] == [{}, {"n": "many"}, {}, {}, {"corpusid": "n/a"}, {"corpusid": "2018-05"}, {"corpusid": "CorpusId:99999999999999999999"}, {}, {"corpusid": '{"x":1}'}]
+
+
 def test_empty(spark):
     df = lines(spark, {("f", 1): [{"a": 1}]}).limit(0)
     assert schema_changes(df).count() == 0
