@@ -76,7 +76,15 @@ def weighted_sums(rows: list[np.ndarray], weight: np.ndarray, matrix: np.ndarray
 def passages_of(words: list[str], vocab: dict[str, int], shortest: int, gap: int) -> Iterator[np.ndarray]:
     """Stretches with at least ``shortest`` words of the vocabulary and at most ``gap`` others (-1) in a row,
     cut into windows of _WINDOW words."""
-    found = np.fromiter((vocab.get(w, -1) for w in words), np.int32, len(words))
+    yield from _windows(numbers_of(words, vocab), shortest, gap)
+
+
+def numbers_of(words: list[str], vocab: dict[str, int]) -> np.ndarray:
+    """The words' numbers, -1 for foreign ones."""
+    return np.fromiter((vocab.get(w, -1) for w in words), np.int32, len(words))
+
+
+def _windows(found: np.ndarray, shortest: int, gap: int) -> Iterator[np.ndarray]:
     at = np.flatnonzero(found >= 0)
     if len(at) < shortest:
         return
@@ -118,6 +126,51 @@ def common_subsequence(a: list[int], b: list[int]) -> int:
     return row.bit_count()
 
 
+class Near:
+    """Finds the items of which a document holds most words in order, at whatever place, with nothing lost.
+
+    Judged are the stretches of _WINDOW words at every word, and for longer items also those
+    of the item's length: an item counts where the longest common subsequence is at least
+    ``share`` of the stretch's length, or of a shorter item's. The words that are of the
+    item at all are counted first; a subsequence can't be longer.
+    """
+
+    def __init__(self, index: ItemIndex, share: float):
+        self.index = index
+        places = sorted((int(w), i, int(n)) for i, x in enumerate(index.words) for w, n in zip(*np.unique(x, return_counts=True)))
+        word, self.item, self.times = np.array(places, np.int64).reshape(-1, 3).T
+        self.start = np.searchsorted(word, np.arange(len(index.vocab) + 1))
+        self.length = np.array([len(w) for w in index.words], np.int64)
+        self.least = np.ceil(share * np.minimum(self.length, _WINDOW) - 1e-9).astype(np.int64)
+        self.whole = np.ceil(share * self.length - 1e-9).astype(np.int64)
+
+    def items(self, found: np.ndarray, held: np.ndarray) -> Iterator[tuple[int, int, int, bool]]:
+        """(item number, run, lcs, answer) of a document's words ``found`` (-1: foreign), of which ``held`` are the different ones."""
+        size = self.start[held + 1] - self.start[held]
+        at = np.repeat(self.start[held] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        likely = np.flatnonzero(np.bincount(self.item[at], self.times[at], len(self.least)) >= self.least)
+        if not len(likely):
+            return
+        found = found.astype(np.intp)
+        for i in likely:
+            own = np.zeros(len(self.index.vocab) + 1, np.int32)  # the last is that of foreign words (-1)
+            own[self.index.words[i]] = 1
+            count = np.zeros(len(found) + 1, np.int32)
+            np.cumsum(own[found], out=count[1:])
+            b = self.index.words[i].tolist()
+            run, lcs, answer = 0, 0, False
+            for size, least in {(_WINDOW, int(self.least[i])), (max(_WINDOW, len(b)), int(self.whole[i]) if len(b) > _WINDOW else int(self.least[i]))}:
+                size = min(size, len(found))
+                for at in np.flatnonzero(count[size:] - count[: len(count) - size] >= least):
+                    a = found[at : at + size].tolist()
+                    n = common_subsequence(a, b)
+                    if n >= least and n > lcs:
+                        lcs, run = n, max(run, common_run(a, b))
+                        answer = answer or any(common_run(a, x) == len(x) for x in self.index.answers[i])
+            if lcs:
+                yield int(i), run, lcs, answer
+
+
 class _Latent:
     """What a worker needs to search: basis, projected windows, residuals."""
 
@@ -194,14 +247,17 @@ def _basis(passages: DataFrame, index: ItemIndex, idf: np.ndarray, rank: int, se
     return left[:, : min(rank, k)].astype(np.float32)
 
 
-def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, labels: str | None = None, gram: int = 12, rank: int = 192, loss: float = 0.2, gap: int = 2, block_chars: int = 200_000, seed: int = 7) -> DataFrame:
+def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, labels: str | None = None, gram: int = 12, rank: int = 192, loss: float = 0.2, gap: int = 2, block_chars: int = 200_000, seed: int = 7, share: float | None = 0.75) -> DataFrame:
     """(doc_id, item_id, words, run, lcs, cosine, answer): which documents hold passages of which items.
 
     One row a document and item with a candidate passage. ``words``: the item's words.
     ``run``: most consecutive words of the item in a passage; every run of up to ``gram``
     words is found for sure (a passage window counts no more than 24). ``lcs``: longest
-    common subsequence of a passage and the item. ``cosine``: best latent cosine. ``answer``:
-    some label of the item stands in a passage. A document holds the item, exactly, where
+    common subsequence of a passage and the item; found for sure, at whatever place and with
+    whatever foreign words in between, where _WINDOW words (or as many as the item has)
+    hold at least ``share`` of so many words (see Near; None: not looked for). ``cosine``: best latent cosine, null
+    where the latent search didn't propose the pair. ``answer``: some label of the item
+    stands in a passage. A document holds the item, exactly, where
     run >= least(gram, words); a smaller run with a large lcs is a paraphrase. ``loss`` is
     the share of a window's weight that a passage may lack to be looked at (0: exact runs
     only, still without any loss), ``gap`` the foreign words in a row within a passage.
@@ -220,7 +276,7 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item
     id_type, item_type = source.schema["doc"].dataType, own.schema["item"].dataType
     result: DataFrame | None = None
     for block in _blocks(own, block_chars):
-        found = _search_block(source, ItemIndex(block, gram), rank, loss, gap, seed, id_type, item_type)
+        found = _search_block(source, ItemIndex(block, gram), rank, loss, gap, seed, share, id_type, item_type)
         result = found if result is None else result.unionByName(found)
     if result is None:
         result = spark.createDataFrame([], _result_type(id_type, item_type))
@@ -246,36 +302,46 @@ def _result_type(id_type: T.DataType, item_type: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in kinds])
 
 
-def _search_block(source: DataFrame, index: ItemIndex, rank: int, loss: float, gap: int, seed: int, id_type: T.DataType, item_type: T.DataType) -> DataFrame:
+def _search_block(source: DataFrame, index: ItemIndex, rank: int, loss: float, gap: int, seed: int, share: float | None, id_type: T.DataType, item_type: T.DataType) -> DataFrame:
     sc = source.sparkSession.sparkContext
     if not index.words:
         return source.sparkSession.createDataFrame([], _result_type(id_type, item_type))
-    shared = sc.broadcast((index.vocab, index.shortest, gap))
+    shared = sc.broadcast((index.vocab, index.shortest, gap, None if share is None else Near(index, share)))
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Passage windows, and at the end the task's document frequencies (doc null, window: word, count, ...)."""
-        vocab, shortest, gap = shared.value
+        """Passage windows, items found near (near: item number, run, lcs, answer, ...), and at the end the task's document frequencies (doc null, counts: word, count, ...)."""
+        vocab, shortest, gap, near = shared.value
         counts, documents, kind = np.zeros(len(vocab), np.int64), 0, None
         for b in batches:
             kind = b.column(0).type
-            ids, windows = [], []
+            ids, windows, owners, hits = [], [], [], []
             for k, body in enumerate(b.column(1).to_pylist()):
                 words = words_of(body)
                 documents += 1
                 held = np.fromiter((vocab[w] for w in vocab.keys() & set(words)), np.int32)
                 counts[held] += 1
-                for w in passages_of(words, vocab, shortest, gap) if len(held) else ():
+                if not len(held):
+                    continue
+                found = numbers_of(words, vocab)
+                for w in _windows(found, shortest, gap):
                     ids.append(k)
                     windows.append(w)
-            if ids:
-                n = pa.nulls(len(ids), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(ids)), pa.array(windows, pa.list_(pa.int32())), n], ["doc", "window", "counts"])
+                flat = [int(x) for hit in near.items(found, held) for x in hit] if near else []
+                if flat:
+                    owners.append(k)
+                    hits.append(flat)
+            if ids or owners:
+                n = len(ids) + len(owners)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(pa.array(ids + owners, pa.int64())), pa.array(windows + [None] * len(owners), pa.list_(pa.int32())), pa.array([None] * len(ids) + hits, pa.list_(pa.int32())), pa.nulls(n, pa.list_(pa.int64()))],
+                    ["doc", "window", "near", "counts"],
+                )
         if kind is not None:
             held = np.flatnonzero(counts)
             flat = [-1, documents] + [int(x) for pair in zip(held, counts[held]) for x in pair]
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.list_(pa.int32())), pa.array([flat], pa.list_(pa.int64()))], ["doc", "window", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.list_(pa.int32())), pa.nulls(1, pa.list_(pa.int32())), pa.array([flat], pa.list_(pa.int64()))], ["doc", "window", "near", "counts"])
 
-    kind = T.StructType([T.StructField("doc", id_type), T.StructField("window", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.LongType()))])
+    kind = T.StructType([T.StructField("doc", id_type), T.StructField("window", T.ArrayType(T.IntegerType())), T.StructField("near", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.LongType()))])
     both = materialize(source.mapInArrow(passages, kind), "leak-passages")
     found = both.where("window IS NOT NULL").select("doc", "window")
     pairs = both.where("counts IS NOT NULL").select(F.explode(F.sequence(F.lit(0), F.size("counts") - 2, F.lit(2))).alias("i"), "counts")
@@ -312,4 +378,19 @@ def _search_block(source: DataFrame, index: ItemIndex, rank: int, loss: float, g
                     ["doc", "item", "words", "run", "lcs", "cosine", "answer"],
                 )
 
-    return found.mapInArrow(search, _result_type(id_type, item_type))
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = latent.value.index
+        for b in batches:
+            rows = [(k, *flat[j : j + 4]) for k, flat in enumerate(b.column(1).to_pylist()) for j in range(0, len(flat), 4)]
+            if not rows:
+                continue
+            place, item, run, lcs, answer = zip(*rows)
+            ids = pa.array([index.ids[i] for i in item], item_arrow)
+            words = pa.array([len(index.words[i]) for i in item], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(place)), ids, words, pa.array(run, pa.int32()), pa.array(lcs, pa.int32()), pa.nulls(len(rows), pa.float64()), pa.array([bool(x) for x in answer])],
+                ["doc", "item", "words", "run", "lcs", "cosine", "answer"],
+            )
+
+    nearby = both.where("near IS NOT NULL").select("doc", "near")
+    return found.mapInArrow(search, _result_type(id_type, item_type)).unionByName(nearby.mapInArrow(near, _result_type(id_type, item_type)))

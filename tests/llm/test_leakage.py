@@ -104,3 +104,20 @@ def test_paraphrase_and_empty(spark):
     assert leaked_items(d.limit(0), i, "doc_id", "text", "item_id", "text").count() == 0
     assert leaked_items(d, i.limit(0), "doc_id", "text", "item_id", "text").count() == 0
     assert leaked_items(d.withColumn("item", F.lit(1)), i.withColumn("doc", F.lit(2)), "doc_id", "text", "item_id", "text").count() == 1
+
+
+def test_paraphrase_at_any_place(spark):
+    item = "the quaint ferry crossed a tidal furrow before seven muted beacons bundled every crooked anvil beside that frosted orchard lantern gully loom"
+    other = "amber basalt cedar delta ember fjord granite harbour ivory juniper kelp lagoon"
+    words = item.split()
+    words[8], words[15] = "quickly", "slowly"
+    split = item.split()
+    split[10:14] = ["w", "x", "y", "z"]
+    long = [f"l{i}" for i in range(28)]
+    changed = [f"z{i}" if 10 <= i < 17 else w for i, w in enumerate(long)]
+    docs = [(n, " ".join(other.split()[:n] + words)) for n in range(13)] + [(20 + n, " ".join(["foreign"] * n + split)) for n in range(3)] + [(30 + n, " ".join(other.split()[:n] + changed)) for n in range(5)]
+    d = spark.createDataFrame([*docs, (90, other)], "doc_id int, text string")
+    i = spark.createDataFrame([(5, item), (6, other), (7, " ".join(long))], "item_id int, text string")
+    rows = leaked_items(d, i, "doc_id", "text", "item_id", "text").where("run < least(12, words) AND lcs >= 0.75 * least(24, words)").collect()
+    got = {(r.doc_id, r.item_id): r.lcs for r in rows if r.item_id != 6}
+    assert got == {**{(n, 5): 20 for n in range(13)}, **{(20 + n, 5): 18 for n in range(3)}, **{(30 + n, 7): 21 for n in range(5)}}
