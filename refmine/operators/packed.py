@@ -142,21 +142,20 @@ def _split(cells: pa.Array, delimiters: pa.Array) -> pa.Array:
 def infer_delimiters(cells: DataFrame, min_score: float = 0.5, prior_pieces: int = 16) -> DataFrame:
     """Accepted delimiters of each source: (_source, _field, _delimiters ARRAY<STRING>).
 
-    ``cells`` has _source, _field, _cell. A candidate's score in a source is the share of
-    regular pieces, smoothed with ``prior_pieces`` pieces of the field as a whole so that a
-    source of few cells can be judged, times 1/2 + 1/2 of its piece-count consistency
-    1 / (1 + variance / mean^2). Scores are sums, so that a source that holds most rows
+    ``cells`` has _source, _field, _cell. A candidate's score in a source is the mean over
+    its cells of the share of regular pieces: each cell counts once, as two pieces, so no
+    long cell can reject a delimiter that the others use, and uneven counts don't matter. It
+    is smoothed with ``prior_pieces`` pieces of the field as a whole so that a source of few
+    cells can be judged. Scores are sums, so that a source that holds most rows
     leaves one row a task and candidate; they are written once and read by all later steps.
     """
     seen = cells.select("_source", "_field", F.explode(_scores("_cell")).alias("_s"))
-    n, reg = F.sum("_s.pieces").cast("double"), F.sum("_s.regular").cast("double")
-    times, sq = F.sum("_s.times").cast("double"), F.sum(F.col("_s.times").cast("double") * F.col("_s.times"))
-    by_source = materialize(seen.groupBy("_source", "_field", F.col("_s.delimiter").alias("_d")).agg(F.count(F.lit(1)).cast("double").alias("_cells"), n.alias("_n"), times.alias("_times"), sq.alias("_sq"), reg.alias("_reg")), "delimiter-scores")
+    # Candidates with nothing but empty pieces around them tell nothing.
+    n, reg = F.count_if(F.col("_s.pieces") > 0) * 2.0, F.sum(F.try_divide(F.col("_s.regular") * 2.0, F.col("_s.pieces")))
+    by_source = materialize(seen.groupBy("_source", "_field", F.col("_s.delimiter").alias("_d")).agg(n.alias("_n"), F.coalesce(reg, F.lit(0.0)).alias("_reg")), "delimiter-scores")
     # One row a field and candidate at most: bounded by the fields and CANDIDATES.
     by_field = by_source.groupBy("_field", "_d").agg(F.try_divide(F.sum("_reg"), F.sum("_n")).alias("_usual"))
-    mean = F.col("_times") / F.col("_cells")
-    spread = F.greatest(F.col("_sq") / F.col("_cells") - mean * mean, F.lit(0.0)) / (mean * mean)
-    score = (F.col("_reg") + prior_pieces * F.coalesce("_usual", F.lit(0.0))) / (F.col("_n") + prior_pieces) * (0.5 + 0.5 / (1 + spread))
+    score = (F.col("_reg") + prior_pieces * F.coalesce("_usual", F.lit(0.0))) / (F.col("_n") + prior_pieces)
     return (
         by_source.join(F.broadcast(by_field), ["_field", "_d"])
         .where(score >= min_score)

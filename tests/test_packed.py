@@ -57,3 +57,11 @@ def test_a_source_can_reject_a_delimiter(spark):
     rows = [("s", "f", f"name{i};{i};0") for i in range(40)] + [("t", "f", "name a;name b")] * 40
     got = {(r[0]): r[2] for r in infer_delimiters(spark.createDataFrame(rows, "_source string, _field string, _cell string")).collect()}
     assert got == {"t": [";"]}
+
+
+def test_one_long_cell_rejects_nothing(spark):
+    for odd in (20, 300, 700):
+        long = "; ".join(["0"] * odd + [f"name {i}" for i in range(1000 - odd)])
+        rows = [("s", "f", "a; b")] * 100 + [("s", "f", long)]
+        got = infer_delimiters(spark.createDataFrame(rows, "_source string, _field string, _cell string")).collect()
+        assert [r[2] for r in got] == [[";"]], odd
