@@ -267,8 +267,11 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item
     vocabulary, windows and basis go to the workers, so their size is bounded whatever the
     items; the corpus is passed once a block, and only its passages once more. Null and empty
     texts, and items without words, give nothing; repeated rows give one; an empty table on
-    either side gives an empty result.
+    either side gives an empty result. ``gram`` is at most 13: a longer run needn't lie in
+    one passage window.
     """
+    if gram > _WINDOW // 2 + 1:
+        raise ValueError(f"gram must be at most {_WINDOW // 2 + 1}")
     spark = docs.sparkSession
     ship(spark)
     source = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).where(F.col("text").isNotNull())

@@ -1,6 +1,7 @@
 import random
 import unicodedata
 
+import pytest
 from pyspark.sql import functions as F
 
 from refmine.llm.leakage import common_run, common_subsequence, leaked_items, passages_of, words_of
@@ -121,3 +122,8 @@ def test_paraphrase_at_any_place(spark):
     rows = leaked_items(d, i, "doc_id", "text", "item_id", "text").where("run < least(12, words) AND lcs >= 0.75 * least(24, words)").collect()
     got = {(r.doc_id, r.item_id): r.lcs for r in rows if r.item_id != 6}
     assert got == {**{(n, 5): 20 for n in range(13)}, **{(20 + n, 5): 18 for n in range(3)}, **{(30 + n, 7): 21 for n in range(5)}}
+
+
+def test_runs_longer_than_a_window_holds_for_sure_are_refused():
+    with pytest.raises(ValueError, match="at most 13"):
+        leaked_items(None, None, "doc_id", "text", "item_id", "text", gram=14)
