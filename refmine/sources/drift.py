@@ -1,18 +1,25 @@
 """JSON Lines files whose schemas drift: one table of all of them, and a log of every change.
 
 A file's schema is what its lines hold: for each top-level field, how many values are of
-each JSON type. These schemas are aggregates (map-side combine, so a file that holds most
-rows leaves one row a task and field), never a look at the lines on the driver.
+each JSON type. Lines are parsed once, in parallel, and written as (field, type, digest of
+the text); schemas and renamings are aggregates over that table (map-side combine, so a
+file that holds most rows leaves one row a task and field), never a look at the lines on
+the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Iterator, Mapping
+from json.encoder import encode_basestring
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from refmine.operators.components import components
-from refmine.session import materialize
+from refmine.session import materialize, ship
 
 #: JSON types as the change log names them.
 TYPES = ("string", "boolean", "array", "object", "integer", "decimal")
@@ -48,26 +55,114 @@ def with_objects(df: DataFrame, keep: list[str], raw: str) -> DataFrame:
     return pairs.select(*keep, "_raw", F.when(F.try_variant_get("_p", "$[1]", "string") == _END, F.try_variant_get("_p", "$[0]", "variant")).alias("_v"))
 
 
-def _values(df: DataFrame, keep: list[str], raw: str, edge: str | None = None) -> DataFrame:
-    """(keep..., [_edge,] _field, _type, _text): one row a top-level field of each whole JSON object.
+class _Whole(str):
+    """A number without decimal point, as written."""
 
-    _type is null for a JSON null. _text is a scalar as it was written, an array or object
-    in compact form with sorted keys; _edge is the text of the field ``edge``. Lines that
-    aren't one whole object (also those that name a field twice) give nothing.
+
+class _Broken(str):
+    """A number with decimal point or exponent, as written."""
+
+
+_KIND = {str: 0, bool: 1, list: 2, dict: 3, _Whole: 4, _Broken: 5}
+
+
+def _fields_once(pairs: list[tuple]) -> dict:
+    found = dict(pairs)
+    if len(found) != len(pairs):
+        raise ValueError("a field is named twice")
+    return found
+
+
+def _refuse(constant: str):
+    raise ValueError(constant)
+
+
+_JSON = json.JSONDecoder(object_pairs_hook=_fields_once, parse_int=_Whole, parse_float=_Broken, parse_constant=_refuse)
+
+
+def whole_object(line: str | None) -> dict | None:
+    """The object of a line that is one whole JSON object, numbers as written; else None."""
+    if not line:
+        return None
+    try:
+        value = _JSON.decode(line)
+    except (ValueError, RecursionError):
+        return None
+    return value if type(value) is dict else None
+
+
+def written(value, inner: bool = False) -> str:
+    """A scalar as it was written, an array or object in compact form with sorted keys."""
+    kind = type(value)
+    if kind is str:
+        return encode_basestring(value) if inner else value
+    if kind is bool:
+        return "true" if value else "false"
+    if value is None:
+        return "null"
+    if kind is list:
+        return "[" + ",".join([written(x, True) for x in value]) + "]"
+    if kind is dict:
+        return "{" + ",".join([f"{encode_basestring(k)}:{written(v, True)}" for k, v in sorted(value.items())]) + "}"
+    return str(value)
+
+
+def _utf8(texts: list) -> pa.Array:
+    try:
+        return pa.array(texts, pa.string())
+    except UnicodeEncodeError:  # a lone surrogate, as JSON can name it
+        return pa.array([None if x is None else x.encode("utf-8", "replace").decode() for x in texts], pa.string())
+
+
+_FIELDS = T.ArrayType(T.StructType([T.StructField("name", T.StringType()), T.StructField("type", T.ByteType()), T.StructField("value", T.LongType())]))
+
+
+def parsed_lines(df: DataFrame, feed: str, seq: str, raw: str, edge: str) -> DataFrame:
+    """(feed, seq, edge, fields): one row a whole JSON object, ``fields`` with name, type and value of each top-level field.
+
+    ``type`` is the place in TYPES, -1 for a JSON null; ``value`` is a 64-bit digest of the
+    value as written; ``edge`` is the text of the field of that name. Lines that aren't one
+    whole object, or that name a field twice, give nothing. The JVM's parsers give either
+    the types or the texts as written, so a line would need two; here it takes one.
     """
-    parsed = with_objects(df, keep, raw).select(*keep, F.from_json("_raw", "map<string,string>").alias("_m"), *([F.try_variant_get("_v", "$." + edge, "string").alias("_edge")] if edge else []), "_v")
-    exploded = parsed.lateralJoin(parsed.sparkSession.tvf.variant_explode(F.col("_v").outer())).where(F.col("key").isNotNull())
-    kind = F.schema_of_variant("value")
-    written = F.try_element_at("_m", F.col("key"))
-    rows = exploded.select(*keep, *(["_edge"] if edge else []), F.col("key").alias("_field"), kind.alias("_kind"), written.alias("_written"), F.col("value").alias("_value"))
-    nested = F.col("_kind").startswith("OBJECT") | F.col("_kind").startswith("ARRAY")
-    number = F.col("_kind").rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-    typ = (
-        F.when(F.col("_kind") == "STRING", "string").when(F.col("_kind") == "BOOLEAN", "boolean").when(F.col("_kind").startswith("ARRAY"), "array").when(F.col("_kind").startswith("OBJECT"), "object")
-        .when(number & F.col("_written").rlike("[.eE]"), "decimal").when(number, "integer")
-    )
-    text = F.when(nested, F.to_json("_value")).otherwise(F.col("_written"))
-    return rows.select(*keep, *(["_edge"] if edge else []), "_field", typ.alias("_type"), F.when(F.col("_kind") != "VOID", text).alias("_text"))
+    ship(df.sparkSession)
+    picked = df.select(F.col(feed).alias("feed"), F.col(seq).alias("seq"), F.col(raw).alias("raw"))
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
+        for b in batches:
+            rows, edges, offsets, names, kinds, values = [], [], [0], [], [], []
+            for n, line in enumerate(b.column(2).to_pylist()):
+                found = whole_object(line)
+                if found is None:
+                    continue
+                rows.append(n)
+                at = found.get(edge)
+                edges.append(None if at is None else written(at))
+                names += found
+                for v in found.values():
+                    if v is None:
+                        kinds.append(-1)
+                        values.append(0)
+                    else:
+                        kinds.append(_KIND[type(v)])
+                        values.append(digest(written(v).encode("utf-8", "replace")))
+                offsets.append(len(names))
+            if rows:
+                struct = pa.StructArray.from_arrays([_utf8(names), pa.array(kinds, pa.int8()), pa.array(np.array(values, np.uint64).view(np.int64))], ["name", "type", "value"])
+                at = pa.array(rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), _utf8(edges), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), struct)], ["feed", "seq", "edge", "fields"])
+
+    kind = T.StructType([*picked.schema.fields[:2], T.StructField("edge", T.StringType()), T.StructField("fields", _FIELDS)])
+    return picked.mapInArrow(parse, kind)
+
+
+def _schemas(parsed: DataFrame) -> DataFrame:
+    values = parsed.select("feed", "seq", F.explode("fields").alias("f")).select("feed", "seq", F.col("f.name").alias("field"), F.col("f.type").alias("_t"))
+    counted = values.groupBy("feed", "seq", "field").agg(F.count(F.lit(1)).alias("lines"), *[F.count_if(F.col("_t") == i).alias(f"_{t}") for i, t in enumerate(TYPES)])
+    most = F.greatest(*[F.col(f"_{t}") for t in TYPES])
+    typ = F.coalesce(*[F.when((F.col(f"_{t}") == most) & (most > 0), t) for t in TYPES])
+    return counted.select("feed", "seq", "field", "lines", typ.alias("type"))
 
 
 def file_schemas(df: DataFrame, feed: str = "feed", seq: str = "file_seq", raw: str = "raw") -> DataFrame:
@@ -75,12 +170,13 @@ def file_schemas(df: DataFrame, feed: str = "feed", seq: str = "file_seq", raw:
 
     ``type`` is null where all values are null; equal counts go to the first of TYPES.
     """
-    counted = _values(df, [feed, seq], raw).groupBy(feed, seq, F.col("_field").alias("field")).agg(
-        F.count(F.lit(1)).alias("lines"), *[F.count(F.when(F.col("_type") == t, 1)).alias(f"_{t}") for t in TYPES]
-    )
-    most = F.greatest(*[F.col(f"_{t}") for t in TYPES])
-    typ = F.coalesce(*[F.when((F.col(f"_{t}") == most) & (most > 0), t) for t in TYPES])
-    return counted.select(feed, seq, "field", "lines", typ.alias("type"))
+    return _schemas(parsed_lines(df, feed, seq, raw, "")).select(F.col("feed").alias(feed), F.col("seq").alias(seq), "field", "lines", "type")
+
+
+def _survey(df: DataFrame, feed: str, seq: str, edge: str, raw: str) -> tuple[DataFrame, DataFrame]:
+    """The parsed lines and the file schemas, each written once."""
+    parsed = materialize(parsed_lines(df, feed, seq, raw, edge), "lines-parsed")
+    return parsed, materialize(_schemas(parsed), "schemas")
 
 
 def schema_changes(df: DataFrame, feed: str = "feed", seq: str = "file_seq", edge: str = "edge_uid", raw: str = "raw") -> DataFrame:
@@ -89,34 +185,26 @@ def schema_changes(df: DataFrame, feed: str = "feed", seq: str = "file_seq", edg
     A field that is gone and one that is new are a renaming when their values, as text,
     agree in all records (by ``edge``, a field of the lines) that both files hold, nulls
     aside, and at least one such record has both. The values of a record enter as the
-    smallest and largest text of each field, so repeated lines multiply nothing. A type
+    smallest and largest digest of each field, so repeated lines multiply nothing. A type
     that no value tells (all null) changes nothing. Rows without feed or seq are left out;
     an empty table gives an empty log.
     """
-    rows = df.select(F.col(feed).alias("feed"), F.col(seq).alias("seq"), F.col(raw).alias("raw")).where("feed IS NOT NULL AND seq IS NOT NULL")
-    schemas = materialize(file_schemas(rows, "feed", "seq", "raw"), "schemas")
-    files = rows.select("feed", "seq").distinct().withColumn("before", F.lag("seq").over(Window.partitionBy("feed").orderBy("seq"))).where("before IS NOT NULL")
-    new = schemas.join(files, ["feed", "seq"]).select("feed", "seq", "field", F.col("type").alias("new_type"), F.lit(True).alias("in_new"))
-    old = schemas.withColumnRenamed("seq", "before").join(files, ["feed", "before"]).select("feed", "seq", "field", F.col("type").alias("old_type"), F.lit(True).alias("in_old"))
-    both = materialize(old.join(new, ["feed", "seq", "field"], "full_outer"), "schema-pairs")
-    gone, fresh = both.where("in_new IS NULL").select("feed", "seq", "field", "old_type"), both.where("in_old IS NULL").select("feed", "seq", "field", "new_type")
+    log = _changes(df.select(F.col(feed).alias("feed"), F.col(seq).alias("seq")).distinct(), *_survey(df, feed, seq, edge, raw))
+    return log.select(F.col("feed").alias(feed), F.col("seq").alias(seq), "change_kind", "old_field", "new_field")
+
+
+def _changes(files: DataFrame, parsed: DataFrame, schemas: DataFrame) -> DataFrame:
+    files = files.where("feed IS NOT NULL AND seq IS NOT NULL").withColumn("before", F.lag("seq").over(Window.partitionBy("feed").orderBy("seq"))).where("before IS NOT NULL")
+    new = schemas.join(files, ["feed", "seq"]).select("feed", "seq", "before", "field", F.col("type").alias("new_type"), F.lit(True).alias("in_new"))
+    old = schemas.withColumnRenamed("seq", "before").join(files, ["feed", "before"]).select("feed", "seq", "before", "field", F.col("type").alias("old_type"), F.lit(True).alias("in_old"))
+    both = materialize(old.join(new, ["feed", "seq", "before", "field"], "full_outer"), "schema-pairs")
+    gone, fresh = both.where("in_new IS NULL"), both.where("in_old IS NULL")
     # Only files in which something went and something came can hold a renaming.
-    changed = gone.select("feed", "seq").distinct().join(fresh.select("feed", "seq").distinct(), ["feed", "seq"])
-    wanted = (
-        gone.join(files, ["feed", "seq"]).select("feed", "seq", F.col("before").alias("at"), "field", F.lit(True).alias("older"))
-        .unionByName(fresh.select("feed", "seq", F.col("seq").alias("at"), "field", F.lit(False).alias("older")))
-        .join(changed, ["feed", "seq"], "left_semi")
-    )
-    values = _values(rows.withColumnRenamed("seq", "at"), ["feed", "at"], "raw", edge).where("_text IS NOT NULL AND _edge IS NOT NULL")
-    states = (
-        values.withColumnRenamed("_field", "field").join(wanted, ["feed", "at", "field"])
-        .groupBy("feed", "seq", F.col("_edge").alias("edge"), "older", "field").agg(F.min("_text").alias("lo"), F.max("_text").alias("hi"))
-    )
-    was = states.where("older").select("feed", "seq", "edge", F.col("field").alias("old_field"), F.col("lo").alias("lo1"), F.col("hi").alias("hi1"))
-    now = states.where("NOT older").select("feed", "seq", "edge", F.col("field").alias("new_field"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
-    agree = (F.col("lo1") == F.col("hi1")) & (F.col("lo2") == F.col("hi2")) & (F.col("lo1") == F.col("lo2"))
-    renamed = was.join(now, ["feed", "seq", "edge"]).groupBy("feed", "seq", "old_field", "new_field").agg(F.min(agree).alias("ok")).where("ok").drop("ok")
-    renamed = materialize(renamed, "renamed")
+    either = both.where("in_new IS NULL OR in_old IS NULL")
+    changed = either.groupBy("feed", "seq").agg(F.count("in_new").alias("_n"), F.count("in_old").alias("_o")).where("_n > 0 AND _o > 0").select("feed", "seq")
+    older = F.col("in_new").isNull()
+    wanted = either.join(changed, ["feed", "seq"], "left_semi").select("feed", "seq", F.when(older, F.col("before")).otherwise(F.col("seq")).alias("at"), F.col("field").alias("name"), older.alias("older"))
+    renamed = materialize(_renamed(parsed, materialize(wanted, "fields-moved")), "renamed")
     across = (
         renamed.join(gone.select("feed", "seq", F.col("field").alias("old_field"), "old_type"), ["feed", "seq", "old_field"])
         .join(fresh.select("feed", "seq", F.col("field").alias("new_field"), "new_type"), ["feed", "seq", "new_field"])
@@ -132,7 +220,30 @@ def schema_changes(df: DataFrame, feed: str = "feed", seq: str = "file_seq", edg
     log = parts[0]
     for p in parts[1:]:
         log = log.unionByName(p)
-    return log.select(F.col("feed").alias(feed), F.col("seq").alias(seq), "change_kind", "old_field", "new_field")
+    return log
+
+
+def _renamed(parsed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(feed, seq, old_field, new_field) of the renamings among the wanted (feed, seq, at, name, older).
+
+    Two counts a pair of fields must be equal: the records that hold both, and those in
+    which the two agree. The first comes from how many records have which fields at all, of
+    which there are few kinds; for the second a record gives its equal pairs only.
+    """
+    values = parsed.where("edge IS NOT NULL").select("feed", F.col("seq").alias("at"), "edge", F.explode("fields").alias("f")).where("f.type >= 0")
+    states = (
+        values.select("feed", "at", "edge", F.col("f.name").alias("name"), F.col("f.value").alias("value")).join(wanted, ["feed", "at", "name"])
+        .groupBy("feed", "seq", "edge", "older", "name").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    )
+    # One row a record, as wide as the record: no field occurs twice.
+    records = states.groupBy("feed", "seq", "edge").agg(F.sort_array(F.collect_list(F.struct("name", "older", "lo", "hi"))).alias("f"))
+    sides = records.select("feed", "seq", F.filter("f", lambda x: x["older"]).alias("olds"), F.filter("f", lambda x: ~x["older"]).alias("news")).where("size(olds) > 0 AND size(news) > 0")
+    same = F.flatten(F.transform("olds", lambda o: F.transform(F.filter("news", lambda n: (n["lo"] == o["lo"]) & (n["hi"] == o["hi"]) & (o["lo"] == o["hi"])), lambda n: F.struct(o["name"].alias("old_field"), n["name"].alias("new_field")))))
+    agree = sides.select("feed", "seq", F.explode(same).alias("p")).groupBy("feed", "seq", "p.old_field", "p.new_field").agg(F.count(F.lit(1)).alias("agree"))
+    kinds = sides.groupBy("feed", "seq", F.col("olds.name").alias("olds"), F.col("news.name").alias("news")).agg(F.count(F.lit(1)).alias("n"))
+    pairs = kinds.select("feed", "seq", "n", "news", F.explode("olds").alias("old_field")).select("feed", "seq", "n", "old_field", F.explode("news").alias("new_field"))
+    held = pairs.groupBy("feed", "seq", "old_field", "new_field").agg(F.sum("n").alias("held"))
+    return agree.join(held, ["feed", "seq", "old_field", "new_field"]).where("agree = held").select("feed", "seq", "old_field", "new_field")
 
 
 def _join_types(types: Column) -> Column:
@@ -146,21 +257,19 @@ def _join_types(types: Column) -> Column:
     return F.aggregate(types, F.lit(None).cast("string"), meet)
 
 
-def union_schema(df: DataFrame, feed: str = "feed", seq: str = "file_seq", edge: str = "edge_uid", raw: str = "raw", changes: DataFrame | None = None) -> DataFrame:
+def union_schema(df: DataFrame, feed: str = "feed", seq: str = "file_seq", edge: str = "edge_uid", raw: str = "raw") -> DataFrame:
     """The schema that all files are cast to: (column, names, type, lines, files), most lines first.
 
     Names that the change log ties by renamings, in any feed, are one column, named after
     the name with the most lines; its type is the join of its files' types in the lattice.
     """
-    schemas = materialize(file_schemas(df, feed, seq, raw), "schemas")
-    changes = schema_changes(df, feed, seq, edge, raw) if changes is None else changes
-    ties = changes.where("change_kind = 'renamed'").groupBy("old_field", "new_field").agg(F.count(F.lit(1)).alias("_n"))
+    parsed, schemas = _survey(df, feed, seq, edge, raw)
+    ties = _changes(schemas.select("feed", "seq").distinct(), parsed, schemas).where("change_kind = 'renamed'").select("old_field", "new_field").distinct()
     link = F.concat_ws("\u0001", "old_field", "new_field")
-    own = schemas.select("field", F.col("field").alias("link")).distinct()
-    tied = ties.select("old_field", "new_field", link.alias("link"))
-    members = own.unionByName(tied.select(F.col("old_field").alias("field"), "link")).unionByName(tied.select(F.col("new_field").alias("field"), "link"))
+    tied = ties.select(F.explode(F.array("old_field", "new_field")).alias("field"), link.alias("link"))
+    members = schemas.select("field", F.col("field").alias("link")).distinct().unionByName(tied)
     group = components(members, "field", "link")
-    by_name = schemas.groupBy("field").agg(F.sum("lines").alias("lines"), F.collect_set("type").alias("types"), F.count_distinct(feed, seq).alias("files"))
+    by_name = schemas.groupBy("field").agg(F.sum("lines").alias("lines"), F.collect_set("type").alias("types"), F.count_distinct("feed", "seq").alias("files"))
     ranked = by_name.join(group, "field")
     order = F.struct((-F.col("lines")).alias("l"), F.col("field").alias("f"))
     return ranked.groupBy("component").agg(
@@ -172,7 +281,7 @@ def union_schema(df: DataFrame, feed: str = "feed", seq: str = "file_seq", edge:
     ).drop("component")
 
 
-def unified(df: DataFrame, keep: list[str], schema: DataFrame, targets: Mapping[str, str] | None = None, raw: str = "raw", max_columns: int = 200) -> DataFrame:
+def unified(df: DataFrame, keep: list[str], schema: DataFrame, targets: Mapping[str, str] | None = None, raw: str = "raw") -> DataFrame:
     """Every whole line as a row of the union schema: ``keep``, then a column a union column.
 
     ``targets`` gives wanted Spark types by column, under any of its names, and the column
@@ -182,19 +291,21 @@ def unified(df: DataFrame, keep: list[str], schema: DataFrame, targets: Mapping[
     integer type an id behind a prefix (``CorpusId:7``) gives its digits. A value that can't
     be cast is null there and kept, as text, in the map column ``rest``. Of several names of
     a column in one line the first that isn't null holds. The union schema is metadata and
-    read on the driver, ``max_columns`` columns of it; fields beyond these are kept whole in
-    ``rest``. Columns of ``keep`` win over fields of the same name.
+    read on the driver, whole. Columns of ``keep`` win over fields of the same name, which
+    stay in ``rest``; of union columns whose names differ in case only, the later ones get a
+    number, so that the table can be written.
     """
     targets = dict(targets or {})
-    known = schema.orderBy(F.desc("lines"), "column").limit(max_columns).collect()
+    known = [(r, next((n for n in targets if n in r["names"]), None)) for r in schema.orderBy(F.desc("lines"), "column").collect()]
+    kept = {k.lower() for k in keep}
+    taken_names = kept | {"rest"}
     v = F.col("_v")
-    out, used, hidden, casts, taken = [], [], [], [], []
-    for r in known:
-        used += list(r["names"])
-        column = next((n for n in targets if n in r["names"]), r["column"])
-        if column in keep:
-            hidden += list(r["names"])
+    out, used, casts, taken = [], [], [], []
+    for r, target in sorted(known, key=lambda x: x[1] is None):  # wanted names first
+        column = target or r["column"]
+        if column.lower() in kept:
             continue
+        used += list(r["names"])
         to = targets.get(column, SPARK_TYPES[r["type"] or "string"])
         own = []
         for n in r["names"]:
@@ -207,15 +318,20 @@ def unified(df: DataFrame, keep: list[str], schema: DataFrame, targets: Mapping[
                 tries.append(F.when(F.try_variant_get(at, p, to[6:-1]).isNotNull(), F.array(F.try_variant_get(at, p, to[6:-1]))))
             elif to != "string":
                 tries += [F.try_variant_get(at, p + ".id", to), F.try_variant_get(at, p + "[0]", to)]
-            if column in targets and to in _INTEGERS:
+            if target and to in _INTEGERS:
                 tries += [F.regexp_extract(F.try_variant_get(at, p + q, "string"), _PREFIXED, 1).try_cast(to) for q in ("", ".id", "[0]")]
             own.append(f"_cast{len(casts)}")
             casts.append(F.coalesce(*tries).alias(own[-1]))
             taken.append(F.when(F.col(own[-1]).isNotNull(), F.lit(n)))
-        out.append(F.coalesce(*own).alias(column))
+        alias, number = column, 1
+        while alias.lower() in taken_names:
+            number += 1
+            alias = f"{column}_{number}"
+        taken_names.add(alias.lower())
+        out.append(F.coalesce(*own).alias(alias))
     parsed = with_objects(df, keep, raw).where(F.schema_of_variant("_v").startswith("OBJECT")).select(*keep, "_v", *casts)
     names = F.array(*[F.lit(n) for n in used]) if used else F.array().cast("array<string>")
-    held = F.array_compact(F.array(*[F.lit(n) for n in hidden], *taken)) if used else F.array().cast("array<string>")
+    held = F.array_compact(F.array(*taken)) if used else F.array().cast("array<string>")
     # Of the columns' names only what none of the casts could take.
     rest = F.map_filter(F.try_variant_get(v, "$", "map<string,string>"), lambda k, x: ~F.array_contains(names, k) | (x.isNotNull() & ~F.array_contains(held, k)))
     return parsed.select(*keep, *out, rest.alias("rest"))

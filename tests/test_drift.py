@@ -1,6 +1,6 @@
 import json
 
-from refmine.sources.drift import file_schemas, schema_changes, unified, union_schema
+from refmine.sources.drift import file_schemas, schema_changes, unified, union_schema, whole_object, written
 
 
 def lines(spark, files):
@@ -45,8 +45,40 @@ def test_one_table(spark):
     rows = {(r.file_seq, r.edge_uid): r for r in unified(df, ["feed", "file_seq", "line_id"], schema, {"corpusid": "bigint", "contexts": "array<string>", "edge_uid": "bigint"}).collect()}
     assert [rows[k].corpusid for k in sorted(rows)] == [7, 7, 8, 9]
     assert rows[(2, 1)].contexts == ["b"] and rows[(2, 1)].extra == 2.5 and rows[(2, 2)]["it's"] is True and rows[(2, 2)]["a\"'b"] == 4
-    narrow = unified(df, ["line_id"], schema, max_columns=1).collect()
-    assert len(narrow) == 4 and any("src" in (r.rest or {}) for r in narrow)
+
+
+def test_the_table_can_be_saved(spark, tmp_path):
+    """Fields named like kept columns, names that differ in case only, more fields than a page of columns."""
+    wide = {f"c{i}": i for i in range(230)}
+    files = {("f", 1): [{"edge_uid": 1, "feed": "own", "corpusid": 7, "rest": "r", **wide}], ("f", 2): [{"edge_uid": 2, "corpusId": 8, "CORPUSID": 9, "Line_ID": 3}]}
+    df = lines(spark, files)
+    unified(df, ["feed", "line_id"], union_schema(df), {"edge_uid": "bigint"}).write.parquet(str(tmp_path / "t"))
+    rows = sorted(spark.read.parquet(str(tmp_path / "t")).collect(), key=lambda r: r.line_id)
+    assert len({c.lower() for c in rows[0].asDict()}) == len(rows[0].asDict()) == 2 + 1 + 230 + 3 + 1 + 1
+    assert [r.edge_uid for r in rows] == [1, 2] and rows[0].feed == "f" and rows[0].rest == {"feed": "own"} and rows[1].rest == {"Line_ID": "3"}
+    assert {r.asDict()[c] for r in rows for c in r.asDict() if c.lower().startswith("corpusid")} == {7, 8, 9, None} and rows[0].rest_2 == "r" and rows[0].c229 == 229
+
+
+def test_many_fields_multiply_nothing(spark):
+    """A hundred gone and new fields, with equal values throughout, against the pairwise comparison."""
+    old, new = [f"o{i}" for i in range(40)], [f"n{i}" for i in range(40)]
+    a = [{"edge_uid": e, **{f: (e * (i % 7 + 1)) % 3 for i, f in enumerate(old) if (e + i) % 5}} for e in range(12)]
+    b = [{"edge_uid": e, **{f: (e * (i % 7 + 1)) % 3 for i, f in enumerate(new) if (e + i) % 4}} for e in range(6, 18)]
+    want = set()
+    for o in old:
+        for n in new:
+            both = [(x[o], y[n]) for x in a for y in b if x["edge_uid"] == y["edge_uid"] and o in x and n in y]
+            if both and all(p == q for p, q in both):
+                want.add((o, n))
+    got = schema_changes(lines(spark, {("f", 1): a, ("f", 2): b})).where("change_kind = 'renamed'").collect()
+    assert want and {(r.old_field, r.new_field) for r in got} == want
+
+
+def test_whole_objects():
+    for line in ('{"a": 1, "a": 2}', "[1]", "1", '{"a": NaN}', '{"a": 01}', '{"a": 1} x', "", None, '{"a": "\x01"}', "[" * 100_000):
+        assert whole_object(line) is None, line
+    found = whole_object(' {"n": 1.50, "e": 1e3, "i": 12345678901234567890123, "s": "1", "b": true, "x": {"b": [1, "1", null], "a": 2.0}} ')
+    assert [written(v) for v in found.values()] == ["1.50", "1e3", "12345678901234567890123", "1", "true", '{"a":2.0,"b":[1,"1",null]}']
 
 
 def test_no_value_is_lost(spark):
