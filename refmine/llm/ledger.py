@@ -1,21 +1,31 @@
 """Records that differ only in dress, counted in a ledger that grows batch by batch.
 
 A record's canonical key drops white space, case, punctuation and item order. The ledger
-is a table bucketed by the key's digest: (key, copies, first_id). A new batch is reduced to
-its distinct keys, full-outer-joined with the ledger bucket by bucket, counts are added and
-the earliest representative stays.
+is a table bucketed by the key's digest: (scope, key, copies, first_id), in a folder of its
+own. A new batch is reduced to its distinct keys and written in the same buckets;
+full-outer-joined with the matching buckets of the ledger, counts are added and the
+earliest representative stays. Buckets that a batch doesn't touch are neither read nor
+written.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from refmine import storage
 from refmine.functions.text import bare_form
 from refmine.operators.skew import HOT_PARTS, hot_key_join
 from refmine.session import shared_dir
 
+#: The bucket in the name of a bucketed file.
+_BUCKET = re.compile(r"_(\d+)(?:\..*)?$")
+_KEYS = ("scope", "key")
+
 
 def canonical_text(c: Column | str) -> Column:
     """Canonical form of one text, null for null and for texts without letters and digits."""
@@ -37,66 +47,142 @@ def key_digest(*parts: Column) -> Column:
 
 
 class CopyLedger:
-    """Canonical keys with their number of copies and earliest representative.
-
-    Each version lies in the shared folder as a bucketed table, so an update shuffles the
-    batch's distinct keys only, never the ledger, and a lost executor reads it again.
+    """Canonical keys with their number of copies and earliest representative, in a folder.
+
+    The folder holds one bucketed file a bucket and manifests (which files make up a version,
+    which batches are in it). A version counts when its manifest is there, which one writer
+    alone can create; an update that fails before leaves the version before as it was, and a
+    batch that has been counted is not counted again. The folder alone is the ledger: opened
+    by its path, in any session, it goes on where it was. Files of a version are removed two
+    versions later, so that what was planned on the version before can still run.
     """
 
-    def __init__(self, spark: SparkSession, buckets: int | None = None, label: str = "ledger"):
-        """``buckets``: as many as the session's shuffle partitions, unless given."""
-        self.spark, self.buckets = spark, buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.name = f"{label}_{uuid.uuid4().hex}"
-        self.version = 0
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
+        """``path``: an earlier or a new ledger (none: a new one in the shared folder). ``buckets`` of a
+        new one: as many as the session's shuffle partitions, unless given."""
+        self.spark = spark
+        self.path = (path or f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}").rstrip("/")
+        found = self._latest()
+        self.buckets = found["buckets"] if found else buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.name = "ledger_" + hashlib.md5(self.path.encode()).hexdigest()
+        if found:
+            self._register(found)
+
+    # Versions -------------------------------------------------------------------------
+
+    def _latest(self) -> dict | None:
+        versions = storage.file_names(self.spark, f"{self.path}/manifests")
+        return json.loads(storage.read_text(self.spark, f"{self.path}/manifests/{versions[-1]}")) if versions else None
+
+    def _register(self, manifest: dict) -> None:
+        """The folder's files as a bucketed table of this session's catalog, so that scans know the buckets."""
+        columns = f"scope STRING, key BINARY, copies BIGINT, first_id {manifest['id_type']}"
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}) USING parquet CLUSTERED BY (scope, key) SORTED BY (scope, key) INTO {self.buckets} BUCKETS LOCATION '{self.path}/data'"
+        )
+
+    def _rows(self, files: list[str]) -> DataFrame:
+        self.spark.catalog.refreshTable(self.name)
+        return self.spark.table(self.name).where(F.col("_metadata.file_name").isin(files))
 
-    def _table(self, version: int) -> str:
-        return f"{self.name}_{version}"
+    @property
+    def version(self) -> int:
+        found = self._latest()
+        return found["version"] if found else 0
 
     @property
     def entries(self) -> DataFrame | None:
         """(scope, key, copies, first_id), or None before the first update."""
-        return self.spark.table(self._table(self.version)) if self.version else None
+        found = self._latest()
+        return self._rows(list(found["files"].values())) if found else None
+
+    # Updates --------------------------------------------------------------------------
 
-    def update(self, batch: DataFrame) -> None:
+    def update(self, batch: DataFrame, batch_id: str | None = None) -> bool:
         """Add a batch of (scope, key, id): one row a record. Null keys are left out; a batch may be empty.
 
-        A hot key is one row a task after partial aggregation. Ids repeat as often as they come.
+        A hot key is one row a task after partial aggregation. Ids repeat as often as they
+        come. A ``batch_id`` that was counted before changes nothing: False. Only the batch's
+        distinct keys are shuffled, never the ledger.
         """
-        new = batch.where("key IS NOT NULL").groupBy("scope", "key").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("first_id"))
-        old = self.entries
-        if old is None:
-            merged = new
-        else:
-            o, n = old.alias("o"), new.alias("n")
-            merged = o.join(n, (F.col("o.key") == F.col("n.key")) & (F.col("o.scope") == F.col("n.scope")), "full_outer").select(
-                F.coalesce("o.scope", "n.scope").alias("scope"),
-                F.coalesce("o.key", "n.key").alias("key"),
-                (F.coalesce("o.copies", F.lit(0)) + F.coalesce("n.copies", F.lit(0))).alias("copies"),
-                F.least("o.first_id", "n.first_id").alias("first_id"),
-            )
-        path = f"{shared_dir(self.spark)}/{self._table(self.version + 1)}"
-        writer = merged.repartition(self.buckets, "scope", "key").write.option("path", path).bucketBy(self.buckets, "scope", "key")
-        writer.sortBy("scope", "key").saveAsTable(self._table(self.version + 1))
-        if self.version:
-            self.spark.sql(f"DROP TABLE {self._table(self.version)}")
-        self.version += 1
+        found = self._latest()
+        if found and batch_id is not None and batch_id in found["batches"]:
+            return False
+        batch_id = batch_id or uuid.uuid4().hex
+        id_type = dict(batch.dtypes)["id"]
+        found = found or {"version": 0, "buckets": self.buckets, "id_type": id_type, "files": {}, "batches": [], "stale": []}
+        staged, folder = f"{self.name}_{uuid.uuid4().hex}", f"{self.path}/staged/{uuid.uuid4().hex}"
+        self._stage(batch, staged, folder)
+        try:
+            fresh = self._by_bucket(folder)
+            met = [b for b in fresh if b in found["files"]]
+            storage.make_folder(self.spark, f"{self.path}/data")
+            self._register(found)
+            new = {}
+            if met:
+                before = set(storage.file_names(self.spark, f"{self.path}/data"))
+                own = self.spark.table(staged).where(F.col("_metadata.file_name").isin([fresh[b] for b in met]))
+                merged = self._merged(self._rows([found["files"][b] for b in met]), own)
+                merged.write.mode("append").format("parquet").bucketBy(self.buckets, *_KEYS).sortBy(*_KEYS).saveAsTable(self.name)
+                new = self._by_bucket(f"{self.path}/data", before)
+            # Buckets that the ledger hasn't yet are taken over as they are.
+            for b in set(fresh) - set(met):
+                new[b] = fresh[b]
+                storage.rename(self.spark, f"{folder}/{fresh[b]}", f"{self.path}/data/{fresh[b]}")
+            self._commit(found, new, batch_id)
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
+            storage.delete(self.spark, folder)
+        return True
+
+    def _stage(self, batch: DataFrame, name: str, folder: str) -> None:
+        new = batch.where("key IS NOT NULL").groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("first_id"))
+        if self.buckets != int(self.spark.conf.get("spark.sql.shuffle.partitions")):
+            new = new.repartition(self.buckets, *_KEYS)  # one file a bucket
+        new.write.option("path", folder).bucketBy(self.buckets, *_KEYS).sortBy(*_KEYS).saveAsTable(name)
+
+    @staticmethod
+    def _merged(old: DataFrame, new: DataFrame) -> DataFrame:
+        o, n = old.alias("o"), new.alias("n")
+        return o.join(n, (F.col("o.scope") == F.col("n.scope")) & (F.col("o.key") == F.col("n.key")), "full_outer").select(
+            F.coalesce("o.scope", "n.scope").alias("scope"),
+            F.coalesce("o.key", "n.key").alias("key"),
+            (F.coalesce("o.copies", F.lit(0)) + F.coalesce("n.copies", F.lit(0))).alias("copies"),
+            F.least("o.first_id", "n.first_id").alias("first_id"),
+        )
+
+    def _by_bucket(self, folder: str, but: set[str] = frozenset()) -> dict[str, str]:
+        return {_BUCKET.search(n)[1]: n for n in storage.file_names(self.spark, folder) if n not in but and _BUCKET.search(n)}
+
+    def _commit(self, found: dict, new: dict[str, str], batch_id: str) -> None:
+        stale = [found["files"][b] for b in new if b in found["files"]]
+        version = found["version"] + 1
+        manifest = {**found, "version": version, "files": {**found["files"], **new}, "batches": [*found["batches"], batch_id], "stale": stale}
+        storage.write_new(self.spark, f"{self.path}/manifests/{version:09d}.json", json.dumps(manifest))
+        for n in found["stale"]:
+            storage.delete(self.spark, f"{self.path}/data/{n}")
+        storage.delete(self.spark, f"{self.path}/manifests/{version - 2:09d}.json")
+        self.spark.catalog.refreshTable(self.name)
+
+    # Copies ---------------------------------------------------------------------------
 
     def copies(self, rows: DataFrame) -> DataFrame:
         """(scope, first_id, copy_id) for the rows (scope, key, id) that aren't their key's representative.
 
         The ledger itself tells which keys are hot; their rows are matched where they lie.
         """
-        if not self.version:
+        entries = self.entries
+        if entries is None:
             raise ValueError("the ledger is empty")
-        repeated = self.entries.where("copies > 1").select("scope", "key", "copies", "first_id")
-        total = self.entries.agg(F.sum("copies").alias("_all"))
-        hot = repeated.where(F.col("copies") * HOT_PARTS > total.scalar()).select("scope", "key")
-        found = hot_key_join(rows.where("key IS NOT NULL"), repeated.drop("copies"), ["scope", "key"], hot=hot)
+        repeated = entries.where("copies > 1").select("scope", "key", "copies", "first_id")
+        total = entries.agg(F.sum("copies").alias("_all"))
+        hot = repeated.where(F.col("copies") * HOT_PARTS > total.scalar()).select(*_KEYS)
+        found = hot_key_join(rows.where("key IS NOT NULL"), repeated.drop("copies"), list(_KEYS), hot=hot)
         return found.where("id <> first_id").select("scope", "first_id", F.col("id").alias("copy_id"))
 
 
-def in_batches(rows: DataFrame, at: str, batches: int) -> list[DataFrame]:
-    """Rows in ``batches`` runs of about equal size by their time ``at``; rows without a time come first.
+def batch_numbers(rows: DataFrame, at: str, batches: int) -> Column:
+    """The run of about equal size, by the time ``at``, that a row falls in: 0 .. batches - 1; rows without a time come first.
 
     The bounds are approximate quantiles over all rows; every row is in exactly one batch.
     """
@@ -105,5 +191,5 @@ def in_batches(rows: DataFrame, at: str, batches: int) -> list[DataFrame]:
     bounds = rows.select(F.percentile_approx(seconds, wanted, 1000).alias("b")).first()["b"] if wanted else []
     number = F.lit(0)
     for b in bounds or []:
-        number = number + F.when(seconds > b, 1).otherwise(0)
-    return [rows.where(number == i) for i in range(batches)]
+        number = number + F.coalesce(F.when(seconds > b, 1), F.lit(0))
+    return number

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from refmine.llm.leakage import leaked_items
-from refmine.llm.ledger import CopyLedger, canonical_items, canonical_text, in_batches, key_digest
+from refmine.llm.ledger import CopyLedger, batch_numbers, canonical_items, canonical_text, key_digest
 from refmine.llm.splitting import split_oversized
 from refmine.llm.survivors import surviving_fields
 from refmine.llm.terms import term_frequencies
 from refmine.llm.tokenizer import encode_corpus, vocabulary_path
-from refmine.session import table
+from refmine.session import materialize, table
 
 
 #: Batches in which the ledger takes in the tables.
@@ -18,21 +18,21 @@ BATCHES = 3
 
 
 def _copy_keys(spark: SparkSession, folder: str) -> DataFrame:
-    """(scope, key, id, at) of both tables; rows that aren't compared have a null key."""
-    e = table(spark, folder, "extraction_results")
+    """(scope, key, id, batch) of both tables, keys computed once; rows that aren't compared have no key and are left out."""
+    e, a = table(spark, folder, "extraction_results"), table(spark, folder, "analyzed_datasets")
+    number = batch_numbers(e.select("ingested_at").unionByName(a.select("ingested_at")), "ingested_at", BATCHES).alias("batch")
     items = key_digest(F.col("citing_paper_id"), F.col("cited_paper_id"), canonical_items("extracted_datasets"))
-    a = table(spark, folder, "analyzed_datasets")
-    return (
-        e.select(F.lit("extraction_results").alias("scope"), items.alias("key"), F.col("extraction_id").alias("id"), F.col("ingested_at").alias("at"))
-        .unionByName(a.select(F.lit("analyzed_datasets").alias("scope"), key_digest(canonical_text("dataset")).alias("key"), F.col("row_id").alias("id"), F.col("ingested_at").alias("at")))
-        .where("key IS NOT NULL")
+    rows = (
+        e.select(F.lit("extraction_results").alias("scope"), items.alias("key"), F.col("extraction_id").alias("id"), number)
+        .unionByName(a.select(F.lit("analyzed_datasets").alias("scope"), key_digest(canonical_text("dataset")).alias("key"), F.col("row_id").alias("id"), number))
     )
+    return materialize(rows.where("key IS NOT NULL"), "copy-keys", "batch")
 
 
 def _ledger(rows: DataFrame) -> CopyLedger:
     ledger = CopyLedger(rows.sparkSession)
-    for batch in in_batches(rows, "at", BATCHES):
-        ledger.update(batch)
+    for n in range(BATCHES):
+        ledger.update(rows.where(F.col("batch") == n), f"arrival-{n}")
     return ledger
 
 

@@ -5,7 +5,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from refmine.llm.ledger import CopyLedger, canonical_items, canonical_text, in_batches, key_digest
+from refmine.llm.ledger import CopyLedger, batch_numbers, canonical_items, canonical_text, key_digest
 from refmine.llm.survivors import _peel, best_by_skyline, dominance_layers, says_something, skyline_layers, surviving_fields
 from refmine.llm.terms import BurstTrie, term_frequencies
 
@@ -20,7 +20,8 @@ def test_ledger_over_batches(spark):
     rows = [(i, rng.choice(names + ["hot"] * 12), datetime(2024, 1, 1 + rng.randrange(28)) if rng.random() < 0.9 else None) for i in range(2500)]
     df = spark.createDataFrame(rows, "id bigint, name string, at timestamp")
     keyed = df.select(F.lit("t").alias("scope"), key_digest(canonical_text("name")).alias("key"), "id", "at")
-    batches = in_batches(keyed, "at", 3)
+    numbered = keyed.withColumn("n", batch_numbers(keyed, "at", 3))
+    batches = [numbered.where(F.col("n") == i).drop("n", "at") for i in range(3)]
     assert sum(b.count() for b in batches) == 2500
     ledger = CopyLedger(spark, buckets=4)
     for b in [*batches, keyed.limit(0)]:
@@ -33,6 +34,34 @@ def test_ledger_over_batches(spark):
     assert {(r.first_id, r.copy_id) for r in ledger.copies(keyed).collect()} == {(min(g), i) for g in groups.values() for i in g if i != min(g)}
 
 
+def test_ledger_goes_on_where_it_was(spark, tmp_path):
+    """Opened by its path; a batch counts once; an update shuffles the batch only and writes the buckets that it touches."""
+    def rows(names):
+        df = spark.createDataFrame([(i, n) for i, n in names], "id bigint, name string")
+        return df.select(F.lit("t").alias("scope"), key_digest(canonical_text("name")).alias("key"), "id")
+
+    path = f"file://{tmp_path}/ledger"
+    assert CopyLedger(spark, path, buckets=8).update(rows([(i, f"name {i % 40}") for i in range(100)]), "first")
+    again = CopyLedger(spark, path)
+    assert again.buckets == 8 and not again.update(rows([(1, "name 1")]), "first")
+    before = again._latest()["files"]
+    assert again.update(rows([(0, "NAME-1"), (500, "name 7 "), (501, "new")]), "second")
+    found, after = again._latest(), CopyLedger(spark, path)._latest()["files"]
+    changed = [b for b in after if after[b] != before.get(b)]
+    assert 1 <= len(changed) <= 3 and found["version"] == 2 and sorted(found["batches"]) == ["first", "second"]
+    counts = sorted((r.first_id, r.copies) for r in CopyLedger(spark, path).entries.collect())
+    assert counts[:3] == [(0, 3), (0, 4), (2, 3)] and (7, 4) in counts and counts[-1] == (501, 1) and sum(n for _, n in counts) == 103
+    for n in range(3):
+        again.update(rows([(n, "name 1")]), f"more {n}")
+    left = {p.name for p in (tmp_path / "ledger" / "data").glob("*.parquet")}
+    assert len(left - set(again._latest()["files"].values())) == 1  # what the last update replaced
+    assert len(list((tmp_path / "ledger" / "manifests").glob("*.json"))) == 2 and not list((tmp_path / "ledger" / "staged").glob("*"))
+
+    old, new = again._rows(list(after.values())), again._rows(list(after.values()))
+    plan = again._merged(old, new)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
 def test_canonical_items(spark):
     df = spark.createDataFrame([(["B-1", "a ", None, "--"],), (["A", "b1", "a!"],), (["--", None],), ([],), (None,)], "v array<string>")
     assert [r[0] for r in df.select(canonical_items("v")).collect()] == ["a\u001fb1", "a\u001fb1", None, None, None]
