@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from refmine.llm.leakage import leaked_items
 from refmine.llm.ledger import CopyLedger, batch_numbers, canonical_items, canonical_text, key_digest
 from refmine.llm.splitting import split_oversized
-from refmine.llm.survivors import surviving_fields
+from refmine.llm.survivors import PLACEHOLDERS, surviving_fields, surviving_records
 from refmine.llm.terms import term_frequencies
 from refmine.llm.tokenizer import encode_corpus, vocabulary_path
 from refmine.session import materialize, table
@@ -62,6 +62,12 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return surviving_fields(table(spark, folder, "merged_datasets"), table(spark, folder, "extraction_results"))
 
 
+def p6_records(spark: SparkSession, folder: str) -> DataFrame:
+    """One built record a group."""
+    rows = surviving_records(table(spark, folder, "merged_datasets"), table(spark, folder, "extraction_results"))
+    return rows.withColumn("variants", F.array_join("variants", " | "))
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return encode_corpus(docs, "text", vocabulary_path()).select("doc_id", "ids")
@@ -92,7 +98,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return p9_pieces(spark, folder).where("piece = 1").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_records, p5_found, p5_terms, p6_found, p7_ids, p8_found, p8_paraphrased, p9_found, p9_pieces)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_records, p5_found, p5_terms, p6_found, p6_records, p7_ids, p8_found, p8_paraphrased, p9_found, p9_pieces)}
 
 _BARE = r"lower(regexp_replace({}, '[^\p{{L}}\p{{N}}]+', '', 'g'))"
 _KEYS = f"""
@@ -119,7 +125,32 @@ WITH i AS (
   SELECT field_name, count(DISTINCT id) AS holding FROM t WHERE term <> '' GROUP BY ALL
 )"""
 
+_SURVIVORS = f"""
+WITH RECURSIVE m AS (
+  SELECT record_id AS id, name, trust, updated_at AS tm, mention_ids, list_filter(list_distinct(variants), lambda x: {_BARE.format("x")} <> '') AS own,
+    list_filter(list_distinct(list_transform(list_append(coalesce(variants, []), name), lambda x: {_BARE.format("x")})), lambda x: x <> '') AS forms
+  FROM merged_datasets
+), f AS (SELECT id, unnest(forms) AS form FROM m), l AS (SELECT DISTINCT a.id AS x, b.id AS y FROM f a JOIN f b USING (form)),
+reach AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM reach r JOIN l ON r.y = l.x),
+g AS (SELECT x AS id, min(y) AS group_id FROM reach GROUP BY x HAVING count(*) > 1),
+r AS (SELECT g.group_id, m.* FROM m JOIN g USING (id)),
+known AS (SELECT DISTINCT group_id, form FROM f JOIN g USING (id)),
+said AS (SELECT extraction_id AS eid, confidence_score AS c, extracted_at AS tm, unnest(map_entries(dataset_descriptions)) AS e FROM extraction_results),
+d AS (
+  SELECT DISTINCT eid, c, tm, {_BARE.format("e.key")} AS form FROM said
+  WHERE {_BARE.format("e.value")} <> '' AND {_BARE.format("e.value")} NOT IN ({", ".join(repr(p) for p in PLACEHOLDERS)})
+), o AS (
+  SELECT DISTINCT group_id, eid, c, d.tm FROM (SELECT group_id, unnest(mention_ids) AS eid FROM r) JOIN d USING (eid) JOIN known USING (group_id, form)
+), ranked AS (
+  SELECT group_id, 'name' AS field_name, id AS source_id, row_number() OVER (PARTITION BY group_id ORDER BY trust DESC NULLS LAST, tm DESC NULLS LAST, id) AS n FROM r WHERE {_BARE.format("name")} <> ''
+  UNION ALL
+  SELECT group_id, 'variants', id, row_number() OVER (PARTITION BY group_id ORDER BY len(own) DESC, tm DESC NULLS LAST, id) FROM r WHERE len(own) > 0
+  UNION ALL
+  SELECT group_id, 'dataset_descriptions', eid, row_number() OVER (PARTITION BY group_id ORDER BY c DESC NULLS LAST, tm DESC NULLS LAST, eid) FROM o
+)"""
+
 ORACLE: dict[str, str] = {
+    "p6_found": _SURVIVORS + " SELECT group_id, field_name, source_id FROM ranked WHERE n = 1",
     "p2_found": _KEYS + """
 SELECT * FROM (SELECT table_name, min(id) OVER (PARTITION BY table_name, k) AS first_id, id AS copy_id FROM keys) WHERE first_id <> copy_id""",
     "p2_records": _KEYS + " SELECT table_name, min(id) AS first_id, count(*) AS copies FROM keys GROUP BY table_name, k",

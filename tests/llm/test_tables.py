@@ -6,7 +6,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from refmine.llm.ledger import CopyLedger, batch_numbers, canonical_items, canonical_text, key_digest
-from refmine.llm.survivors import _peel, best_by_skyline, dominance_layers, says_something, skyline_layers, surviving_fields
+from refmine.llm.survivors import Field, _peel, dominance_layers, layered_survivors, says_something, surviving_fields, surviving_records
 from refmine.llm.terms import BurstTrie, term_frequencies
 
 
@@ -119,29 +119,60 @@ def test_layers_against_pairwise_comparison():
             assert (dominance_layers(dims[group == g], most) == want[group == g]).all()
 
 
-def test_skyline_operator(spark):
+def brute_layers(points):
+    left, layer, depth = set(points), {}, 0
+    while left:
+        front = {p for p in left if not any(q != p and all(a >= b for a, b in zip(q, p)) for q in left)}
+        layer |= dict.fromkeys(front, depth)
+        left, depth = left - front, depth + 1
+    return layer
+
+
+def test_layered_survivors_against_brute_force(spark):
     rng = random.Random(4)
-    rows = [(rng.choice(["hot"] * 6 + ["a", None]), rng.randrange(40), rng.choice([None, *range(30)]), rng.randrange(3), i) for i in range(4000)]
-    df = spark.createDataFrame(rows, "g string, x int, y int, z int, id bigint").repartition(4)
+    maybe = lambda v: v if rng.random() < 0.4 else None
+    rows = []
+    for i in range(3000):
+        x, y = maybe(rng.random()), maybe(rng.random())
+        rows.append((rng.choice(["hot"] * 6 + ["a", "b", None]), (x is not None) + (y is not None), rng.choice([None, *range(30)]), rng.randrange(5), x, y, i))
+    df = spark.createDataFrame(rows, "g string, n int, t int, z int, x double, y double, id bigint").repartition(4)
     low = lambda v: float("-inf") if v is None else float(v)
-    for dims in (["x"], ["x", "y"], ["x", "y", "z"]):
-        at = [["x", "y", "z"].index(d) + 1 for d in dims]
-        by = defaultdict(dict)
-        for r in rows:
-            v = tuple(low(r[i]) for i in at)
-            by[r[0]][v] = min(r[4], by[r[0]].get(v, 1 << 60))
-        want = set()
-        for g, points in by.items():
-            left = set(points)
-            for depth in range(2):
-                front = {p for p in left if not any(q != p and all(a >= b for a, b in zip(q, p)) for q in left)}
-                want |= {(g, points[p], depth) for p in front}
-                left -= front
-        assert {(r.g, r.id, r.layer) for r in skyline_layers(df, ["g"], dims, "id", 2).collect()} == want
-    best = {r.g: r.id for r in best_by_skyline(df, ["g"], ["x", "y"], "id").collect()}
-    for g in ("hot", "a", None):
-        assert best[g] == min((-r[1], -low(r[2]), r[4]) for r in rows if r[0] == g)[2]
-    assert skyline_layers(df.limit(0), ["g"], ["x", "y"], "id").count() == 0
+    fields = [Field(c, F.col(c).isNotNull(), F.col(a), F.col(b), F.col("id")) for c, a, b in (("x", "z", "t"), ("y", "y", "t"), ("none", "z", "t"))]
+    fields[2] = Field("none", F.lit(False), F.col("z"), F.col("t"), F.col("id"))
+    for layers in (1, 2, 50):
+        for by_layer in (True, False):
+            want = set()
+            for g in ("hot", "a", "b"):
+                own = [r for r in rows if r[0] == g]
+                deep = brute_layers([(r[1], low(r[2]), r[3]) for r in own])
+                for f, at in (("x", 4), ("y", 5)):
+                    key = (lambda r: (-r[3], -low(r[2]), r[6])) if f == "x" else (lambda r: (-r[5], -low(r[2]), r[6]))
+                    tier = lambda r: min(layers, deep[(r[1], low(r[2]), r[3])])  # noqa: E731, B023
+                    best = min((r for r in own if r[at] is not None), key=lambda r: (tier(r), *key(r)) if by_layer else key(r))  # noqa: B023
+                    want.add((g, f, tier(best), best[6]))
+            got = layered_survivors(df, "g", [F.col("n"), F.col("t"), F.col("z")], fields, layers, by_layer)
+            assert {tuple(r) for r in got.collect()} == want, (layers, by_layer)
+    assert layered_survivors(df.limit(0), "g", [F.col("n")], fields).count() == 0
+
+
+def test_layers_decide_what_fills_a_gap(spark):
+    """The record of the second layer is more trusted than the one of the first that has the name."""
+    t = lambda d: datetime(2024, 1, d)
+    records = [(1, None, ["a b", "x"], None, 6, t(2)), (2, "AB", None, None, 1, t(10)), (3, "a.b", None, None, 5, t(1)), (4, None, ["--"], None, 9, None)]
+    r = spark.createDataFrame(records, "record_id bigint, name string, variants array<string>, mention_ids array<bigint>, trust int, updated_at timestamp")
+    e = spark.createDataFrame([(7, {"ab": "text"}, 0.5, t(1))], "extraction_id bigint, dataset_descriptions map<string,string>, confidence_score double, extracted_at timestamp")
+    assert [tuple(x) for x in surviving_records(r, e).collect()] == [(1, "AB", ["a b", "x"], None, 0, 0, None)]
+    by_rule = {(x.field_name, x.source_id) for x in surviving_fields(r, e).collect()}
+    assert by_rule == {("name", 3), ("variants", 1)}
+    assert surviving_records(r.limit(0), e).count() == 0
+
+
+def test_built_record(spark):
+    t = lambda d: datetime(2024, 1, d)
+    records = [(1, "Foo", ["FOO", "foo!"], [10, 11], 3, t(1)), (1, "Foo", ["FOO", "foo!"], [10, 11], 3, t(1)), (2, "foo ", None, [12], 3, t(1))]
+    r = spark.createDataFrame(records, "record_id bigint, name string, variants array<string>, mention_ids array<bigint>, trust int, updated_at timestamp").withColumn("group_id", F.lit(0))
+    e = spark.createDataFrame([(10, {"foo": "good", "Foo.": "also", "x": "no"}, 0.9, t(1)), (11, {"foo": "n/a"}, 1.0, t(1)), (12, {"foo": "other"}, 1.0, t(1))], "extraction_id bigint, dataset_descriptions map<string,string>, confidence_score double, extracted_at timestamp")
+    assert [tuple(x) for x in surviving_records(r, e).collect()] == [(1, "Foo", ["FOO", "foo!"], "also", 0, 0, 0)]
 
 
 def test_surviving_fields(spark):
