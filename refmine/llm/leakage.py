@@ -1,13 +1,15 @@
 """Held-out passages in a corpus, found by latent semantic retrieval.
 
-Passages of the corpus (stretches of words that the items use) and word windows of the
-items are TF-IDF vectors over the items' vocabulary. A randomised SVD, whose passes over
-the passages are distributed, gives a latent space in which cosines are compared; longest
-common runs, longest common subsequences and an answer check judge the candidates.
-
-The latent search loses nothing: what a projection cuts off a vector is known exactly, so
-for each pair the least latent cosine that a passage holding the window could have is
-known too (Cauchy-Schwarz on the two residuals), and that is the pair's threshold.
+Passages of the corpus (stretches of words that the items use, in windows) and word windows
+of the items are TF-IDF vectors over the items' vocabulary. A randomised SVD, whose passes
+over the passages are distributed, gives a latent space in which cosines are compared;
+longest common runs, longest common subsequences and an answer check judge the candidates.
+
+The latent search loses nothing that it looks for: what a projection cuts off a vector is
+known exactly, so for each pair the least latent cosine that a passage holding the window
+could have is known too (Cauchy-Schwarz on the two residuals), and that is the pair's
+threshold. Pairs come from an inverted index: a passage that holds a window but for a share
+``loss`` of its weight has one of the rarest words that together weigh more than that.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from refmine.session import materialize, ship
 _WORD = re.compile(r"[^\W_]+")
 #: Words of a passage window; windows start every half of it, so each run of up to half + 1 words lies in one.
 _WINDOW = 24
+#: Pairs of passages and windows that are looked at at once.
+_PAIRS = 500_000
 
 
 def words_of(text: str) -> list[str]:
@@ -35,48 +39,77 @@ def words_of(text: str) -> list[str]:
 
 
 class ItemIndex:
-    """The items of one block: vocabulary, windows of ``gram`` words (or the whole shorter item), answers."""
+    """The items of one block: vocabulary, words, windows of ``gram`` words (or the whole shorter item), answers.
+
+    Words lie in one array; a window is a place in it, so a word takes some 20 bytes in all.
+    """
 
     def __init__(self, items: list[tuple], gram: int):
-        self.ids, self.words, self.answers, self.vocab = [], [], [], {}
+        self.ids, parts, self.answers, self.vocab = [], [], [], {}
         for item, text, labels in items:
             words = words_of(text or "")
             if not words:
                 continue
             self.ids.append(item)
-            self.words.append(np.array([self.vocab.setdefault(w, len(self.vocab)) for w in words], np.int32))
+            parts.append(np.array([self.vocab.setdefault(w, len(self.vocab)) for w in words], np.int32))
             answers = [[self.vocab.setdefault(w, len(self.vocab)) for w in words_of(x)] for x in labels or [] if x]
-            self.answers.append([a for a in answers if a])
+            self.answers.append([np.array(a, np.int32) for a in answers if a])
         self.gram = gram
-        self.shortest = min((min(gram, len(w)) for w in self.words), default=0)
-        windows, owner = [], []
-        for i, w in enumerate(self.words):
-            g = min(gram, len(w))
-            for k in range(len(w) - g + 1):
-                windows.append(w[k : k + g])
-                owner.append(i)
-        self.windows, self.owner = [np.unique(w) for w in windows], np.array(owner, np.int32)
-
-
-def weighted_sums(rows: list[np.ndarray], weight: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For sets of words, none empty: the weighted sums of their rows of ``matrix``, and the sums of their squared weights.
-
-    These are the products of sparse TF-IDF vectors with the matrix; no vector is made dense.
-    """
-    sums, squares = [np.zeros((0, matrix.shape[1]), matrix.dtype)], [np.zeros(0, matrix.dtype)]
-    for at in range(0, len(rows), 2048):
-        part = rows[at : at + 2048]
-        flat, starts = np.concatenate(part), np.cumsum([0, *map(len, part[:-1])])
-        w = weight[flat].astype(matrix.dtype)
-        sums.append(np.add.reduceat(matrix[flat] * w[:, None], starts, axis=0))
-        squares.append(np.add.reduceat(w * w, starts))
-    return np.concatenate(sums), np.concatenate(squares)
-
-
-def passages_of(words: list[str], vocab: dict[str, int], shortest: int, gap: int) -> Iterator[np.ndarray]:
-    """Stretches with at least ``shortest`` words of the vocabulary and at most ``gap`` others (-1) in a row,
-    cut into windows of _WINDOW words."""
-    yield from _windows(numbers_of(words, vocab), shortest, gap)
+        self.length = np.array([len(w) for w in parts], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        size = np.minimum(self.length, gram)
+        self.shortest = int(size.min(initial=gram))
+        count = self.length - size + 1
+        self.owner = np.repeat(np.arange(len(parts), dtype=np.int32), count)
+        self.place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + self.start[self.owner]
+        # The word beyond the vocabulary fills windows of shorter items.
+        self.flat = np.concatenate([*parts, np.full(gram, len(self.vocab), np.int32)])
+
+    def words(self, i: int) -> np.ndarray:
+        return self.flat[self.start[i] : self.start[i] + self.length[i]]
+
+    def windows(self, which: np.ndarray) -> np.ndarray:
+        """The different words of windows, one row each, filled up with the word beyond the vocabulary."""
+        at = self.place[which, None] + np.arange(self.gram)
+        owner = self.owner[which]
+        rows = np.where(at < (self.start[owner] + self.length[owner])[:, None], self.flat[np.minimum(at, len(self.flat) - 1)], len(self.vocab))
+        rows.sort(axis=1)
+        rows[:, 1:][rows[:, 1:] == rows[:, :-1]] = len(self.vocab)
+        return rows
+
+    def postings(self, weight: np.ndarray, loss: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(starts by word, windows, squared weight of each window): under each word the windows that can't be
+        held but for ``loss`` of their squared weight without one of their heaviest words up to it."""
+        squared = np.append(weight.astype(np.float64) ** 2, 0.0)
+        words, windows, total = [], [], np.zeros(len(self.owner))
+        for lo in range(0, len(self.owner), 100_000):
+            which = np.arange(lo, min(lo + 100_000, len(self.owner)))
+            rows = self.windows(which)
+            w = squared[rows]
+            order = np.argsort(-w, axis=1, kind="stable")
+            rows, w = np.take_along_axis(rows, order, 1), np.take_along_axis(w, order, 1)
+            total[which] = w.sum(axis=1)
+            keep = (np.cumsum(w, axis=1) - w <= loss * total[which, None] + 1e-9) & (w > 0)
+            if loss <= 0:
+                keep[:, 1:] = False
+            words.append(rows[keep])
+            windows.append(np.repeat(which, keep.sum(axis=1)))
+        words, windows = np.concatenate([np.zeros(0, np.int32), *words]), np.concatenate([np.zeros(0, np.int64), *windows])
+        order = np.argsort(words, kind="stable")
+        return np.searchsorted(words[order], np.arange(len(weight) + 1)), windows[order].astype(np.int32), total.astype(np.float32)
+
+    def signature(self) -> set[str]:
+        """For each window its word that is rarest among the items: whoever holds a window whole has it."""
+        times = np.append(np.bincount(self.flat, minlength=len(self.vocab) + 1)[: len(self.vocab)], 1)
+        starts, _, _ = self.postings(1.0 / np.maximum(times[: len(self.vocab)], 1), 0.0)
+        chosen = np.flatnonzero(np.diff(starts))
+        names = list(self.vocab)
+        return {names[w] for w in chosen}
+
+
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The indices of several runs, one after the other."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
 
 
 def numbers_of(words: list[str], vocab: dict[str, int]) -> np.ndarray:
@@ -84,33 +117,33 @@ def numbers_of(words: list[str], vocab: dict[str, int]) -> np.ndarray:
     return np.fromiter((vocab.get(w, -1) for w in words), np.int32, len(words))
 
 
-def _windows(found: np.ndarray, shortest: int, gap: int) -> Iterator[np.ndarray]:
+def stretches(found: np.ndarray, least: int, gap: int) -> Iterator[np.ndarray]:
+    """Maximal stretches with at least ``least`` words of the vocabulary and at most ``gap`` others (-1) in a row."""
     at = np.flatnonzero(found >= 0)
-    if len(at) < shortest:
+    if len(at) < least:
         return
-    for part in np.split(at, np.flatnonzero(np.diff(at) > gap + 1) + 1):
-        if len(part) < shortest:
-            continue
-        lo, hi = int(part[0]), int(part[-1]) + 1
-        for start in range(lo, max(lo + 1, hi - _WINDOW // 2), _WINDOW // 2):
-            window = found[start : min(start + _WINDOW, hi)]
-            if int((window >= 0).sum()) >= shortest:
-                yield window
-
-
-def common_run(a: list[int], b: list[int]) -> int:
-    """Length of the longest run of words that both have."""
-    best, before = 0, [0] * (len(b) + 1)
-    for x in a:
-        now = [0] * (len(b) + 1)
-        if x >= 0:
-            for j, y in enumerate(b):
-                if x == y:
-                    now[j + 1] = before[j] + 1
-                    if now[j + 1] > best:
-                        best = now[j + 1]
-        before = now
-    return best
+    cuts = np.flatnonzero(np.diff(at) > gap + 1) + 1
+    for lo, hi in zip([0, *cuts], [*cuts, len(at)]):
+        if hi - lo >= least:
+            yield found[at[lo] : at[hi - 1] + 1]
+
+
+def passage_windows(stretch: np.ndarray) -> Iterator[np.ndarray]:
+    for start in range(0, max(1, len(stretch) - _WINDOW // 2), _WINDOW // 2):
+        yield stretch[start : start + _WINDOW]
+
+
+def longest_run(a: np.ndarray, b: np.ndarray) -> int:
+    """Length of the longest run of words that both have; -1 in ``a`` is no word."""
+    order = np.argsort(b, kind="stable")
+    low, high = np.searchsorted(b[order], a, "left"), np.searchsorted(b[order], a, "right")
+    size = np.where(a >= 0, high - low, 0)
+    if not size.sum():
+        return 0
+    i, j = np.repeat(np.arange(len(a)), size), order[ragged(low, size)]
+    key = np.sort((i - j + len(b)) * (len(a) + 1) + i)  # by diagonal, then along it
+    ends = np.flatnonzero(np.append(np.diff(key) != 1, True))
+    return int(np.diff(np.concatenate([[-1], ends])).max())
 
 
 def common_subsequence(a: list[int], b: list[int]) -> int:
@@ -126,81 +159,106 @@ def common_subsequence(a: list[int], b: list[int]) -> int:
     return row.bit_count()
 
 
-class Near:
-    """Finds the items of which a document holds most words in order, at whatever place, with nothing lost.
+def best_subsequence(found: np.ndarray, words: np.ndarray, share: float) -> int:
+    """Longest common subsequence of an item and a stretch, over the stretch's parts of _WINDOW words at every word
+    and, for longer items, also those of the item's length; 0 where none reaches ``share`` of _WINDOW words (or of
+    the item's, if it is shorter, or of a longer part's).
 
-    Judged are the stretches of _WINDOW words at every word, and for longer items also those
-    of the item's length: an item counts where the longest common subsequence is at least
-    ``share`` of the stretch's length, or of a shorter item's. The words that are of the
-    item at all are counted first; a subsequence can't be longer.
+    The words that are of the item at all are counted first; a subsequence can't be longer.
     """
-
-    def __init__(self, index: ItemIndex, share: float):
-        self.index = index
-        places = sorted((int(w), i, int(n)) for i, x in enumerate(index.words) for w, n in zip(*np.unique(x, return_counts=True)))
-        word, self.item, self.times = np.array(places, np.int64).reshape(-1, 3).T
-        self.start = np.searchsorted(word, np.arange(len(index.vocab) + 1))
-        self.length = np.array([len(w) for w in index.words], np.int64)
-        self.least = np.ceil(share * np.minimum(self.length, _WINDOW) - 1e-9).astype(np.int64)
-        self.whole = np.ceil(share * self.length - 1e-9).astype(np.int64)
-
-    def items(self, found: np.ndarray, held: np.ndarray) -> Iterator[tuple[int, int, int, bool]]:
-        """(item number, run, lcs, answer) of a document's words ``found`` (-1: foreign), of which ``held`` are the different ones."""
-        size = self.start[held + 1] - self.start[held]
-        at = np.repeat(self.start[held] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        likely = np.flatnonzero(np.bincount(self.item[at], self.times[at], len(self.least)) >= self.least)
-        if not len(likely):
-            return
-        found = found.astype(np.intp)
-        for i in likely:
-            own = np.zeros(len(self.index.vocab) + 1, np.int32)  # the last is that of foreign words (-1)
-            own[self.index.words[i]] = 1
-            count = np.zeros(len(found) + 1, np.int32)
-            np.cumsum(own[found], out=count[1:])
-            b = self.index.words[i].tolist()
-            run, lcs, answer = 0, 0, False
-            for size, least in {(_WINDOW, int(self.least[i])), (max(_WINDOW, len(b)), int(self.whole[i]) if len(b) > _WINDOW else int(self.least[i]))}:
-                size = min(size, len(found))
-                for at in np.flatnonzero(count[size:] - count[: len(count) - size] >= least):
-                    a = found[at : at + size].tolist()
-                    n = common_subsequence(a, b)
-                    if n >= least and n > lcs:
-                        lcs, run = n, max(run, common_run(a, b))
-                        answer = answer or any(common_run(a, x) == len(x) for x in self.index.answers[i])
-            if lcs:
-                yield int(i), run, lcs, answer
+    own = np.zeros(int(max(words.max(), found.max())) + 2, np.int32)  # the last is that of foreign words (-1)
+    own[words] = 1
+    count = np.zeros(len(found) + 1, np.int64)
+    np.cumsum(own[found], out=count[1:])
+    b, best = words.tolist(), 0
+    for wide, least in {(_WINDOW, min(_WINDOW, len(b))), (max(_WINDOW, len(b)), len(b))}:
+        least, size = int(np.ceil(share * least - 1e-9)), min(wide, len(found))
+        held = count[size:] - count[: len(count) - size]
+        # A part whose count isn't above that of the part before it by a fresh word can't do better than both.
+        for at in np.flatnonzero(held >= max(least, best + 1)):
+            if held[at] > best:
+                n = common_subsequence(found[at : at + size].tolist(), b)
+                if n >= least:
+                    best = max(best, n)
+    return best
 
 
 class _Latent:
-    """What a worker needs to search: basis, projected windows, residuals."""
+    """What a worker needs to search: index, basis, postings, thresholds."""
 
-    def __init__(self, index: ItemIndex, idf: np.ndarray, basis: np.ndarray, loss: float):
-        self.index, self.idf, self.basis, self.loss = index, idf, basis, loss
-        self.projected, self.square = weighted_sums(index.windows, idf, basis)
-        self.residual = np.sqrt(np.maximum(self.square - np.einsum("ij,ij->i", self.projected, self.projected), 0.0)) + 1e-3
-        self.norm = np.sqrt(np.maximum(np.einsum("ij,ij->i", self.projected, self.projected), 1e-9))
+    def __init__(self, index: ItemIndex, idf: np.ndarray, basis: np.ndarray, loss: float, share: float | None):
+        self.index, self.loss, self.share = index, loss, share
+        self.weight, self.basis = np.append(idf, np.float32(0)), np.vstack([basis, np.zeros((1, basis.shape[1]), basis.dtype)])
+        self.starts, self.posted, self.square = index.postings(idf, loss)
 
-    def judge(self, windows: list[np.ndarray]) -> list[list[tuple]]:
-        """For each passage: (item number, run, lcs, cosine, answer) of its candidates."""
-        projected, square = weighted_sums([np.unique(w[w >= 0]) for w in windows], self.idf, self.basis)
+    def _vectors(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Projections of sets of words (one row each, filled up) and what these cut off."""
+        w = self.weight[rows]
+        projected = np.einsum("ij,ijk->ik", w, self.basis[rows])
         own = np.einsum("ij,ij->i", projected, projected)
-        residual = np.sqrt(np.maximum(square - own, 0.0)) + 1e-3
-        dots = projected @ self.projected.T
-        hits = dots >= (1.0 - self.loss) * self.square[None, :] - residual[:, None] * self.residual[None, :] - 1e-3 * self.square[None, :]
+        return projected, np.sqrt(np.maximum(np.einsum("ij,ij->i", w, w) - own, 0.0)) + 1e-3
+
+    def _held(self, passages: np.ndarray, windows: np.ndarray) -> np.ndarray:
+        """For pairs: the squared weight of the window's words that the passage has."""
+        out = np.zeros(len(windows))
+        for at in range(0, len(windows), 20_000):
+            words = self.index.windows(windows[at : at + 20_000])
+            there = (words[:, :, None] == passages[at : at + 20_000, None, :]).any(axis=2)
+            out[at : at + 20_000] = (self.weight[words].astype(np.float64) ** 2 * there).sum(axis=1)
+        return out
+
+    def candidates(self, windows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(passage window, item, cosine, share of the item's window held) of the pairs that can be, best by item."""
+        foreign = len(self.weight) - 1
+        rows = np.full((len(windows), _WINDOW), foreign, np.int32)
+        for k, w in enumerate(windows):
+            rows[k, : len(w)] = w
+        rows[rows < 0] = foreign
+        rows.sort(axis=1)
+        rows[:, 1:][rows[:, 1:] == rows[:, :-1]] = foreign
+        starts = np.append(self.starts, self.starts[-1])  # the word beyond has no windows
+        size = (starts[rows + 1 - (rows == foreign)] - starts[rows]) * (rows != foreign)
+        out = [], [], [], []
+        per, lo = size.sum(axis=1), 0
+        while lo < len(windows):
+            hi = max(lo + 1, int(np.searchsorted(np.cumsum(per[lo:]), _PAIRS, "right")) + lo)
+            part = size[lo:hi]
+            which = self.posted[ragged(starts[rows[lo:hi]].ravel(), part.ravel())].astype(np.int64)
+            pair = np.unique(np.repeat(np.arange(hi - lo), part.sum(axis=1)) * len(self.square) + which)
+            p, w = pair // len(self.square), pair % len(self.square)
+            if len(pair):
+                ps, p = np.unique(p, return_inverse=True)
+                ws, w = np.unique(w, return_inverse=True)
+                a, cut = self._vectors(rows[lo:hi][ps])
+                b, cut_b = self._vectors(self.index.windows(ws))
+                square = self.square[ws][w]
+                dots = np.einsum("ij,ij->i", a[p], b[w])
+                hit = dots >= (1.0 - self.loss) * square - cut[p] * cut_b[w] - 1e-3 * square
+                p, w, dots, square = p[hit], w[hit], dots[hit], square[hit]
+                cosine = dots / np.maximum(np.linalg.norm(a, axis=1)[p] * np.linalg.norm(b, axis=1)[w], 1e-6)
+                for x, y in zip(out, (ps[p] + lo, self.index.owner[ws][w], cosine, self._held(rows[lo:hi][ps][p], ws[w]) / square)):
+                    x.append(y)
+            lo = hi
+        none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+        return tuple(np.concatenate([n, *x]) for n, x in zip(none, out))
+
+    def judge(self, found: list[np.ndarray]) -> list[tuple]:
+        """(stretch, item number, run, lcs, cosine, held, answer) of the candidates of each stretch."""
+        windows = [(k, w) for k, f in enumerate(found) for w in passage_windows(f)]
+        owner = np.array([k for k, _ in windows], np.int64)
+        p, item, cosine, held = self.candidates([w for _, w in windows])
+        best: dict[tuple[int, int], tuple[float, float]] = {}
+        for k, i, c, h in zip(owner[p].tolist(), item.tolist(), cosine.tolist(), held.tolist()):
+            old = best.get((k, i), (-1.0, -1.0))
+            best[k, i] = max(c, old[0]), max(h, old[1])
         out = []
-        for row, w in enumerate(windows):
-            best: dict[int, float] = {}
-            length = max(float(np.sqrt(own[row])), 1e-6)
-            for g in np.flatnonzero(hits[row]):
-                i, c = int(self.index.owner[g]), float(dots[row, g] / (length * self.norm[g]))
-                best[i] = max(c, best.get(i, -1.0))
-            a = w.tolist()
-            judged = []
-            for i, c in best.items():
-                b = self.index.words[i].tolist()
-                answer = any(common_run(a, x) == len(x) for x in self.index.answers[i])
-                judged.append((i, common_run(a, b), common_subsequence(a, b), c, answer))
-            out.append(judged)
+        for (k, i), (c, h) in best.items():
+            a, b = found[k], self.index.words(i)
+            run, lcs = longest_run(a, b), None if self.share is None else best_subsequence(a, b, self.share)
+            if lcs == 0 and run < min(self.index.gram, len(b)):
+                continue
+            answer = any(longest_run(a, x) == len(x) for x in self.index.answers[i])
+            out.append((k, i, run, lcs, c, h, answer))
         return out
 
 
@@ -218,25 +276,32 @@ def _basis(passages: DataFrame, index: ItemIndex, idf: np.ndarray, rank: int, se
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, g = shared.value
-        total = np.zeros((len(weight), g.shape[1]), np.float64)
+        total = np.zeros((len(weight), g.shape[1]), np.float32)
         seen = np.zeros(len(weight), bool)
         for b in batches:
-            for window in b.column(0).to_pylist():
-                w = np.unique(np.array([x for x in window if x >= 0], np.int32))
-                a = weight[w]
-                total[w] += a[:, None] * (a @ g[w])[None, :]
-                seen[w] = True
+            for stretch in b.column(0).to_pylist():
+                for window in passage_windows(np.array(stretch, np.int32)):
+                    w = np.unique(window[window >= 0])
+                    a = weight[w]
+                    total[w] += a[:, None] * (a @ g[w])[None, :]
+                    seen[w] = True
         rows = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array(list(total[rows]), pa.list_(pa.float64()))], ["word", "part"])
+        parts = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * g.shape[1], pa.int32()), pa.array(total[rows].ravel()))
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), parts], ["word", "part"])
 
-    parts = passages.select("window").mapInArrow(sketch, "word int, part array<double>")
+    parts = passages.select("stretch").mapInArrow(sketch, "word int, part array<float>")
     sums = parts.groupBy("word").agg(F.array(*[F.sum(F.col("part")[j]) for j in range(k)]).alias("row"))
     total = np.zeros((size, k))
     for r in sums.toLocalIterator():
         total[r["word"]] = r["row"]
-    shares, _ = weighted_sums(index.windows, idf, noise.astype(np.float64))
-    for w, share in zip(index.windows, shares):
-        total[w] += idf[w][:, None] * share[None, :]
+    padded, wide = np.append(idf, np.float32(0)).astype(np.float64), np.vstack([noise, np.zeros((1, k), np.float32)]).astype(np.float64)
+    for lo in range(0, len(index.owner), 20_000):
+        rows = index.windows(np.arange(lo, min(lo + 20_000, len(index.owner))))
+        w = padded[rows]
+        share = np.einsum("ij,ijk->ik", w, wide[rows])
+        for j in range(rows.shape[1]):
+            inside = rows[:, j] < size
+            np.add.at(total, rows[inside, j], w[inside, j, None] * share[inside])
     # A'A is about total (G' total)^-1 total': its eigenvectors from the sketch alone.
     middle = noise.T.astype(np.float64) @ total
     middle = (middle + middle.T) / 2
@@ -247,28 +312,30 @@ def _basis(passages: DataFrame, index: ItemIndex, idf: np.ndarray, rank: int, se
     return left[:, : min(rank, k)].astype(np.float32)
 
 
-def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, labels: str | None = None, gram: int = 12, rank: int = 192, loss: float = 0.2, gap: int = 2, block_chars: int = 200_000, seed: int = 7, share: float | None = 0.75) -> DataFrame:
-    """(doc_id, item_id, words, run, lcs, cosine, answer): which documents hold passages of which items.
+def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, labels: str | None = None, gram: int = 12, rank: int = 192, share: float | None = 0.6, loss: float = 0.4, gap: int = 12, block_words: int = 4_000_000, seed: int = 7) -> DataFrame:
+    """(doc_id, item_id, words, run, lcs, cosine, held, answer): which documents hold passages of which items.
 
     One row a document and item with a candidate passage. ``words``: the item's words.
     ``run``: most consecutive words of the item in a passage; every run of up to ``gram``
-    words is found for sure (a passage window counts no more than 24). ``lcs``: longest
-    common subsequence of a passage and the item; found for sure, at whatever place and with
-    whatever foreign words in between, where _WINDOW words (or as many as the item has)
-    hold at least ``share`` of so many words (see Near; None: not looked for). ``cosine``: best latent cosine, null
-    where the latent search didn't propose the pair. ``answer``: some label of the item
-    stands in a passage. A document holds the item, exactly, where
-    run >= least(gram, words); a smaller run with a large lcs is a paraphrase. ``loss`` is
-    the share of a window's weight that a passage may lack to be looked at (0: exact runs
-    only, still without any loss), ``gap`` the foreign words in a row within a passage.
-
-    Document frequencies and the SVD take in all documents. Items are taken in blocks of at
-    most ``block_chars`` characters (a single longer item makes its own block); a block's
-    vocabulary, windows and basis go to the workers, so their size is bounded whatever the
-    items; the corpus is passed once a block, and only its passages once more. Null and empty
-    texts, and items without words, give nothing; repeated rows give one; an empty table on
-    either side gives an empty result. ``gram`` is at most 13: a longer run needn't lie in
-    one passage window.
+    words is found for sure, and a run is measured whole, however long. ``lcs``: longest
+    common subsequence of the item and a part of the passage (see best_subsequence).
+    ``cosine``: best latent cosine of a window of the passage and one of the item; ``held``:
+    the largest share of a candidate window's weight that lies in the passage.
+    ``answer``: some label of the item stands in a passage. A document holds the item,
+    exactly, where run >= least(gram, words); a smaller run with a large lcs is a paraphrase.
+
+    ``share`` None looks for exact runs only. Else candidates are passages that may lack the
+    share ``loss`` of the weight of a window of ``gram`` words of the item, with up to ``gap``
+    foreign words in a row, and those are kept that hold a whole window or a subsequence of
+    ``share`` of 24 words (of the item's, if it is shorter).
+
+    Document frequencies and the SVD take in all documents. The corpus is passed once for
+    each ``block_words`` words of items (25 MB of text; a single longer item makes its own
+    block), and only its passages twice more. A block's vocabulary, index and basis go to
+    the workers: some 20 bytes a word of items and 4 x rank a word of its vocabulary, so
+    their size is bounded whatever the items. Null and empty texts, and items without words,
+    give nothing; repeated rows give one; an empty table on either side gives an empty
+    result. ``gram`` is at most 13: a longer run needn't lie in one passage window.
     """
     if gram > _WINDOW // 2 + 1:
         raise ValueError(f"gram must be at most {_WINDOW // 2 + 1}")
@@ -276,124 +343,98 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item
     ship(spark)
     source = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).where(F.col("text").isNotNull())
     own = items.select(F.col(item_id).alias("item"), F.col(item_text).alias("text"), (F.col(labels) if labels else F.lit(None).cast("array<string>")).alias("labels")).where(F.col("text").isNotNull())
-    id_type, item_type = source.schema["doc"].dataType, own.schema["item"].dataType
+    kinds = (("doc", source.schema["doc"].dataType), ("item", own.schema["item"].dataType), ("words", T.IntegerType()), ("run", T.IntegerType()), ("lcs", T.IntegerType()), ("cosine", T.DoubleType()), ("held", T.DoubleType()), ("answer", T.BooleanType()))
+    kind = T.StructType([T.StructField(n, t) for n, t in kinds])
     result: DataFrame | None = None
-    for block in _blocks(own, block_chars):
-        found = _search_block(source, ItemIndex(block, gram), rank, loss, gap, seed, share, id_type, item_type)
-        result = found if result is None else result.unionByName(found)
+    for block in _blocks(own, block_words):
+        index = ItemIndex(block, gram)
+        if index.ids:
+            found = _search_block(source, index, rank, 0.0 if share is None else loss, 0 if share is None else gap, seed, share, kind)
+            result = found if result is None else result.unionByName(found)
     if result is None:
-        result = spark.createDataFrame([], _result_type(id_type, item_type))
-    best = result.groupBy("doc", "item").agg(F.max("words").alias("words"), F.max("run").alias("run"), F.max("lcs").alias("lcs"), F.max("cosine").alias("cosine"), F.max("answer").alias("answer"))
-    return best.select(F.col("doc").alias(doc_id), F.col("item").alias(item_id), "words", "run", "lcs", "cosine", "answer")
+        result = spark.createDataFrame([], kind)
+    best = result.groupBy("doc", "item").agg(*[F.max(c).alias(c) for c in kind.names[2:]])
+    return best.select(F.col("doc").alias(doc_id), F.col("item").alias(item_id), *kind.names[2:])
 
 
-def _blocks(items: DataFrame, block_chars: int) -> Iterator[list[tuple]]:
+def _blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple]]:
     """Items streamed to the driver block by block; it never holds more than one block."""
-    block, chars = [], 0
+    block, words = [], 0
     for r in items.dropDuplicates(["item", "text"]).toLocalIterator():
-        if block and chars + len(r["text"]) > block_chars:
+        n = len(r["text"]) // 6 + 1
+        if block and words + n > block_words:
             yield block
-            block, chars = [], 0
+            block, words = [], 0
         block.append((r["item"], r["text"], r["labels"]))
-        chars += len(r["text"])
+        words += n
     if block:
         yield block
 
 
-def _result_type(id_type: T.DataType, item_type: T.DataType) -> T.StructType:
-    kinds = (("doc", id_type), ("item", item_type), ("words", T.IntegerType()), ("run", T.IntegerType()), ("lcs", T.IntegerType()), ("cosine", T.DoubleType()), ("answer", T.BooleanType()))
-    return T.StructType([T.StructField(n, t) for n, t in kinds])
-
-
-def _search_block(source: DataFrame, index: ItemIndex, rank: int, loss: float, gap: int, seed: int, share: float | None, id_type: T.DataType, item_type: T.DataType) -> DataFrame:
-    sc = source.sparkSession.sparkContext
-    if not index.words:
-        return source.sparkSession.createDataFrame([], _result_type(id_type, item_type))
-    shared = sc.broadcast((index.vocab, index.shortest, gap, None if share is None else Near(index, share)))
+def _search_block(source: DataFrame, index: ItemIndex, rank: int, loss: float, gap: int, seed: int, share: float | None, result: T.StructType) -> DataFrame:
+    spark = source.sparkSession
+    # Exact runs have a word of the signature; otherwise a passage has half the words of a window.
+    exact = share is None
+    shared = spark.sparkContext.broadcast((index.vocab, index.signature() if exact else None, index.shortest if exact else -(-index.shortest // 2), gap))
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Passage windows, items found near (near: item number, run, lcs, answer, ...), and at the end the task's document frequencies (doc null, counts: word, count, ...)."""
-        vocab, shortest, gap, near = shared.value
+        """Stretches, and at the end the task's document frequencies (doc null, counts: word, count, ...)."""
+        vocab, signature, least, gap = shared.value
         counts, documents, kind = np.zeros(len(vocab), np.int64), 0, None
+        known = vocab.keys()
         for b in batches:
             kind = b.column(0).type
-            ids, windows, owners, hits = [], [], [], []
+            ids, found = [], []
             for k, body in enumerate(b.column(1).to_pylist()):
                 words = words_of(body)
                 documents += 1
-                held = np.fromiter((vocab[w] for w in vocab.keys() & set(words)), np.int32)
-                counts[held] += 1
-                if not len(held):
+                different = set(words)
+                held = known & different
+                if not held:
+                    continue
+                counts[[vocab[w] for w in held]] += 1
+                if signature is not None and signature.isdisjoint(held):
                     continue
-                found = numbers_of(words, vocab)
-                for w in _windows(found, shortest, gap):
+                numbers = numbers_of(words, vocab)
+                for s in stretches(numbers, least, gap):
                     ids.append(k)
-                    windows.append(w)
-                flat = [int(x) for hit in near.items(found, held) for x in hit] if near else []
-                if flat:
-                    owners.append(k)
-                    hits.append(flat)
-            if ids or owners:
-                n = len(ids) + len(owners)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(ids + owners, pa.int64())), pa.array(windows + [None] * len(owners), pa.list_(pa.int32())), pa.array([None] * len(ids) + hits, pa.list_(pa.int32())), pa.nulls(n, pa.list_(pa.int64()))],
-                    ["doc", "window", "near", "counts"],
-                )
+                    found.append(s)
+            if ids:
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(ids, pa.int64())), pa.array(found, pa.list_(pa.int32())), pa.nulls(len(ids), pa.list_(pa.int64()))], ["doc", "stretch", "counts"])
         if kind is not None:
             held = np.flatnonzero(counts)
-            flat = [-1, documents] + [int(x) for pair in zip(held, counts[held]) for x in pair]
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.list_(pa.int32())), pa.nulls(1, pa.list_(pa.int32())), pa.array([flat], pa.list_(pa.int64()))], ["doc", "window", "near", "counts"])
+            flat = np.column_stack([np.concatenate([[-1], held]), np.concatenate([[documents], counts[held]])]).ravel().tolist()
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.list_(pa.int32())), pa.array([flat], pa.list_(pa.int64()))], ["doc", "stretch", "counts"])
 
-    kind = T.StructType([T.StructField("doc", id_type), T.StructField("window", T.ArrayType(T.IntegerType())), T.StructField("near", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.LongType()))])
+    kind = T.StructType([result["doc"], T.StructField("stretch", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.LongType()))])
     both = materialize(source.mapInArrow(passages, kind), "leak-passages")
-    found = both.where("window IS NOT NULL").select("doc", "window")
+    # The files are few and small for what a passage costs: spread them.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    found = both.where("stretch IS NOT NULL").select("doc", "stretch").repartition(tasks, F.xxhash64("doc", "stretch"))
     pairs = both.where("counts IS NOT NULL").select(F.explode(F.sequence(F.lit(0), F.size("counts") - 2, F.lit(2))).alias("i"), "counts")
     sums = pairs.select(F.col("counts")[F.col("i")].alias("word"), F.col("counts")[F.col("i") + 1].alias("n")).groupBy("word").agg(F.sum("n").alias("n"))
     frequency, documents = np.zeros(len(index.vocab)), 0
-    for r in sums.collect():  # one row a word of the block at most
+    for r in sums.toLocalIterator():  # one row a word of the block at most
         if r["word"] < 0:
             documents = r["n"]
         else:
             frequency[r["word"]] = r["n"]
     idf = (np.log((documents + 1) / (frequency + 1)) + 1).astype(np.float32)
-    item_arrow = to_arrow_type(item_type)
-    latent = sc.broadcast(_Latent(index, idf, _basis(found, index, idf, rank, seed), loss))
+    item_arrow = to_arrow_type(result["item"].dataType)
+    latent = spark.sparkContext.broadcast(_Latent(index, idf, _basis(found, index, idf, rank, seed), loss, share))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, known = latent.value, {}
+        tool = latent.value
         for b in batches:
-            windows = [np.array(w, np.int32) for w in b.column(1).to_pylist()]
-            for at in range(0, len(windows), 256):
-                part = windows[at : at + 256]
-                fresh = {w.tobytes(): w for w in part if w.tobytes() not in known}
-                if len(known) > 50_000:
-                    known, fresh = {}, {w.tobytes(): w for w in part}
-                if fresh:
-                    known.update(zip(fresh, tool.judge(list(fresh.values()))))
-                rows = [(at + k, *hit) for k, w in enumerate(part) for hit in known[w.tobytes()]]
+            for at in range(0, b.num_rows, 512):
+                part = [np.array(s, np.int32) for s in b.column(1).slice(at, 512).to_pylist()]
+                rows = tool.judge(part)
                 if not rows:
                     continue
-                place, item, run, lcs, cosine, answer = zip(*rows)
+                place, item, *rest = zip(*rows)
                 ids = pa.array([tool.index.ids[i] for i in item], item_arrow)
-                words = pa.array([len(tool.index.words[i]) for i in item], pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(place)), ids, words, pa.array(run, pa.int32()), pa.array(lcs, pa.int32()), pa.array(cosine, pa.float64()), pa.array(answer)],
-                    ["doc", "item", "words", "run", "lcs", "cosine", "answer"],
-                )
-
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = latent.value.index
-        for b in batches:
-            rows = [(k, *flat[j : j + 4]) for k, flat in enumerate(b.column(1).to_pylist()) for j in range(0, len(flat), 4)]
-            if not rows:
-                continue
-            place, item, run, lcs, answer = zip(*rows)
-            ids = pa.array([index.ids[i] for i in item], item_arrow)
-            words = pa.array([len(index.words[i]) for i in item], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(place)), ids, words, pa.array(run, pa.int32()), pa.array(lcs, pa.int32()), pa.nulls(len(rows), pa.float64()), pa.array([bool(x) for x in answer])],
-                ["doc", "item", "words", "run", "lcs", "cosine", "answer"],
-            )
-
-    nearby = both.where("near IS NOT NULL").select("doc", "near")
-    return found.mapInArrow(search, _result_type(id_type, item_type)).unionByName(nearby.mapInArrow(near, _result_type(id_type, item_type)))
+                words = pa.array(tool.index.length[list(item)].astype(np.int32))
+                columns = [pa.array(c, t) for c, t in zip(rest, (pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.bool_()))]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.array(place) + at)), ids, words, *columns], result.names)
+
+    return found.mapInArrow(search, result)

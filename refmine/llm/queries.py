@@ -17,6 +17,10 @@ from refmine.session import materialize, table
 BATCHES = 3
 
 
+#: Three quarters of a passage's words in order; or six tenths, if the words that tell the item are held or its answer is.
+PARAPHRASED = "run < least(12, words) AND (lcs >= 0.75 * least(24, words) OR (lcs >= 0.6 * least(24, words) AND (held >= 0.6 OR answer)))"
+
+
 def _copy_keys(spark: SparkSession, folder: str) -> DataFrame:
     """(scope, key, id, batch) of both tables, keys computed once; rows that aren't compared have no key and are left out."""
     e, a = table(spark, folder, "extraction_results"), table(spark, folder, "analyzed_datasets")
@@ -80,14 +84,13 @@ def p8_candidates(spark: SparkSession, folder: str) -> DataFrame:
 
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     docs, items = table(spark, folder, "documents"), table(spark, folder, "eval_items")
-    found = leaked_items(docs, items, "doc_id", "text", "item_id", "text", "gold_labels", share=None)
+    found = leaked_items(docs, items, "doc_id", "text", "item_id", "text", share=None)
     return found.where("run >= least(12, words)").select("doc_id", "item_id")
 
 
 def p8_paraphrased(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that hold no whole run of an item but most of its words in order."""
-    rows = p8_candidates(spark, folder).where("run < least(12, words) AND lcs >= 0.75 * least(24, words)")
-    return rows.select("doc_id", "item_id", "words", "run", "lcs", "answer")
+    return p8_candidates(spark, folder).where(PARAPHRASED).select("doc_id", "item_id", "words", "run", "lcs", "answer")
 
 
 def p9_pieces(spark: SparkSession, folder: str) -> DataFrame:
@@ -150,6 +153,12 @@ d AS (
 )"""
 
 ORACLE: dict[str, str] = {
+    "p8_found": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents), i AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_items),
+n AS (SELECT item_id, w, least(12, len(w)) AS n FROM i WHERE len(w) > 0),
+g AS (SELECT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda k: array_to_string(w[k:k + n - 1], ' '))) AS gram FROM n),
+p AS (SELECT doc_id, s.n, unnest(list_transform(range(1, len(w) - s.n + 2), lambda k: array_to_string(w[k:k + s.n - 1], ' '))) AS gram FROM d, (SELECT DISTINCT n FROM n) s)
+SELECT DISTINCT doc_id, item_id FROM g JOIN p USING (n, gram)""",
     "p6_found": _SURVIVORS + " SELECT group_id, field_name, source_id FROM ranked WHERE n = 1",
     "p2_found": _KEYS + """
 SELECT * FROM (SELECT table_name, min(id) OVER (PARTITION BY table_name, k) AS first_id, id AS copy_id FROM keys) WHERE first_id <> copy_id""",

@@ -1,10 +1,12 @@
 import random
 import unicodedata
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from refmine.llm.leakage import common_run, common_subsequence, leaked_items, passages_of, words_of
+from refmine.llm.leakage import ItemIndex, common_subsequence, leaked_items, longest_run, numbers_of, passage_windows, stretches, words_of
+from refmine.llm.queries import PARAPHRASED
 
 
 def brute_words(text):
@@ -32,7 +34,7 @@ def test_common_parts():
         for i, x in enumerate(a):
             for j, y in enumerate(b):
                 table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
-        assert common_run(a, b) == runs and common_subsequence(a, b) == table[-1][-1]
+        assert longest_run(np.array(a, np.int32), np.array(b, np.int32)) == runs and common_subsequence(a, b) == table[-1][-1]
 
 
 def test_every_short_run_lies_in_a_passage_window():
@@ -40,7 +42,7 @@ def test_every_short_run_lies_in_a_passage_window():
     rng = random.Random(8)
     for _ in range(50):
         words = [f"w{rng.randrange(200)}" if rng.random() < 0.9 else "foreign" for _ in range(rng.randint(0, 120))]
-        windows = [w.tolist() for w in passages_of(words, vocab, 7, 2)]
+        windows = [w.tolist() for s in stretches(numbers_of(words, vocab), 7, 2) for w in passage_windows(s)]
         ids = [vocab.get(w, -1) for w in words]
         for k in range(len(ids) - 11):
             run = ids[k : k + 12]
@@ -88,8 +90,8 @@ def test_exact_leaks_whatever_the_rank(spark):
     i = spark.createDataFrame(items, "item_id int, text string, gold array<string>")
     want = brute(items, docs)
     assert want
-    for rank, block in ((192, 200_000), (4, 200_000), (64, 1500)):
-        found = leaked_items(d, i, "doc_id", "text", "item_id", "text", "gold", rank=rank, block_chars=block)
+    for rank, block, share in ((192, 200_000, None), (4, 200_000, None), (64, 300, None), (4, 300, 0.6)):
+        found = leaked_items(d, i, "doc_id", "text", "item_id", "text", "gold", rank=rank, block_words=block, share=share)
         got = {(r.doc_id, r.item_id) for r in found.where("run >= least(12, words)").collect()}
         assert got == want, rank
 
@@ -119,7 +121,7 @@ def test_paraphrase_at_any_place(spark):
     docs = [(n, " ".join(other.split()[:n] + words)) for n in range(13)] + [(20 + n, " ".join(["foreign"] * n + split)) for n in range(3)] + [(30 + n, " ".join(other.split()[:n] + changed)) for n in range(5)]
     d = spark.createDataFrame([*docs, (90, other)], "doc_id int, text string")
     i = spark.createDataFrame([(5, item), (6, other), (7, " ".join(long))], "item_id int, text string")
-    rows = leaked_items(d, i, "doc_id", "text", "item_id", "text").where("run < least(12, words) AND lcs >= 0.75 * least(24, words)").collect()
+    rows = leaked_items(d, i, "doc_id", "text", "item_id", "text").where(PARAPHRASED).collect()
     got = {(r.doc_id, r.item_id): r.lcs for r in rows if r.item_id != 6}
     assert got == {**{(n, 5): 20 for n in range(13)}, **{(20 + n, 5): 18 for n in range(3)}, **{(30 + n, 7): 21 for n in range(5)}}
 
@@ -127,3 +129,51 @@ def test_paraphrase_at_any_place(spark):
 def test_runs_longer_than_a_window_holds_for_sure_are_refused():
     with pytest.raises(ValueError, match="at most 13"):
         leaked_items(None, None, "doc_id", "text", "item_id", "text", gram=14)
+
+
+def test_runs_and_windows_without_a_ceiling(spark):
+    words = [f"w{i}" for i in range(90)]
+    d = spark.createDataFrame([(1, " ".join(["x"] * 5 + words[10:85] + ["y"]))], "doc_id int, text string")
+    i = spark.createDataFrame([(5, " ".join(words))], "item_id int, text string")
+    assert leaked_items(d, i, "doc_id", "text", "item_id", "text").select("run", "lcs").collect() == [(75, 75)]
+
+
+def test_postings_hold_every_window_that_can_be():
+    rng = np.random.default_rng(3)
+    items = [(i, " ".join(f"w{x}" for x in rng.integers(0, 60, rng.integers(3, 40))), None) for i in range(20)]
+    index = ItemIndex(items, 12)
+    weight = rng.random(len(index.vocab)).astype(np.float32) + 0.1
+    for loss in (0.0, 0.3):
+        starts, posted, square = index.postings(weight, loss)
+        for w in range(len(index.owner)):
+            row = index.windows(np.array([w]))[0]
+            row = row[row < len(weight)]
+            assert np.isclose(square[w], (weight[row] ** 2).sum(), rtol=1e-4)
+            under = [x for x in row if w in posted[starts[x] : starts[x + 1]]]
+            left = (weight[[x for x in row if x not in under]] ** 2).sum()
+            assert under and (loss == 0 or left < (1 - loss) * square[w] + 1e-3)
+
+
+def planted_paraphrases(rng, replaced, docs=200):
+    """Excerpts of 40 words of 60-word items, in ordinary words, some of the words replaced by others of the corpus."""
+    common = [f"c{i}" for i in range(400)]
+    pick = lambda k: [common[min(399, int(rng.expovariate(1 / 60)))] if rng.random() < 0.6 else f"r{rng.randrange(3000)}" for _ in range(k)]
+    items = [(i, " ".join(pick(60))) for i in range(60)]
+    rows, want = [], set()
+    for d in range(docs):
+        i, at = rng.randrange(60), rng.randrange(21)
+        part = [x if rng.random() >= replaced else rng.choice(pick(3)) for x in items[i][1].split()[at : at + 40]]
+        rows.append((d, " ".join(pick(rng.randint(0, 60)) + part + pick(rng.randint(0, 60)))))
+        want.add((d, i))
+    return items, rows + [(docs + d, " ".join(pick(120))) for d in range(docs)], want
+
+
+def test_recall_of_paraphrases(spark):
+    rng = random.Random(11)
+    for replaced in (0.1, 0.2, 0.3):
+        items, rows, want = planted_paraphrases(rng, replaced)
+        d, i = spark.createDataFrame(rows, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string")
+        found = leaked_items(d, i, "doc_id", "text", "item_id", "text").withColumn("p", F.expr(f"run >= least(12, words) OR ({PARAPHRASED})")).where("p").collect()
+        got = {(r.doc_id, r.item_id) for r in found}
+        print(f"{replaced}: recall {len(got & want) / len(want):.3f}, precision {len(got & want) / len(got):.3f}")
+        assert len(got & want) >= 0.9 * len(want) and len(got & want) >= 0.9 * len(got)
