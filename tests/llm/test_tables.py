@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from refmine.llm.ledger import CopyLedger, batch_numbers, canonical_items, canonical_text, key_digest
 from refmine.llm.survivors import Field, _peel, dominance_layers, layered_survivors, says_something, surviving_fields, surviving_records
-from refmine.llm.terms import BurstTrie, term_frequencies
+from refmine.llm.terms import BurstTrie, _bounds, _merged, _routed, term_frequencies
 
 
 def bare(s):
@@ -80,6 +80,27 @@ def test_burst_trie():
     assert got == {w: (2 * n, n) for w, n in want.items()} and trie.size == len(want)
 
 
+def test_merged_tries_equal_the_counts(spark):
+    """Subtrees of several tries, deep and shallow ones, parted at the bounds and merged range by range."""
+    rng = random.Random(5)
+    want, rows = Counter(), []
+    for size in (3000, 3000, 40, 1, 800):
+        trie = BurstTrie()
+        for _ in range(size):
+            w = rng.choice(["", "the ", "the term "]) + "".join(rng.choices("abé𝄞", k=rng.randint(1, 7)))
+            trie.add(w, 2, 1)
+            want[w] += 1
+        rows += [(0, p, s, [c[0] for c in cs], [c[1] for c in cs]) for p, s, cs in trie.leaves()]
+    leaves = spark.createDataFrame(rows, "field int, prefix string, suffixes array<string>, occurrences array<bigint>, records array<bigint>").repartition(3)
+    bounds = _bounds(leaves, 6)
+    assert 2 <= len(bounds) <= 5
+    routed = leaves.mapInArrow(_routed(bounds), "part int, " + "field int, prefix string, suffixes array<string>, occurrences array<bigint>, records array<bigint>")
+    seen = routed.select("part", F.explode("suffixes").alias("s"), "prefix").select("part", F.concat("prefix", "s").alias("t")).groupBy("t").agg(F.count_distinct("part").alias("n")).where("n > 1")
+    assert seen.count() == 0
+    merged = routed.repartitionById(6, F.col("part")).sortWithinPartitions("field", "prefix").mapInArrow(_merged, "field int, term string, occurrences bigint, records bigint").collect()
+    assert len(merged) == len(want) and {r.term: (r.occurrences, r.records) for r in merged} == {w: (2 * n, n) for w, n in want.items()}
+
+
 def test_term_frequencies(spark):
     rng = random.Random(3)
     pool = ["Data Set", " data  set ", "x", "", " ", None, "Common", "y" * 5000, "Ünï"]
