@@ -7,6 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIR: dict[str, str] = {}
@@ -63,6 +64,23 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def ship_file(spark: SparkSession, path: str) -> None:
+    """Send a small file (a vocabulary, say) to every executor, once a session; workers find it by ``shipped_file``."""
+    key = spark.sparkContext.applicationId + path
+    if key not in _SHIPPED:
+        spark.sparkContext.addFile(path)
+        _SHIPPED.add(key)
+
+
+def shipped_file(path: str) -> str:
+    """Where a file sent by ``ship_file`` lies on this machine; on the driver the path itself."""
+    if getattr(SparkFiles, "_is_running_on_worker", False):
+        own = SparkFiles.get(path.rsplit("/", 1)[-1])
+        if Path(own).exists():
+            return own
+    return path
+
+
 def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once into the shared folder and read it back.
 
