@@ -9,6 +9,7 @@ piece brings at least an eighth of the limit of new text wherever the boundaries
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from itertools import accumulate
 
 import numpy as np
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from refmine.llm.tokenizer import PairMerger, encode_slices, load_merger, text_groups
-from refmine.session import ship
+from refmine.session import ship, ship_file
 
 PARAGRAPH, LINE, SENTENCE, WORD, SLICE, INSIDE = "paragraph", "line", "sentence", "word", "slice", "inside"
 #: What a cut of each kind costs; an imbalance of the whole limit costs 1.
@@ -168,48 +169,96 @@ def split_text(text: str, merger: PairMerger, limit: int, overlap: int, slices:
     cap = limit - overlap - _SLACK
     t, c, kinds, k, p, inner, word = _boundaries(text, starts, ids, cap, merger)
     s, back = _restarts(t, c, k, p, inner, word, text, ids, overlap, merger)
-    penalty = _COSTS[kinds]
+    cuts, dense = _Cuts(t, c, kinds, s, back), []
+    banned: set[int] = set()
+    while True:
+        # Cuts that made a piece too long are out, and where none are left the text is measured in bytes.
+        now = cuts.without(banned).measured(text, dense, overlap)
+        path = _solve(now, limit, overlap)
+        if path is None:
+            dense.append(now.widest_gap(limit))
+            continue
+        out = _pieces(text, now, path, merger, dense)
+        long = [x["stop"] for x in out if x["tokens"] > limit]
+        if not long:
+            return out
+        banned.update(long)
+        if len(text) in banned:  # the end can't be moved: cut finer before it
+            banned.remove(len(text))
+            dense.append((out[-1]["start"], len(text)))
+
+
+@dataclass
+class _Cuts:
+    """Candidate cuts, ascending: tokens and characters before each, its kind, and where the next piece begins."""
+
+    t: np.ndarray
+    c: np.ndarray
+    kinds: np.ndarray
+    s: np.ndarray
+    back: np.ndarray
+
+    def _take(self, keep: np.ndarray) -> _Cuts:
+        return _Cuts(self.t[keep], self.c[keep], self.kinds[keep], self.s[keep], self.back[keep])
+
+    def without(self, banned: set[int]) -> _Cuts:
+        return self._take(~np.isin(self.c, list(banned))) if banned else self
+
+    def widest_gap(self, limit: int) -> tuple[int, int]:
+        """The stretch between neighbours (characters) that no piece can span for sure, the widest first."""
+        wide = np.diff(self.t)
+        n = int(np.argmax(np.where(np.diff(self.c) > 1, wide, -1)))
+        return int(self.c[n]), int(self.c[n + 1])
+
+    def measured(self, text: str, dense: list[tuple[int, int]], overlap: int) -> _Cuts:
+        """With every character of the dense stretches a candidate, and these stretches measured in bytes: a token has one or more."""
+        out = self
+        for lo, hi in sorted(dense):
+            sizes = np.cumsum([len(x.encode("utf-8", "surrogatepass")) for x in text[lo:hi]])
+            i, j = (int(np.searchsorted(out.c, x)) for x in (lo, hi))
+            if i >= len(out.c) or out.c[i] != lo:
+                i -= 1  # from the last candidate before it
+                lo = int(out.c[i])
+                sizes = np.cumsum([len(x.encode("utf-8", "surrogatepass")) for x in text[lo:hi]])
+            before = np.concatenate([[0], sizes])
+            at = np.arange(lo + 1, hi)
+            start = np.searchsorted(before, before[1:-1] - overlap, "left")
+            start = np.minimum(start, np.arange(1, hi - lo))
+            base, extra = int(out.t[i]), int(sizes[-1] - (out.t[j] - out.t[i]))
+            inside = (out.back[j:] > lo) & (out.back[j:] < hi)
+            late = np.where(out.back[j:] >= hi, out.s[j:] + extra, out.s[j:])
+            late = np.where(inside, base + before[np.clip(out.back[j:] - lo, 0, hi - lo)], late)
+            t, c = np.concatenate([out.t[: i + 1], base + before[1:-1], out.t[j:] + extra]), np.concatenate([out.c[: i + 1], at, out.c[j:]])
+            kinds = np.concatenate([out.kinds[: i + 1], np.full(len(at), 5, np.int8), out.kinds[j:]])
+            s, back = np.concatenate([out.s[: i + 1], base + before[start], late]), np.concatenate([out.back[: i + 1], lo + start, out.back[j:]])
+            top = np.maximum.accumulate(np.where(np.maximum.accumulate(back) == back, np.arange(len(back)), 0))
+            out = _Cuts(t, c, kinds, s[top], back[top])
+        return out
+
+
+def _solve(cuts: _Cuts, limit: int, overlap: int) -> list[int] | None:
+    penalty = _COSTS[cuts.kinds]
     penalty[-1] = 0.0
+    total = int(cuts.t[-1])
     count = max(2, -(-(total - overlap) // (limit - overlap)))
     target = (total + (count - 1) * overlap) / count
-    path = _best_cuts(t, s, penalty, limit, target, limit // 8) or _best_cuts(t, s, penalty, limit, target, 1)
-    if path is None:
-        return _by_bytes(text, merger, limit, overlap)
+    return _best_cuts(cuts.t, cuts.s, penalty, limit, target, limit // 8) or _best_cuts(cuts.t, cuts.s, penalty, limit, target, 1)
+
+
+def _pieces(text: str, cuts: _Cuts, path: list[int], merger: PairMerger, dense: list) -> list[dict]:
     out, before, stop_before = [], 0, 0
     for n, j in enumerate(path):
-        start, stop = (0 if n == 0 else int(back[before])), int(c[j])
-        out.append({"piece": n + 1, "start": start, "stop": stop, "tokens": int(t[j] - (s[before] if n else 0)), "overlap": stop_before - start, "cut": "end" if stop == len(text) else _KINDS[kinds[j]]})
+        start, stop = (0 if n == 0 else int(cuts.back[before])), int(cuts.c[j])
+        out.append({"piece": n + 1, "start": start, "stop": stop, "tokens": int(cuts.t[j] - (cuts.s[before] if n else 0)), "overlap": stop_before - start, "cut": "end" if stop == len(text) else _KINDS[cuts.kinds[j]]})
         before, stop_before = j, stop
-    # White space at a piece's end can merge otherwise than before more text: count such pieces again.
-    loose = [x for x in out[:-1] if text[x["stop"] - 1].isspace()]
+    # White space at a piece's end can merge otherwise than before more text: count such pieces again, and those measured in bytes.
+    loose = [x for x in out if (x["stop"] < len(text) and text[x["stop"] - 1].isspace()) or any(x["start"] < hi and x["stop"] > lo for lo, hi in dense)]
     if loose:
         for x, (_, parts) in zip(loose, encode_slices([text[x["start"] : x["stop"]] for x in loose], merger)):
             x["tokens"] = sum(map(len, parts))
-    if any(x["tokens"] > limit for x in out):
-        return _by_bytes(text, merger, limit, overlap)
     return out
 
 
-def _by_bytes(text: str, merger: PairMerger, limit: int, overlap: int) -> list[dict]:
-    """Last resort, for text without any place where tokens and characters end together: a token has a byte or more."""
-    sizes = [len(c.encode("utf-8", "surrogatepass")) for c in text]
-    out, start, stop_before = [], 0, 0
-    while True:
-        stop, used = start, 0
-        while stop < len(text) and used + sizes[stop] <= limit:
-            used += sizes[stop]
-            stop += 1
-        tokens = sum(len(i) for i in next(encode_slices([text[start:stop]], merger))[1])
-        out.append({"piece": len(out) + 1, "start": start, "stop": stop, "tokens": tokens, "overlap": stop_before - start, "cut": "end" if stop == len(text) else INSIDE})
-        if stop == len(text):
-            return out
-        stop_before, back, used = stop, stop, 0
-        while back > start + 1 and used + sizes[back - 1] <= overlap:
-            back -= 1
-            used += sizes[back]
-        start = back
-
-
 _PIECE = T.StructType([
     T.StructField("piece", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()),
     T.StructField("tokens", T.IntegerType()), T.StructField("overlap", T.IntegerType()), T.StructField("cut", T.StringType()), T.StructField("text", T.StringType()),
@@ -232,6 +281,7 @@ def split_oversized(df: DataFrame, id_column: str, text: str, path: str, limit:
     if overlap < 0 or limit < 2 * (overlap + _SLACK) + 2:
         raise ValueError("limit must exceed twice the overlap and its slack")
     ship(df.sparkSession)
+    ship_file(df.sparkSession, path)
 
     @F.arrow_udf(T.ArrayType(_PIECE))
     def pieces(texts: pa.Array) -> pa.Array:

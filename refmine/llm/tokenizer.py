@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from refmine.session import ship
+from refmine.session import ship, ship_file, shipped_file
 
 #: Where the public vocabularies lie unless a caller says otherwise.
 TOKENIZER_DIR = "/opt/tokenizers"
@@ -208,7 +208,7 @@ def merge_pairs(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
 @lru_cache(maxsize=4)
 def load_merger(path: str) -> PairMerger:
     """The ranks of a vocabulary file (base64 bytes, rank), once a worker."""
-    lines = Path(path).read_bytes().splitlines()
+    lines = Path(shipped_file(path)).read_bytes().splitlines()
     return PairMerger({base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())})
 
 
@@ -322,6 +322,7 @@ def encode_corpus(df: DataFrame, text: str, path: str, ids: str = "ids", slices:
     offset and token count of each slice, for tying ids back to text.
     """
     ship(df.sparkSession)
+    ship_file(df.sparkSession, path)
     if slices is None:
         return df.withColumn(ids, token_ids(F.col(text), path))
     kind = T.StructType([

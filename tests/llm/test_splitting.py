@@ -4,7 +4,7 @@ import random
 import pytest
 
 from refmine.llm.splitting import split_oversized, split_text
-from refmine.llm.tokenizer import encode_slices, load_merger, vocabulary_path
+from refmine.llm.tokenizer import PairMerger, encode_slices, load_merger, vocabulary_path
 
 PATH = vocabulary_path()
 pytestmark = pytest.mark.skipif(not os.path.exists(PATH), reason="no vocabulary files here")
@@ -87,6 +87,39 @@ def test_cost_is_least_against_all_ways():
         assert (found is None and best == np.inf) or abs(cost(found) - best) < 1e-9
 
 
+def test_text_without_places_for_a_cut_keeps_its_boundaries_elsewhere():
+    """Tokens that begin and end within characters: only such a stretch is measured in bytes."""
+    ranks = {bytes([i]): i for i in range(256)} | {b"\xa9\xc3": 256}
+    body = "é" * 900
+    text = "One two. " * 40 + body + " One two." * 40 + "\n\n" + body + "x"
+    pieces = split_text(text, PairMerger(ranks), 200, 20)
+    assert "".join(text[p["start"] + p["overlap"] : p["stop"]] for p in pieces) == text
+    for p in pieces:
+        own = sum(len(i) for i in next(encode_slices([text[p["start"] : p["stop"]]], PairMerger(ranks)))[1])
+        assert p["tokens"] == own <= 200 and p["overlap"] >= 0
+    assert {p["cut"] for p in pieces if p["stop"] <= 350} == {"sentence"} and "inside" in {p["cut"] for p in pieces}
+
+
+def test_a_cut_that_makes_a_piece_too_long_is_taken_out(monkeypatch):
+    import refmine.llm.splitting as m
+
+    merger, text = load_merger(PATH), "\n\n".join(["One two three four five six seven eight nine ten."] * 40)
+    plain, made = split_text(text, merger, 128, 16), []
+
+    def heavy(*a):
+        out = pieces(*a)
+        if not made:
+            made.append(out[1]["stop"])
+            out[1]["tokens"] = 129
+        return out
+
+    pieces = m._pieces
+    monkeypatch.setattr(m, "_pieces", heavy)
+    again = split_text(text, merger, 128, 16)
+    assert made[0] in {p["stop"] for p in plain} and made[0] not in {p["stop"] for p in again}
+    assert {p["cut"] for p in again[:-1]} == {"paragraph"} and all(p["tokens"] <= 128 for p in again)
+
+
 def test_operator(spark):
     rows = [(i, t, 1) for i, t in enumerate([None, *samples()])]
     df = spark.createDataFrame(rows + rows[:5], "doc_id int, text string, piece int")
