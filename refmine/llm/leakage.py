@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,8 @@ _WORD = re.compile(r"[^\W_]+")
 _WINDOW = 24
 #: Pairs of passages and windows that are looked at at once.
 _PAIRS = 500_000
+#: Share of a window's weight that is indexed beyond what a passage may lack.
+_MORE = 0.3
 
 
 def words_of(text: str) -> list[str]:
@@ -38,13 +41,24 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+@dataclass
+class Postings:
+    """An inverted index: windows and their words' squared weights by word; of each window the whole squared weight and what isn't indexed of it."""
+
+    starts: np.ndarray
+    windows: np.ndarray
+    weights: np.ndarray
+    total: np.ndarray
+    rest: np.ndarray
+
+
 class ItemIndex:
-    """The items of one block: vocabulary, words, windows of ``gram`` words (or the whole shorter item), answers.
+    """The items of one block: vocabulary, words, windows of ``gram`` words (or the whole shorter item) at every ``stride``-th word and the last, answers.
 
-    Words lie in one array; a window is a place in it, so a word takes some 20 bytes in all.
+    Words lie in one array; a window is a place in it, so a word takes some 50 bytes in all.
     """
 
-    def __init__(self, items: list[tuple], gram: int):
+    def __init__(self, items: list[tuple], gram: int, stride: int = 1):
         self.ids, parts, self.answers, self.vocab = [], [], [], {}
         for item, text, labels in items:
             words = words_of(text or "")
@@ -59,9 +73,10 @@ class ItemIndex:
         self.start = np.cumsum(self.length) - self.length
         size = np.minimum(self.length, gram)
         self.shortest = int(size.min(initial=gram))
-        count = self.length - size + 1
+        last = self.length - size
+        count = -(-last // stride) + 1
         self.owner = np.repeat(np.arange(len(parts), dtype=np.int32), count)
-        self.place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + self.start[self.owner]
+        self.place = self.start[self.owner] + np.minimum(ragged(np.zeros(len(parts), np.int64), count) * stride, last[self.owner])
         # The word beyond the vocabulary fills windows of shorter items.
         self.flat = np.concatenate([*parts, np.full(gram, len(self.vocab), np.int32)])
 
@@ -77,11 +92,14 @@ class ItemIndex:
         rows[:, 1:][rows[:, 1:] == rows[:, :-1]] = len(self.vocab)
         return rows
 
-    def postings(self, weight: np.ndarray, loss: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(starts by word, windows, squared weight of each window): under each word the windows that can't be
-        held but for ``loss`` of their squared weight without one of their heaviest words up to it."""
+    def postings(self, weight: np.ndarray, loss: float) -> Postings:
+        """Under each word the windows of which it is one of the heaviest words.
+
+        These are so many that together they weigh more than the share ``loss`` of the
+        window's squared weight, by some more, so that a passage must have several of them.
+        """
         squared = np.append(weight.astype(np.float64) ** 2, 0.0)
-        words, windows, total = [], [], np.zeros(len(self.owner))
+        words, windows, weights, total, rest = [], [], [], np.zeros(len(self.owner)), np.zeros(len(self.owner))
         for lo in range(0, len(self.owner), 100_000):
             which = np.arange(lo, min(lo + 100_000, len(self.owner)))
             rows = self.windows(which)
@@ -89,22 +107,24 @@ class ItemIndex:
             order = np.argsort(-w, axis=1, kind="stable")
             rows, w = np.take_along_axis(rows, order, 1), np.take_along_axis(w, order, 1)
             total[which] = w.sum(axis=1)
-            keep = (np.cumsum(w, axis=1) - w <= loss * total[which, None] + 1e-9) & (w > 0)
-            if loss <= 0:
-                keep[:, 1:] = False
+            keep = (np.cumsum(w, axis=1) - w <= (loss + _MORE) * total[which, None] + 1e-9) & (w > 0)
+            rest[which] = (w * ~keep).sum(axis=1)
             words.append(rows[keep])
+            weights.append(w[keep])
             windows.append(np.repeat(which, keep.sum(axis=1)))
-        words, windows = np.concatenate([np.zeros(0, np.int32), *words]), np.concatenate([np.zeros(0, np.int64), *windows])
+        words, windows, weights = (np.concatenate([np.zeros(0, t), *x]) for x, t in ((words, np.int32), (windows, np.int64), (weights, float)))
         order = np.argsort(words, kind="stable")
-        return np.searchsorted(words[order], np.arange(len(weight) + 1)), windows[order].astype(np.int32), total.astype(np.float32)
+        return Postings(np.searchsorted(words[order], np.arange(len(weight) + 2)), windows[order].astype(np.int32), weights[order].astype(np.float32), total.astype(np.float32), rest.astype(np.float32))
 
     def signature(self) -> set[str]:
         """For each window its word that is rarest among the items: whoever holds a window whole has it."""
-        times = np.append(np.bincount(self.flat, minlength=len(self.vocab) + 1)[: len(self.vocab)], 1)
-        starts, _, _ = self.postings(1.0 / np.maximum(times[: len(self.vocab)], 1), 0.0)
-        chosen = np.flatnonzero(np.diff(starts))
+        times = np.append(np.bincount(self.flat, minlength=len(self.vocab) + 1)[: len(self.vocab)], np.iinfo(np.int64).max)
+        chosen = [np.zeros(0, np.int32)]
+        for lo in range(0, len(self.owner), 100_000):
+            rows = self.windows(np.arange(lo, min(lo + 100_000, len(self.owner))))
+            chosen.append(np.take_along_axis(rows, np.argmin(times[rows], axis=1)[:, None], 1).ravel())
         names = list(self.vocab)
-        return {names[w] for w in chosen}
+        return {names[w] for w in np.unique(np.concatenate(chosen))}
 
 
 def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -189,7 +209,7 @@ class _Latent:
     def __init__(self, index: ItemIndex, idf: np.ndarray, basis: np.ndarray, loss: float, share: float | None):
         self.index, self.loss, self.share = index, loss, share
         self.weight, self.basis = np.append(idf, np.float32(0)), np.vstack([basis, np.zeros((1, basis.shape[1]), basis.dtype)])
-        self.starts, self.posted, self.square = index.postings(idf, loss)
+        self.post = index.postings(idf, loss)
 
     def _vectors(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Projections of sets of words (one row each, filled up) and what these cut off."""
@@ -216,29 +236,41 @@ class _Latent:
         rows[rows < 0] = foreign
         rows.sort(axis=1)
         rows[:, 1:][rows[:, 1:] == rows[:, :-1]] = foreign
-        starts = np.append(self.starts, self.starts[-1])  # the word beyond has no windows
-        size = (starts[rows + 1 - (rows == foreign)] - starts[rows]) * (rows != foreign)
+        post, windows_in_all = self.post, len(self.post.total)
+        size = post.starts[rows + 1] - post.starts[rows]  # the word beyond has none
         out = [], [], [], []
-        per, lo = size.sum(axis=1), 0
+        sofar, lo = np.cumsum(size.sum(axis=1)), 0
         while lo < len(windows):
-            hi = max(lo + 1, int(np.searchsorted(np.cumsum(per[lo:]), _PAIRS, "right")) + lo)
+            hi = max(lo + 1, int(np.searchsorted(sofar, (sofar[lo - 1] if lo else 0) + _PAIRS, "right")))
             part = size[lo:hi]
-            which = self.posted[ragged(starts[rows[lo:hi]].ravel(), part.ravel())].astype(np.int64)
-            pair = np.unique(np.repeat(np.arange(hi - lo), part.sum(axis=1)) * len(self.square) + which)
-            p, w = pair // len(self.square), pair % len(self.square)
-            if len(pair):
-                ps, p = np.unique(p, return_inverse=True)
-                ws, w = np.unique(w, return_inverse=True)
-                a, cut = self._vectors(rows[lo:hi][ps])
-                b, cut_b = self._vectors(self.index.windows(ws))
-                square = self.square[ws][w]
-                dots = np.einsum("ij,ij->i", a[p], b[w])
-                hit = dots >= (1.0 - self.loss) * square - cut[p] * cut_b[w] - 1e-3 * square
-                p, w, dots, square = p[hit], w[hit], dots[hit], square[hit]
-                cosine = dots / np.maximum(np.linalg.norm(a, axis=1)[p] * np.linalg.norm(b, axis=1)[w], 1e-6)
-                for x, y in zip(out, (ps[p] + lo, self.index.owner[ws][w], cosine, self._held(rows[lo:hi][ps][p], ws[w]) / square)):
-                    x.append(y)
-            lo = hi
+            at = ragged(post.starts[rows[lo:hi]].ravel(), part.ravel())
+            key = np.repeat(np.arange(hi - lo), part.sum(axis=1)) * windows_in_all + post.windows[at]
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            heads = np.flatnonzero(np.diff(key, prepend=-1))
+            lo, first = hi, lo
+            if not len(heads):
+                continue
+            shared, key = np.add.reduceat(post.weights[at][order], heads), key[heads]
+            w = key % windows_in_all
+            # The passage may have all that isn't indexed, and no more.
+            can = shared + post.rest[w] >= (1.0 - self.loss - 1e-4) * post.total[w]
+            p, w = key[can] // windows_in_all, w[can]
+            if not len(p):
+                continue
+            ps, p = np.unique(p, return_inverse=True)
+            ws, w = np.unique(w, return_inverse=True)
+            (a, cut), (b, cut_b) = self._vectors(rows[first:hi][ps]), self._vectors(self.index.windows(ws))
+            square = post.total[ws][w]
+            dots = np.einsum("ij,ij->i", a[p], b[w])
+            hit = dots >= (1.0 - self.loss) * square - cut[p] * cut_b[w] - 1e-3 * square
+            p, w, dots, square = p[hit], w[hit], dots[hit], square[hit]
+            held = self._held(rows[first:hi][ps][p], ws[w]) / square
+            hit = held >= 1.0 - self.loss - 1e-4
+            p, w = p[hit], w[hit]
+            cosine = dots[hit] / np.maximum(np.linalg.norm(a, axis=1)[p] * np.linalg.norm(b, axis=1)[w], 1e-6)
+            for x, y in zip(out, (ps[p] + first, self.index.owner[ws][w], cosine, held[hit])):
+                x.append(y)
         none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
         return tuple(np.concatenate([n, *x]) for n, x in zip(none, out))
 
@@ -279,12 +311,20 @@ def _basis(passages: DataFrame, index: ItemIndex, idf: np.ndarray, rank: int, se
         total = np.zeros((len(weight), g.shape[1]), np.float32)
         seen = np.zeros(len(weight), bool)
         for b in batches:
-            for stretch in b.column(0).to_pylist():
-                for window in passage_windows(np.array(stretch, np.int32)):
-                    w = np.unique(window[window >= 0])
-                    a = weight[w]
-                    total[w] += a[:, None] * (a @ g[w])[None, :]
-                    seen[w] = True
+            for at in range(0, b.num_rows, 2048):
+                part = b.column(0).slice(at, 2048)
+                words, owner = np.asarray(part.flatten()), np.asarray(part.value_parent_indices()).astype(np.int64)
+                key = np.unique(owner[words >= 0] * len(weight) + words[words >= 0])  # each word once a passage
+                owner, words = key // len(weight), key % len(weight)
+                a = weight[words]
+                heads = np.flatnonzero(np.diff(owner, prepend=-1))
+                share = np.add.reduceat(g[words] * a[:, None], heads, axis=0)
+                order = np.argsort(words, kind="stable")
+                firsts = np.flatnonzero(np.diff(words[order], prepend=-1))
+                rows = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(words))))[order]
+                which = words[order][firsts]
+                total[which] += np.add.reduceat(share[rows] * a[order, None], firsts, axis=0)
+                seen[which] = True
         rows = np.flatnonzero(seen)
         parts = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * g.shape[1], pa.int32()), pa.array(total[rows].ravel()))
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), parts], ["word", "part"])
@@ -312,12 +352,12 @@ def _basis(passages: DataFrame, index: ItemIndex, idf: np.ndarray, rank: int, se
     return left[:, : min(rank, k)].astype(np.float32)
 
 
-def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, labels: str | None = None, gram: int = 12, rank: int = 192, share: float | None = 0.6, loss: float = 0.4, gap: int = 12, block_words: int = 4_000_000, seed: int = 7) -> DataFrame:
+def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, labels: str | None = None, gram: int = 12, rank: int = 192, share: float | None = 0.6, loss: float = 0.5, gap: int = 12, block_words: int = 4_000_000, seed: int = 7) -> DataFrame:
     """(doc_id, item_id, words, run, lcs, cosine, held, answer): which documents hold passages of which items.
 
     One row a document and item with a candidate passage. ``words``: the item's words.
-    ``run``: most consecutive words of the item in a passage; every run of up to ``gram``
-    words is found for sure, and a run is measured whole, however long. ``lcs``: longest
+    ``run``: most consecutive words of the item in a passage; with ``share`` None every run
+    of ``gram`` words is found for sure; a run is measured whole, however long. ``lcs``: longest
     common subsequence of the item and a part of the passage (see best_subsequence).
     ``cosine``: best latent cosine of a window of the passage and one of the item; ``held``:
     the largest share of a candidate window's weight that lies in the passage.
@@ -325,14 +365,15 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item
     exactly, where run >= least(gram, words); a smaller run with a large lcs is a paraphrase.
 
     ``share`` None looks for exact runs only. Else candidates are passages that may lack the
-    share ``loss`` of the weight of a window of ``gram`` words of the item, with up to ``gap``
-    foreign words in a row, and those are kept that hold a whole window or a subsequence of
-    ``share`` of 24 words (of the item's, if it is shorter).
+    share ``loss`` of the weight of a window of ``gram`` words of the item (one at every
+    ``gram`` / 4-th word), with up to ``gap`` foreign words in a row, and those are kept that
+    hold a run of ``gram`` words or a subsequence of ``share`` of 24 words (of the item's, if
+    it is shorter); their recall is measured in the tests.
 
     Document frequencies and the SVD take in all documents. The corpus is passed once for
     each ``block_words`` words of items (25 MB of text; a single longer item makes its own
     block), and only its passages twice more. A block's vocabulary, index and basis go to
-    the workers: some 20 bytes a word of items and 4 x rank a word of its vocabulary, so
+    the workers: some 50 bytes a word of items and 4 x rank a word of its vocabulary, so
     their size is bounded whatever the items. Null and empty texts, and items without words,
     give nothing; repeated rows give one; an empty table on either side gives an empty
     result. ``gram`` is at most 13: a longer run needn't lie in one passage window.
@@ -347,7 +388,7 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item
     kind = T.StructType([T.StructField(n, t) for n, t in kinds])
     result: DataFrame | None = None
     for block in _blocks(own, block_words):
-        index = ItemIndex(block, gram)
+        index = ItemIndex(block, gram, 1 if share is None else max(1, gram // 4))
         if index.ids:
             found = _search_block(source, index, rank, 0.0 if share is None else loss, 0 if share is None else gap, seed, share, kind)
             result = found if result is None else result.unionByName(found)
