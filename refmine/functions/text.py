@@ -11,10 +11,10 @@ from pyspark.sql import Column, functions as F
 WS = r"\s\x1c-\x1f\x{85}\p{Z}"
 
 # Fixed values of the link and file-name rules.
-DOI_URL = r"(?i)^https?://doi\.org/(.+)"
-DOI_ANYWHERE = r"10\.\d{4,9}/\S+"
+DOI_URL = r"(?i)^https?://doi\.org/([^\n]+)"
+DOI_ANYWHERE = rf"10\.\p{{Nd}}{{4,9}}/[^{WS}]+"
 LINK_TAIL = ").,;"
-COUNT_SUFFIX = r"\s*\(\+\d+\)$"
+COUNT_SUFFIX = rf"[{WS}]*\(\+\p{{Nd}}+\)$"
 FILE_SUFFIXES = r"((\.jsonl|\.ndjson)(\.gz)?|\.gz)$"
 CONTEXT_FILE_KINDS = {"citing": "citing_contexts", "cited": "cited_contexts", "both": "combined_contexts"}
 
@@ -67,16 +67,16 @@ def extract_doi(c: Column | str) -> Column:
     DOI-like run without closing punctuation.
     """
     text = trim_u(c)
-    by_url = trim_u(F.regexp_extract(text, DOI_URL, 1))
+    by_url = F.regexp_extract(text, DOI_URL, 1)
     anywhere = rstrip_chars(F.regexp_extract(text, DOI_ANYWHERE, 0), LINK_TAIL)
-    return F.when(by_url != "", by_url).when(anywhere != "", anywhere)
+    return F.when(by_url != "", trim_u(by_url)).when(anywhere != "", anywhere)
 
 
 def dedup_link_cell(c: Column | str) -> Column:
     """Drop repeated links of a comma-separated cell; the first spelling and its suffix stay.
 
     Two links are one if their DOIs are equal or, without a DOI, their texts but for closing
-    punctuation, case ignored. Null, blank and ``nan`` give the empty string.
+    punctuation and the white space before it, case ignored. Null, blank and ``nan`` give the empty string.
     """
     c = _col(c)
     items = F.filter(F.transform(F.split(c, ","), trim_u), lambda x: x != "")
@@ -86,7 +86,7 @@ def dedup_link_cell(c: Column | str) -> Column:
 
     def key(x: Column) -> Column:
         doi = F.when(x["url"] != "", trim_u(x["url"])).otherwise(rstrip_chars(x["doi"], LINK_TAIL))
-        return F.when((x["url"] != "") | (x["doi"] != ""), F.concat(F.lit("doi:"), F.lower(doi))).otherwise(F.concat(F.lit("url:"), F.lower(rstrip_chars(x["core"], LINK_TAIL))))
+        return F.when(doi != "", F.concat(F.lit("doi:"), F.lower(doi))).otherwise(F.concat(F.lit("url:"), F.lower(trim_u(rstrip_chars(x["core"], LINK_TAIL)))))
 
     keyed = F.transform(found, lambda x: F.struct(x["item"].alias("item"), key(x).alias("key")))
     none = F.array().cast("array<string>")
@@ -128,8 +128,8 @@ def first_braces(c: Column | str, greedy: bool) -> Column:
 
 
 def truthy_id(c: Column | str) -> Column:
-    """An id as it is, 0 as null."""
-    c = _col(c)
+    """An id as BIGINT, 0 and what is no number as null."""
+    c = _col(c).try_cast("bigint")
     return F.when(c != 0, c)
 
 

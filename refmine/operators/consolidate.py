@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from refmine.functions.text import normalize_name, not_blank, trim_u, truthy_id
+from refmine.operators.skew import hot_key_join
 from refmine.session import materialize, ship
 
 DEFAULT_CONFIDENCE = 0.5
@@ -29,41 +30,55 @@ def mentions_of(extractions: DataFrame, order: str = "extraction_id", names: str
     return base.where(not_blank("_raw")).select((F.col("_o").cast("decimal(19,0)") * F.lit(10**9) + F.col("_p")).cast("decimal(38,0)").alias("ord"), F.col("_o").alias("row"), F.col("_p").alias("pos"), trim_u("_raw").alias("name"), said.alias("description"), "confidence", *keep)
 
 
-def consolidate(mentions: DataFrame, citing: str = "citing_paper_id", cited: str = "cited_paper_id") -> DataFrame:
+def spellings_of(mentions: DataFrame) -> DataFrame:
+    """(normalized_name, name, mentions, first_ord, confidence): one row a spelling, with its sum of confidences.
+
+    A hot name, or the empty one, is reduced map-side to its spellings before it meets itself.
+    """
+    base = mentions.select(normalize_name("name").alias("normalized_name"), "name", "confidence", "ord")
+    return base.groupBy("normalized_name", "name").agg(F.count(F.lit(1)).alias("mentions"), F.min("ord").alias("first_ord"), F.sum(F.col("confidence").cast("decimal(18,6)")).alias("confidence"))
+
+
+def consolidate(mentions: DataFrame, citing: str = "citing_paper_id", cited: str = "cited_paper_id", first: int = 5) -> DataFrame:
     """Groups of mentions by normalised name.
 
-    (normalized_name, name, variants, mention_count, citing_paper_count, cited_paper_count,
-    avg_confidence, first_ord): ``name`` is the most frequent spelling, the first seen among
-    equals; ``variants`` are all spellings in order of first sight; empty ids don't count.
+    (normalized_name, name, variants, spellings, mention_count, citing_paper_count,
+    cited_paper_count, avg_confidence, first_ord): ``name`` is the most frequent spelling, the
+    first seen among equals; ``variants`` are the ``first`` spellings in order of first sight,
+    of so many ``spellings`` (``spellings_of`` has all, as rows); empty ids don't count.
 
-    Two aggregations, by (normalised, spelling) and then by normalised name, so that a hot
-    name, or the empty one, is reduced map-side to its spellings before it meets itself;
-    distinct papers are counted apart by Spark's two-phase distinct aggregation.
+    Two aggregations, by spelling and then by normalised name; the first spellings of a name
+    are picked map-side too (a window with a limit); distinct papers are counted apart by
+    Spark's two-phase distinct aggregation.
     """
-    base = mentions.select(normalize_name("name").alias("normalized_name"), "name", "confidence", "ord", F.nullif(F.col(citing).cast("string"), F.lit("")).alias("_a"), F.nullif(F.col(cited).cast("string"), F.lit("")).alias("_b"))
-    spellings = base.groupBy("normalized_name", "name").agg(F.count(F.lit(1)).alias("_n"), F.min("ord").alias("_first"), F.sum(F.col("confidence").cast("decimal(18,6)")).alias("_c"))
-    by_first = F.sort_array(F.collect_list(F.struct(F.col("_first"), F.col("name"))))
-    groups = spellings.groupBy("normalized_name").agg(
-        F.min_by("name", F.struct((-F.col("_n")).alias("n"), F.col("_first"))).alias("name"),
-        F.transform(by_first, lambda x: x["name"]).alias("variants"),
-        F.sum("_n").alias("mention_count"),
-        (F.sum("_c").cast("double") / F.sum("_n")).alias("avg_confidence"),
-        F.min("_first").alias("first_ord"),
+    spelled = spellings_of(mentions)
+    groups = spelled.groupBy("normalized_name").agg(
+        F.min_by("name", F.struct((-F.col("mentions")).alias("n"), F.col("first_ord"))).alias("name"),
+        F.count(F.lit(1)).alias("spellings"),
+        F.sum("mentions").alias("mention_count"),
+        (F.sum("confidence").cast("double") / F.sum("mentions")).alias("avg_confidence"),
+        F.min("first_ord").alias("first_ord"),
     )
-    papers = base.groupBy("normalized_name").agg(F.count_distinct("_a").alias("citing_paper_count"), F.count_distinct("_b").alias("cited_paper_count"))
-    return groups.join(papers, "normalized_name").select("normalized_name", "name", "variants", "mention_count", "citing_paper_count", "cited_paper_count", "avg_confidence", "first_ord")
+    early = spelled.select("normalized_name", "name", "first_ord").withColumn("_r", F.row_number().over(Window.partitionBy("normalized_name").orderBy("first_ord"))).where(F.col("_r") <= first)
+    variants = early.groupBy("normalized_name").agg(F.transform(F.sort_array(F.collect_list(F.struct("first_ord", "name"))), lambda x: x["name"]).alias("variants"))
+    ids = mentions.select(normalize_name("name").alias("normalized_name"), F.nullif(F.col(citing).cast("string"), F.lit("")).alias("_a"), F.nullif(F.col(cited).cast("string"), F.lit("")).alias("_b"))
+    papers = ids.groupBy("normalized_name").agg(F.count_distinct("_a").alias("citing_paper_count"), F.count_distinct("_b").alias("cited_paper_count"))
+    joined = groups.join(variants, "normalized_name").join(papers, "normalized_name")
+    return joined.select("normalized_name", "name", "variants", "spellings", "mention_count", "citing_paper_count", "cited_paper_count", "avg_confidence", "first_ord")
 
 
-def collect_mentions(mentions: DataFrame, per_group: int | None = None) -> DataFrame:
-    """(normalized_name, mentions): the mention rows of each group in order, as one array.
+def collect_mentions(mentions: DataFrame, size: int = 10_000) -> DataFrame:
+    """(normalized_name, part, mentions): the mention rows of each group in order, in arrays of at most ``size``.
 
-    Arrays grow with the hottest group; ``per_group`` keeps the first so many of each.
+    Parts are numbered from 0 within a group. Rows are numbered over ranges of (name, order),
+    so that a hot group is spread over as many tasks as it has parts and ranges.
     """
     rows = mentions.withColumn("normalized_name", normalize_name("name"))
-    if per_group:
-        rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy("normalized_name").orderBy("ord"))).where(F.col("_r") <= per_group).drop("_r")
+    numbered = with_ranks(rows, [F.asc("normalized_name"), F.asc("ord")], "_rank")
+    firsts = numbered.groupBy("normalized_name").agg(F.min("_rank").alias("_first"))
+    parts = hot_key_join(numbered, firsts, ["normalized_name"]).withColumn("part", F.floor((F.col("_rank") - F.col("_first")) / size).cast("long"))
     fields = [c for c in mentions.columns if c not in ("ord", "row", "pos")]
-    return rows.groupBy("normalized_name").agg(F.sort_array(F.collect_list(F.struct("ord", *fields))).alias("mentions"))
+    return parts.groupBy("normalized_name", "part").agg(F.sort_array(F.collect_list(F.struct("ord", *fields))).alias("mentions"))
 
 
 def exact_round2(values):
@@ -74,11 +89,10 @@ def exact_round2(values):
 def with_ranks(df: DataFrame, order: Sequence, rank: str = "rank") -> DataFrame:
     """Numbers 1..n by a total order, without moving all rows into one task.
 
-    Rows are range-partitioned and sorted; each task numbers its own from the sum of the
-    counts before it, of which there is one a task. The input is written first, as finding
-    the ranges would otherwise compute it twice.
+    Rows are range-partitioned and sorted, and written once with the number of their range;
+    each task numbers its own from the sum of the counts before it, of which there is one a task.
     """
-    ordered = materialize(df, "to-rank").repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
     fixed = materialize(ordered, "ranked")
     counts = fixed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

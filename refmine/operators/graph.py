@@ -74,16 +74,18 @@ def with_paper_info(edges: DataFrame, papers: DataFrame, key: str, prefix: str,
     return edges.join(info, key, "left")
 
 
-def grouped_by_paper(edges: DataFrame, papers: DataFrame, direction: str, fields: Sequence[str] = ("title",)) -> DataFrame:
-    """(corpusid, fields..., citations | citing_papers): the edges of each paper as one array, for export documents.
+def export_rows(edges: DataFrame, papers: DataFrame, direction: str, fields: Sequence[str] = ("title",)) -> DataFrame:
+    """(corpusid, fields..., far, contexts), one row an edge: what an export document holds, paper by paper.
 
-    Arrays grow with the hottest paper; ``papers`` is unique in corpusid. For large exports
-    write the edges themselves.
+    The paper is the edge's near end ('citing': the one that cites), ``far`` the other end,
+    ``contexts`` an array whichever form the edges have. ``papers`` is unique in corpusid.
+    Nothing is grouped: a paper with a third of all edges is as many rows, which a document
+    takes in one after the other.
     """
-    key, far, name = (CITING, CITED, "citations") if direction == "citing" else (CITED, CITING, "citing_papers")
-    rest = [c for c in edges.columns if c not in (CITING, CITED)]
-    grouped = edges.groupBy(F.col(key).alias("corpusid")).agg(F.collect_list(F.struct(far, *rest)).alias(name))
-    return with_paper_info(grouped, papers, "corpusid", "", fields).select("corpusid", *fields, name)
+    near, far = (CITING, CITED) if direction == "citing" else (CITED, CITING)
+    held = F.col("contexts") if "contexts" in edges.columns else F.when(F.col("context").isNotNull(), F.array("context")).otherwise(F.array().cast("array<string>"))
+    rows = edges.select(F.col(near).alias("corpusid"), F.col(far).alias("far"), held.alias("contexts"))
+    return with_paper_info(rows, papers, "corpusid", "", fields).select("corpusid", *fields, "far", "contexts")
 
 
 def table_info(df: DataFrame, key: str) -> DataFrame:

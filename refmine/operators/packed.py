@@ -54,6 +54,19 @@ def _scanners(delimiters: tuple[str, ...]) -> tuple[re.Pattern, dict[str, re.Pat
 _ESCAPED = re.compile(r"\\([^\w\s])", re.S)
 
 
+_BRACKET = re.compile(r"\\.|\"(?:[^\"\\]|\\.)*\"|[\[\]]", re.S)
+
+
+def _brackets_match(body: str) -> bool:
+    """Whether the first bracket is open until the last: not so in ``[A], [B]``. Quoted and escaped ones don't count."""
+    depth = 0
+    for m in _BRACKET.finditer(body):
+        depth += {"[": 1, "]": -1}.get(m[0], 0)
+        if depth <= 0 and m.end() < len(body):
+            return False
+    return True
+
+
 def _scan(cell: str | None, delimiters: Iterable[str]) -> tuple[list[str], list[str]]:
     """The pieces of a cell, empty ones too, and the delimiters between them."""
     if cell is None:
@@ -61,7 +74,7 @@ def _scan(cell: str | None, delimiters: Iterable[str]) -> tuple[list[str], list[
     body = cell.strip(_TRIM)
     if not body or body.lower() == "nan":
         return [], []
-    if body[0] == "[" and body[-1] == "]":
+    if body[0] == "[" and body[-1] == "]" and _brackets_match(body):
         body = body[1:-1].strip(_TRIM)
     some = tuple(sorted(delimiters))
     one, quoted, unquoted = _scanners(some)

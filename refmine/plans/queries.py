@@ -7,10 +7,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from refmine.functions import text as X
-from refmine.model.client import NAME_RULE, RuleClient, extraction_rule, relevance_rule
-from refmine.model.operator import extract_datasets, extraction_counters, extraction_rows, filter_relevant
+from refmine.model.client import RuleClient
+from refmine.model.operator import RELEVANCE_TYPE, ask, extract_datasets, extraction_counters, extraction_rows, filter_relevant
+from refmine.model.responses import relevance_record
 from refmine.operators import consolidate as C, contexts as N, graph as G
-from refmine.plans.pipeline import ContextQuery
+from refmine.plans.pipeline import ContextQuery, Store
+from refmine.plans.rules import NAME_RULE, extraction_rule, relevance_rule
 from refmine.session import shared_dir, table
 from refmine.sinks.files import clean_columns
 from refmine.sources.jsonl import ingest_jsonl
@@ -84,16 +86,21 @@ def mention_rank(spark: SparkSession, folder: str) -> DataFrame:
     return ranked.select(F.col("rank").cast("bigint").alias("rank"), "name", "mention_count", "citing_paper_count", "cited_paper_count", "avg_confidence", F.array_join(F.slice("variants", 1, 5), ", ").alias("variants"))
 
 
-@query()
+_RANKED = _GROUPS + """, k AS (
+  SELECT row_number() OVER (ORDER BY mention_count DESC, first_ord) AS "Rank", name AS "Dataset", mention_count AS "Mentions", citing_paper_count AS "Citing Papers", cited_paper_count AS "Cited Papers",
+    CAST(format('{:.2f}', avg_confidence) AS DOUBLE) AS "Avg Confidence", array_to_string(variants[1:5], ', ') AS "Variants" FROM g JOIN p USING (norm)
+)"""
+
+
+@query(_RANKED + " SELECT * FROM k")
 def rank_table(spark: SparkSession, folder: str) -> DataFrame:
     """The ranked table as written, averages rounded as Python does."""
     return C.rank_table(_groups(spark, folder), round_exactly=True)
 
 
-@query(_MENTIONS + """ SELECT norm AS normalized_name, count(*) AS mentions, count(DISTINCT name) AS spellings, count(DISTINCT cited_paper_id) AS cited_papers FROM m GROUP BY norm""")
+@query(_GROUPS + " SELECT norm AS normalized_name, mention_count AS mentions, len(variants) AS spellings, cited_paper_count AS cited_papers FROM g JOIN p USING (norm)")
 def norm_groups(spark: SparkSession, folder: str) -> DataFrame:
-    m = _mentions(spark, folder).withColumn("normalized_name", X.normalize_name("name"))
-    return m.groupBy("normalized_name").agg(F.count(F.lit(1)).alias("mentions"), F.count_distinct("name").alias("spellings"), F.count_distinct("cited_paper_id").alias("cited_papers"))
+    return _groups(spark, folder).select("normalized_name", F.col("mention_count").alias("mentions"), "spellings", F.col("cited_paper_count").alias("cited_papers"))
 
 
 @query(_GROUPS + " SELECT norm AS normalized_name, name FROM g")
@@ -103,21 +110,32 @@ def display_name(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(_GROUPS + " SELECT norm AS normalized_name, array_to_string(variants[1:5], ', ') AS variants, len(variants) AS n FROM g")
 def variants_top5(spark: SparkSession, folder: str) -> DataFrame:
-    return _groups(spark, folder).select("normalized_name", F.array_join(F.slice("variants", 1, 5), ", ").alias("variants"), F.size("variants").cast("bigint").alias("n"))
+    return _groups(spark, folder).select("normalized_name", F.array_join("variants", ", ").alias("variants"), F.col("spellings").alias("n"))
+
 
+@query(_GROUPS + " SELECT norm AS normalized_name, unnest(variants) AS name FROM g")
+def all_spellings(spark: SparkSession, folder: str) -> DataFrame:
+    return C.spellings_of(_mentions(spark, folder)).select("normalized_name", "name")
 
-@query("""SELECT model, count(*) AS n, CAST(sum(CAST(coalesce(confidence_score, 0.5) AS DECIMAL(18,6))) AS DOUBLE) / count(*) AS avg_confidence FROM extraction_results GROUP BY model""")
+
+@query(_GROUPS + " SELECT norm AS normalized_name, mention_count AS n, avg_confidence FROM g")
 def mean_confidence(spark: SparkSession, folder: str) -> DataFrame:
-    total = F.sum(F.coalesce("confidence_score", F.lit(0.5)).cast("decimal(18,6)")).cast("double")
-    return table(spark, folder, "extraction_results").groupBy("model").agg(F.count(F.lit(1)).alias("n"), (total / F.count(F.lit(1))).alias("avg_confidence"))
+    return _groups(spark, folder).select("normalized_name", F.col("mention_count").alias("n"), "avg_confidence")
+
 
+@query(_MENTIONS + """ SELECT norm AS normalized_name, (row_number() OVER (PARTITION BY norm ORDER BY extraction_id, pos) - 1) // 7 AS part, name, confidence FROM m""")
+def mention_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """Each group's mentions in order, in lists of seven, laid out again."""
+    lists = C.collect_mentions(_mentions(spark, folder), 7)
+    return lists.select("normalized_name", "part", F.explode("mentions").alias("m")).select("normalized_name", "part", "m.name", "m.confidence")
 
-@query(_GROUPS + f""", b AS (
+
+@query(_RANKED + """, b AS (
   SELECT dataset AS name, min(description) AS description FROM analyzed_datasets WHERE description IS NOT NULL AND dataset IS NOT NULL GROUP BY dataset
-) SELECT g.norm AS normalized_name, g.name, b.description FROM g LEFT JOIN b USING (name)""")
+) SELECT k."Rank", k."Dataset", b.description AS "Description" FROM k LEFT JOIN b ON k."Dataset" = b.name""")
 def desc_lookup(spark: SparkSession, folder: str) -> DataFrame:
     said = table(spark, folder, "analyzed_datasets").where("description IS NOT NULL AND dataset IS NOT NULL").groupBy(F.col("dataset").alias("name")).agg(F.min("description").alias("description"))
-    return _groups(spark, folder).join(said, "name", "left").select("normalized_name", "name", "description")
+    return C.rank_table(_groups(spark, folder), said).select("Rank", "Dataset", "Description")
 
 
 # Citation graph ---------------------------------------------------------------------------
@@ -194,10 +212,11 @@ def topic_walk(spark: SparkSession, folder: str) -> DataFrame:
     return walked.groupBy("direction", "level").agg(F.count(F.lit(1)).alias("edges"))
 
 
-@query(_EDGES + """, l AS (SELECT corpusid, coalesce(arg_max(title, (updated_at, coalesce(title, ''))), '') AS title FROM papers WHERE corpusid IS NOT NULL AND updated_at IS NOT NULL GROUP BY corpusid)
-SELECT corpusid, title FROM l WHERE corpusid IN (FROM c1)""")
+@query(_EDGES + """, l AS (
+  SELECT corpusid, coalesce(title, '') AS title FROM papers WHERE corpusid IS NOT NULL QUALIFY row_number() OVER (PARTITION BY corpusid ORDER BY updated_at DESC NULLS LAST, coalesce(title, '') DESC) = 1
+) SELECT corpusid, title FROM l WHERE corpusid IN (FROM c1)""")
 def paper_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    papers = G.latest_papers(table(spark, folder, "papers").where("updated_at IS NOT NULL").select("corpusid", "title", "updated_at"))
+    papers = G.latest_papers(table(spark, folder, "papers").select("corpusid", "title", "updated_at"))
     return G.lookup_papers(papers, cite_frontier(spark, folder), ["title"])
 
 
@@ -208,22 +227,37 @@ def context_audit(spark: SparkSession, folder: str) -> DataFrame:
     return G.with_paper_info(edges, table(spark, folder, "seed_papers"), "citedcorpusid", "cited_", ["title", "topic"]).select("context_id", "citingcorpusid", "citedcorpusid", "cited_title", "cited_topic")
 
 
-@query("""SELECT citing_paper_id AS citing, count(*) AS contexts, count(DISTINCT cited_paper_id) AS cited FROM citation_contexts
-WHERE citing_paper_id <> 0 AND cited_paper_id <> 0 GROUP BY citing_paper_id""")
+def _titles(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "papers").groupBy("corpusid").agg(F.min("title").alias("title"))
+
+
+@query("""SELECT cited_paper_id AS corpusid, min(s.title) AS title, count(*) AS contexts, count(DISTINCT citing_paper_id) AS citing
+FROM citation_contexts c LEFT JOIN (SELECT corpusid, min(title) AS title FROM papers GROUP BY corpusid) s ON s.corpusid = c.cited_paper_id
+WHERE citing_paper_id <> 0 AND cited_paper_id <> 0 GROUP BY cited_paper_id""")
 def citing_export(spark: SparkSession, folder: str) -> DataFrame:
-    return _edges(spark, folder).groupBy(F.col("citingcorpusid").alias("citing")).agg(F.count(F.lit(1)).alias("contexts"), F.count_distinct("citedcorpusid").alias("cited"))
+    """What the export of citing papers holds of each cited one, counted."""
+    rows = G.export_rows(_edges(spark, folder), _titles(spark, folder), "cited")
+    return rows.groupBy("corpusid").agg(F.min("title").alias("title"), F.count(F.lit(1)).alias("contexts"), F.count_distinct("far").alias("citing"))
 
 
-@query("""SELECT c.citing_paper_id AS corpusid, any_value(s.title) AS title, count(*) AS contexts,
-  array_to_string(list(CAST(c.cited_paper_id AS VARCHAR) || ': ' || coalesce(c.context, '') ORDER BY CAST(c.cited_paper_id AS VARCHAR) || ': ' || coalesce(c.context, '')), '|') AS citations
+@query("""SELECT c.citing_paper_id AS corpusid, s.title, c.cited_paper_id AS cited, coalesce(c.context, '') AS context
 FROM citation_contexts c LEFT JOIN (SELECT corpusid, min(title) AS title FROM papers GROUP BY corpusid) s ON s.corpusid = c.citing_paper_id
-WHERE c.citing_paper_id <> 0 AND c.cited_paper_id <> 0 GROUP BY c.citing_paper_id""")
+WHERE c.citing_paper_id <> 0 AND c.cited_paper_id <> 0""")
 def context_export(spark: SparkSession, folder: str) -> DataFrame:
-    """What the JSON export holds of each citing paper, its citations as one text."""
-    papers = table(spark, folder, "papers").groupBy("corpusid").agg(F.min("title").alias("title"))
-    grouped = G.grouped_by_paper(_edges(spark, folder), papers, "citing")
-    said = F.transform("citations", lambda x: F.concat(x["citedcorpusid"].cast("string"), F.lit(": "), F.coalesce(x["context"], F.lit(""))))
-    return grouped.select("corpusid", "title", F.size("citations").cast("bigint").alias("contexts"), F.array_join(F.array_sort(said), "|").alias("citations"))
+    """What the JSON export holds, an edge a row."""
+    rows = G.export_rows(_edges(spark, folder), _titles(spark, folder), "citing")
+    return rows.select("corpusid", "title", F.col("far").alias("cited"), F.array_join("contexts", "|").alias("context"))
+
+
+@query("SELECT DISTINCT corpusid FROM (SELECT corpusid FROM seed_papers UNION ALL SELECT corpusid FROM papers) WHERE corpusid IS NOT NULL")
+def store_update(spark: SparkSession, folder: str) -> DataFrame:
+    """A paper table built from one folder of dumps and updated from another."""
+    base = f"{shared_dir(spark)}/{_unique('store')}"
+    for name in ("seed_papers", "papers"):
+        table(spark, folder, name).select("corpusid", "title", "abstract").write.option("compression", "gzip").json(f"{base}/{name}")
+    with Store(spark, f"{base}/store") as store:
+        store.build_papers(f"{base}/seed_papers")
+        return store.update_papers(f"{base}/papers").select("corpusid")
 
 
 @query("SELECT count(*) AS rows, min(corpusid) AS min_key, max(corpusid) AS max_key FROM papers")
@@ -306,9 +340,12 @@ def relevance_filter(spark: SparkSession, folder: str) -> DataFrame:
 # Text functions -----------------------------------------------------------------------------
 
 
-@query("""SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
+@query("""SELECT event_id, value > 50 AS relevant, value / 128 AS confidence, event_type AS reason FROM events WHERE value IS NOT NULL AND event_type IS NOT NULL""")
 def json_response(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
+    """Answers with JSON in the midst of talk, read by the parser of the model operator; the rule says what it is told."""
+    events = table(spark, folder, "events").where("value IS NOT NULL AND event_type IS NOT NULL").select("event_id", "event_type", "value")
+    said = F.concat(F.lit('Sure: {"relevant": '), (F.col("value") > 50).cast("string"), F.lit(', "confidence": '), (F.col("value") / 128).cast("string"), F.lit(', "reason": "'), "event_type", F.lit('"} - anything else?'))
+    return ask(events, said, "", lambda: RuleClient(lambda user: user), relevance_record, RELEVANCE_TYPE).select("event_id", "answer.*")
 
 
 @query(r"""SELECT event_id, regexp_extract('so: ' || props || ' and ' || props || ' end', '(?s)\{.*\}', 0) AS wide, regexp_extract('so: ' || props || ' and ' || props, '\{[^}]+\}', 0) AS narrow FROM events""")
@@ -317,30 +354,37 @@ def brace_extract(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select("event_id", X.first_braces(F.concat(said, F.lit(" end")), greedy=True).alias("wide"), X.first_braces(said, greedy=False).alias("narrow"))
 
 
+_WORDS = r"[^\s\x0b\x1c-\x1f\x{85}\p{Z}]+"
+
+
 def _sql_doi(x: str) -> str:
     t = _sql_trim(x)
-    url = _sql_trim(rf"regexp_extract({t}, '(?i)^https?://doi\.org/(.+)', 1)")
-    return rf"coalesce(nullif({url}, ''), nullif(rtrim(regexp_extract({t}, '10\.\d{{4,9}}/\S+', 0), ').,;'), ''))"
+    url = rf"regexp_extract({t}, '(?i)^https?://doi\.org/([^\n]+)', 1)"
+    return rf"CASE WHEN {url} <> '' THEN {_sql_trim(url)} ELSE nullif(rtrim(regexp_extract({t}, '10\.\p{{Nd}}{{4,9}}/{_WORDS}', 0), ').,;'), '') END"
+
+
+_LONGER = "(citing_article || chr(8195) || 'x.')"
 
 
-@query(f"SELECT row_id, {_sql_doi('citing_article')} AS doi, {_sql_doi(chr(39).join(['replace(citing_article, ', 'doi.example', ', ', 'doi.org', ')']))} AS resolver_doi FROM analyzed_datasets")
+@query(f"SELECT row_id, {_sql_doi(_LONGER)} AS doi, {_sql_doi(chr(39).join(['replace(citing_article, ', 'doi.example', ', ', 'doi.org', ')']))} AS resolver_doi FROM analyzed_datasets")
 def doi_extract(spark: SparkSession, folder: str) -> DataFrame:
+    """DOIs before an em space and more text, and behind a resolver's address."""
     cells = table(spark, folder, "analyzed_datasets")
-    return cells.select("row_id", X.extract_doi("citing_article").alias("doi"), X.extract_doi(F.replace("citing_article", F.lit("doi.example"), F.lit("doi.org"))).alias("resolver_doi"))
+    return cells.select("row_id", X.extract_doi(F.concat("citing_article", F.lit("\u2003x."))).alias("doi"), X.extract_doi(F.replace("citing_article", F.lit("doi.example"), F.lit("doi.org"))).alias("resolver_doi"))
 
 
-_CORE = _sql_trim(r"regexp_replace(x, '\s*\(\+\d+\)$', '')")
-_KEY = f"CASE WHEN {_sql_doi(_CORE)} IS NOT NULL THEN 'doi:' || lower({_sql_doi(_CORE)}) ELSE 'url:' || lower(rtrim({_CORE}, ').,;')) END"
+_CORE = _sql_trim(rf"regexp_replace(x, '{_WS}*\(\+\p{{Nd}}+\)$', '')")
+_KEY = f"CASE WHEN {_sql_doi(_CORE)} <> '' THEN 'doi:' || lower({_sql_doi(_CORE)}) ELSE 'url:' || lower({_sql_trim(f"rtrim({_CORE}, ').,;')")}) END"
 
 
 @query(f"""WITH c AS (
-  SELECT row_id, citing_article AS cell, list_filter(list_transform(string_split(citing_article || ', ' || citing_article || ' (+2)', ','), lambda x: {_sql_trim("x")}), lambda x: x <> '') AS items FROM analyzed_datasets
+  SELECT row_id, citing_article AS cell, list_filter(list_transform(string_split(citing_article || ', ' || citing_article || ' (+2), ' || citing_article || chr(160) || '.,', ','), lambda x: {_sql_trim("x")}), lambda x: x <> '') AS items FROM analyzed_datasets
 ), k AS (SELECT *, list_transform(items, lambda x: {_KEY}) AS keys FROM c)
 SELECT row_id, CASE WHEN cell IS NULL THEN '' ELSE array_to_string(list_filter(items, lambda x, i: list_position(keys, keys[i]) = i), ', ') END AS links FROM k""")
 def link_cell_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Each cell joined with itself under another suffix, so that every link occurs twice."""
-    twice = F.concat("citing_article", F.lit(", "), "citing_article", F.lit(" (+2)"))
-    return table(spark, folder, "analyzed_datasets").select("row_id", X.dedup_link_cell(twice).alias("links"))
+    """Each cell joined with itself under another suffix and before punctuation, so that every link occurs three times."""
+    thrice = F.concat("citing_article", F.lit(", "), "citing_article", F.lit(" (+2), "), "citing_article", F.lit("\u00a0.,"))
+    return table(spark, folder, "analyzed_datasets").select("row_id", X.dedup_link_cell(thrice).alias("links"))
 
 
 @query(rf"""SELECT corpusid, title, regexp_replace(regexp_replace(translate(lower(title), ' -/', '___'), '[^\p{{L}}\p{{N}}_]', '', 'g'), '^_+|_+$', '', 'g') || '_citing_contexts_100.json' AS file_name FROM papers""")

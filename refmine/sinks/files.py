@@ -1,7 +1,7 @@
-"""Small final results as single files: pretty JSON with backups, TSV, in-place rewrites.
+"""Results as single files: pretty JSON with backups, TSV, in-place rewrites.
 
-Large results are written by Spark (Parquet, JSON Lines, CSV); what is written here through
-the driver is a report, and ``max_rows`` bounds it.
+Large results are better written by Spark (Parquet, JSON Lines, CSV). What must be one file
+streams through the driver, which holds a partition at most.
 """
 
 from __future__ import annotations
@@ -10,13 +10,14 @@ import csv
 import json
 import math
 import os
-import shutil
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import date, datetime
-from pathlib import Path
+from fnmatch import fnmatch
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from refmine import storage
 from refmine.functions.text import dedup_link_cell, finite
 from refmine.sources.documents import read_tsv
 
@@ -51,51 +52,80 @@ def plain(value):
     return value
 
 
-def rotate_backup(path: str) -> str | None:
+def rotate_backup(path: str, spark: SparkSession | None = None) -> str | None:
     """Move a file to the first free of .backup, .backup_1, ...; None if there is none to move."""
-    if not os.path.exists(path):
+    own = storage.local_path(path)
+    there = os.path.exists if own else lambda p: storage.exists(spark, p)
+    path = own or path
+    if not there(path):
         return None
     target, n = path + ".backup", 0
-    while os.path.exists(target):
+    while there(target):
         n += 1
         target = f"{path}.backup_{n}"
-    os.rename(path, target)
+    os.rename(path, target) if own else storage.rename(spark, path, target)
     return target
 
 
+def _json(value, depth: int) -> str:
+    """Indented JSON of a value that stands so many blanks deep."""
+    return json.dumps(plain(value), ensure_ascii=False, indent=2).replace("\n", "\n" + " " * depth)
+
+
 def save_json(data, path: str, backup: bool = True) -> bool:
     """Indented UTF-8 JSON; an earlier file is kept as a backup. False on any failure."""
     try:
-        Path(path).parent.mkdir(parents=True, exist_ok=True)
-        text = json.dumps(plain(data), ensure_ascii=False, indent=2)
-        if backup:
-            rotate_backup(path)
-        Path(path).write_text(text, encoding="utf-8")
+        text = _json(data, 0)
+        with storage.TextFile(None, path, (lambda: rotate_backup(path)) if backup else None) as f:
+            f.write(text)
+        return True
+    except (OSError, TypeError, ValueError):
+        return False
+
+
+def save_document(df: DataFrame, path: str, key: str, header: dict | None = None, backup: bool = True, within: str | None = None) -> bool:
+    """One JSON document: the header's entries, then the rows under ``key``, in their order. False where it can't be written.
+
+    Rows pass through the driver one partition at a time, whatever their number. ``within``:
+    a column of structs; consecutive rows that are equal in all others make one object, with
+    their structs in a list of that name, also written as they come. ``path`` may be on any
+    file system that Spark knows.
+    """
+    spark = df.sparkSession
+    rows = clean_columns(df).toLocalIterator()
+    try:
+        with storage.TextFile(spark, path, (lambda: rotate_backup(path, spark)) if backup else None) as f:
+            f.write("{\n" + "".join(f"  {json.dumps(k)}: {_json(v, 2)},\n" for k, v in (header or {}).items()) + f"  {json.dumps(key)}: [")
+            n = _write_rows(f, rows) if within is None else _write_groups(f, rows, within)
+            f.write("\n  ]\n}" if n else "]\n}")
         return True
     except (OSError, TypeError, ValueError):
         return False
 
 
-def _bounded(df: DataFrame, max_rows: int) -> list:
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"more than {max_rows} rows: write this table with Spark instead")
-    return rows
+def _write_rows(f: storage.TextFile, rows: Iterable) -> int:
+    n = 0
+    for n, row in enumerate(rows, 1):
+        f.write((",\n    " if n > 1 else "\n    ") + _json(row, 4))
+    return n
 
 
-def save_document(df: DataFrame, path: str, key: str, header: dict | None = None, backup: bool = True, max_rows: int = 1_000_000) -> bool:
-    """One JSON document: the header's entries, then the rows under ``key``."""
-    return save_json({**(header or {}), key: _bounded(clean_columns(df), max_rows)}, path, backup)
+def _write_groups(f: storage.TextFile, rows: Iterable, within: str) -> int:
+    n = 0
+    for n, (own, members) in enumerate(groupby(rows, lambda r: {k: v for k, v in r.asDict().items() if k != within}), 1):
+        f.write((",\n    " if n > 1 else "\n    ") + _json(own, 4).removesuffix("\n    }") + f",\n      {json.dumps(within)}: [")
+        for i, m in enumerate(members):
+            f.write((",\n        " if i else "\n        ") + _json(m[within], 8))
+        f.write("\n      ]\n    }")
+    return n
 
 
-def save_tsv(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
-    """One TSV file with header, quoted where needed, null as empty, in the order of the rows."""
-    rows = _bounded(df, max_rows)
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    with open(path, "w", encoding="utf-8", newline="") as f:
+def save_tsv(df: DataFrame, path: str, keep: Callable[[], object] | None = None) -> None:
+    """One TSV file with header, quoted where needed, null as empty, in the order of the rows, which pass as in ``save_document``."""
+    with storage.TextFile(df.sparkSession, path, keep) as f:
         w = csv.writer(f, delimiter="\t", lineterminator="\n")
         w.writerow(df.columns)
-        w.writerows(["" if v is None else v for v in r] for r in rows)
+        w.writerows(["" if v is None else v for v in r] for r in df.toLocalIterator())
 
 
 def write_tsv(df: DataFrame, folder: str) -> None:
@@ -119,16 +149,19 @@ def rewrite_tsv(spark: SparkSession, path: str, columns: list[str], change: Call
         some = some | d
     changed = df.where(some).limit(1).count() > 0
     if changed and not dry_run:
-        local = path.removeprefix("file:")
-        staged = local + ".new"
-        save_tsv(after, staged)
-        if not os.path.exists(local + ".bak"):
-            shutil.copy2(local, local + ".bak")
-        os.replace(staged, local)
+        save_tsv(after, path, lambda: _keep_original(spark, path))
     return changed
 
 
+def _keep_original(spark: SparkSession, path: str) -> None:
+    own = storage.local_path(path)
+    if own and not os.path.exists(own + ".bak"):
+        os.rename(own, own + ".bak")
+    elif not own and not storage.exists(spark, path + ".bak"):
+        storage.rename(spark, path, path + ".bak")
+
+
 def rewrite_link_tables(spark: SparkSession, folders: list[str], columns: tuple[str, ...] = ("Citing Article", "Citied Article"), pattern: str = "*_merged_analysis_table.tsv", dry_run: bool = False) -> dict[str, bool]:
     """Every matching TSV below the folders: path and whether it changed (or would)."""
-    paths = sorted({str(p) for f in folders for p in Path(f).rglob(pattern)})
+    paths = sorted({storage.local_path(p) or p for f in folders if storage.exists(spark, f) for p in storage.files_below(spark, f) if fnmatch(p.rsplit("/", 1)[-1], pattern)})
     return {p: rewrite_tsv(spark, p, list(columns), dry_run=dry_run) for p in paths}

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from refmine.operators.contexts import from_merged, from_papers
 
-_ELEMENT = "array<struct<{}: bigint, contexts: array<string>>>"
-PAPERS_DOCUMENT = f"papers array<struct<corpusid: bigint, cited_corpusid: bigint, citations: {_ELEMENT.format('cited_corpusid')}, citing_papers: {_ELEMENT.format('citing_corpusid')}>>"
-MERGED_DOCUMENT = "query string, total_contexts bigint, contexts array<struct<context: string, citing_paper_id: bigint, cited_paper_id: bigint, source: string>>"
+# Ids are read as text and cast afterwards: one of another type must not cost a document its other rows.
+_ELEMENT = "array<struct<{}: string, contexts: array<string>>>"
+PAPERS_DOCUMENT = f"papers array<struct<corpusid: string, cited_corpusid: string, citations: {_ELEMENT.format('cited_corpusid')}, citing_papers: {_ELEMENT.format('citing_corpusid')}>>"
+MERGED_DOCUMENT = "query string, total_contexts string, contexts array<struct<context: string, citing_paper_id: string, cited_paper_id: string, source: string>>"
 EXTRACTION_DOCUMENT = (
     "source_file string, topic string, total_contexts bigint, contexts_with_datasets bigint, processing_time double, extractions array<struct<context: string, datasets: array<string>, "
     "descriptions: map<string,string>, citation_intent: array<string>, resource_type: array<string>, confidence: double, citing_paper_id: string, cited_paper_id: string>>"
@@ -16,10 +17,21 @@ EXTRACTION_DOCUMENT = (
 
 
 def read_documents(spark: SparkSession, path: str | list[str], schema: str, skip_bad: bool = True) -> DataFrame:
-    """One row a file. A bad file is skipped, or raises."""
+    """One row a file. A value of another type is null and costs nothing else; a file that is no JSON gives a row of nulls, or raises.
+
+    ``unreadable`` tells which files had something that couldn't be read.
+    """
     df = spark.read.schema(schema + ", _bad string").option("multiLine", "true").option("columnNameOfCorruptRecord", "_bad").option("mode", "PERMISSIVE" if skip_bad else "FAILFAST").json(path)
     df = df.select("*", F.col("_metadata.file_name").alias("file_name"))
-    return (df.where("_bad IS NULL") if skip_bad else df).drop("_bad")
+    return df.drop("_bad")
+
+
+def unreadable(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
+    """(file_name) of the documents that are no JSON or hold a value that doesn't fit the schema."""
+    df = spark.read.schema(schema + ", _bad string").option("multiLine", "true").option("columnNameOfCorruptRecord", "_bad").json(path)
+    # The reader wants another column beside the one of bad records.
+    seen = df.select("*", F.col("_metadata.file_name").alias("file_name")).groupBy("file_name").agg(F.max("_bad").alias("bad"), F.count(df.columns[0]).alias("n"))
+    return seen.where("bad IS NOT NULL AND n >= 0").select("file_name")
 
 
 def read_contexts(spark: SparkSession, path: str, legacy_roles: bool = False) -> DataFrame:
@@ -40,9 +52,9 @@ def read_context_files(spark: SparkSession, folder: str, merged_name: str = "all
     return flat.withColumn("source", F.col("ord.row.file_name"))
 
 
-def read_extractions(spark: SparkSession, path: str) -> DataFrame:
+def read_extractions(spark: SparkSession, path: str, skip_bad: bool = True) -> DataFrame:
     """Rows of extraction documents with their place as ``ord``."""
-    return read_documents(spark, path, EXTRACTION_DOCUMENT).select(F.posexplode("extractions").alias("ord", "e")).select("ord", "e.*")
+    return read_documents(spark, path, EXTRACTION_DOCUMENT, skip_bad).select(F.posexplode("extractions").alias("ord", "e")).select("ord", "e.*")
 
 
 def read_tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -2,36 +2,23 @@
 
 from __future__ import annotations
 
-import fnmatch
-import posixpath
+import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from fnmatch import fnmatch
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from refmine.functions.text import strip_file_suffix
+from refmine import storage
+from refmine.functions.text import FILE_SUFFIXES, strip_file_suffix
 
 #: Names that are taken for JSON Lines.
 PATTERNS = ("*.jsonl.gz", "*.jsonl", "*.ndjson.gz", "*.ndjson", "*.gz")
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
 def find_input_files(spark: SparkSession, folder: str, patterns=PATTERNS) -> list[str]:
     """Paths below a folder that match a pattern, sorted, each once. A missing folder raises."""
-    import fnmatch
-
-    fs, root = _fs(spark, folder)
-    if not fs.exists(root):
-        raise FileNotFoundError(folder)
-    found, files = set(), fs.listFiles(root, True)
-    while files.hasNext():
-        path = files.next().getPath().toString()
-        if any(fnmatch.fnmatch(posixpath.basename(path), p) for p in patterns):
-            found.add(path)
-    return sorted(found)
+    return sorted({p for p in storage.files_below(spark, folder) if any(fnmatch(p.rsplit("/", 1)[-1], pattern) for pattern in patterns)})
 
 
 def first_file_schema(spark: SparkSession, path: str) -> T.StructType:
@@ -49,12 +36,8 @@ def read_jsonl(spark: SparkSession, paths, schema: T.StructType | str, strict: b
 
 def output_path(path: str, input_folder: str, output_folder: str) -> str:
     """Where a file's Parquet goes: its path below the input folder, without the suffix."""
-    tail = path.split(input_folder.split(":", 1)[-1].rstrip("/") + "/", 1)[-1]
-    for s in (".jsonl.gz", ".ndjson.gz", ".jsonl", ".ndjson", ".gz"):
-        if tail.endswith(s):
-            tail = tail[: -len(s)]
-            break
-    return f"{output_folder.rstrip('/')}/{tail}.parquet"
+    below = path.rpartition(input_folder.partition(":")[2].rstrip("/") + "/" if ":" in input_folder else input_folder.rstrip("/") + "/")[2]
+    return f"{output_folder.rstrip('/')}/{re.sub(FILE_SUFFIXES, '', below)}.parquet"
 
 
 @dataclass(frozen=True)
@@ -66,34 +49,68 @@ class Converted:
     rows: int
 
 
-def convert_files(spark: SparkSession, input_folder: str, output_folder: str, schema: T.StructType | str | None = None, force: bool = False, patterns=PATTERNS) -> list[Converted]:
+def convert_files(spark: SparkSession, input_folder: str, output_folder: str, schema: T.StructType | str | None = None, force: bool = False, patterns=PATTERNS, workers: int = 8) -> list[Converted]:
     """One Parquet output (zstd) for each input file; one that exists is skipped unless forced.
 
-    Without a schema each file's own is used. An empty file gives no output. A file that
-    can't be read or cast fails alone and leaves nothing behind. The driver's loop is over
-    files, not rows; for one table of many files use ``ingest_jsonl``.
+    With a schema all files are one job. Without, each file's own is used, ``workers`` files
+    at a time. An empty file gives no output. A file that can't be read or cast fails alone
+    and leaves nothing behind.
     """
-    report = []
+    todo, report = [], []
     for path in find_input_files(spark, input_folder, patterns):
         out = output_path(path, input_folder, output_folder)
-        fs, target = _fs(spark, out)
-        if fs.exists(target) and not force:
+        if storage.exists(spark, out) and not force:
             report.append(Converted(path, out, True, "skipped", 0))
-            continue
-        try:
-            pinned = schema or first_file_schema(spark, path)
-            if isinstance(pinned, T.StructType) and not pinned.fields:
-                report.append(Converted(path, out, True, "empty", 0))
-                continue
-            df = read_jsonl(spark, path, pinned, strict=True)
-            df.write.mode("overwrite").option("compression", "zstd").parquet(out)
-            rows = spark.read.parquet(out).count()
-            if not rows:
-                fs.delete(target, True)
-            report.append(Converted(path, out, True, "converted" if rows else "empty", rows))
-        except Exception as e:  # noqa: BLE001 - one bad file must not end the others
-            fs.delete(target, True)
-            report.append(Converted(path, out, False, str(e).splitlines()[0][:200], 0))
+        else:
+            todo.append((path, out))
+    if schema is not None:
+        report += _convert_together(spark, todo, schema, f"{output_folder.rstrip('/')}/_staged") if todo else []
+    else:
+        with ThreadPoolExecutor(workers) as pool:
+            report += pool.map(lambda x: _convert_one(spark, *x), todo)
+    return sorted(report, key=lambda r: r.path)
+
+
+def _convert_one(spark: SparkSession, path: str, out: str) -> Converted:
+    try:
+        own = first_file_schema(spark, path)
+        if not own.fields:
+            return Converted(path, out, True, "empty", 0)
+        read_jsonl(spark, path, own, strict=True).write.mode("overwrite").option("compression", "zstd").parquet(out)
+        rows = spark.read.parquet(out).count()
+        if not rows:
+            storage.delete(spark, out)
+        return Converted(path, out, True, "converted" if rows else "empty", rows)
+    except Exception as e:  # noqa: BLE001 - one bad file must not end the others
+        storage.delete(spark, out)
+        return Converted(path, out, False, str(e).splitlines()[0][:200], 0)
+
+
+def _convert_together(spark: SparkSession, todo: list[tuple[str, str]], schema: T.StructType | str, staged: str) -> list[Converted]:
+    """All files in one job, each into a folder of its own, which is then moved to its place."""
+    wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    numbers = spark.createDataFrame([(p.split(":", 1)[-1].lstrip("/"), n) for n, (p, _) in enumerate(todo)], "_path string, _file int")
+    lines = spark.read.schema(T.StructType([*wanted.fields, T.StructField("_bad", T.StringType())])).option("columnNameOfCorruptRecord", "_bad").json([p for p, _ in todo])
+    own = lines.withColumn("_path", F.regexp_replace(F.col("_metadata.file_path"), "^[a-z0-9]*:?/+", "")).withColumn("_ok", F.col("_bad").isNull().cast("int"))
+    own.join(F.broadcast(numbers), "_path").drop("_path", "_bad").write.mode("overwrite").option("compression", "zstd").partitionBy("_file", "_ok").parquet(staged)
+    told: dict[int, int] = {}
+    if storage.folder_names(spark, staged):
+        counted = spark.read.parquet(staged).groupBy("_file", "_ok").agg(F.count(F.lit(1)).alias("n"))
+        for r in counted.toLocalIterator():  # two rows a file at most
+            told[r["_file"]] = -1 if not r["_ok"] or told.get(r["_file"]) == -1 else r["n"]
+    report = []
+    for n, (path, out) in enumerate(todo):
+        rows = told.get(n, 0)
+        if rows < 0:
+            report.append(Converted(path, out, False, "a line can't be read", 0))
+        elif not rows:
+            report.append(Converted(path, out, True, "empty", 0))
+        else:
+            storage.delete(spark, out)
+            storage.make_folder(spark, out.rpartition("/")[0])
+            storage.rename(spark, f"{staged}/_file={n}/_ok=1", out)
+            report.append(Converted(path, out, True, "converted", rows))
+    storage.delete(spark, staged)
     return report
 
 

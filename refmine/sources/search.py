@@ -13,6 +13,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 PAGE, ATTEMPTS, RETRY_S, PAUSE_S, TIMEOUT_S = 100, 10, 5.0, 1.0, 30.0
 FIELDS = ("corpusId", "title", "abstract")
 KEY_VARIABLE = "SEMANTIC_SCHOLAR_API_KEY"
+SEARCH_URL = "https://api.semanticscholar.org/graph/v1/paper/search"
 
 
 def search_local(papers: DataFrame, query: str, limit: int | None = None, offset: int = 0, fields_of_study: Sequence[str] | None = None) -> DataFrame:
@@ -42,19 +43,22 @@ def http_get(url: str, params: dict, headers: dict) -> tuple[int, dict]:
 
 
 def fetch_page(url: str, query: str, limit: int, offset: int, get: Callable = http_get, sleep: Callable = time.sleep, fields: Sequence[str] = FIELDS, fields_of_study: Sequence[str] | None = None, api_key: str = "") -> tuple[list[dict], int]:
-    """(papers, total) of one page; busy answers and failures are tried again, and give nothing in the end."""
+    """(papers, total) of one page; busy answers and failures are tried again, and raise in the end."""
     params = {"query": query, "limit": limit, "offset": offset, "fields": ",".join(fields)}
     if fields_of_study:
         params["fieldsOfStudy"] = ",".join(fields_of_study)
-    for _ in range(ATTEMPTS):
+    trouble: object = None
+    for attempt in range(ATTEMPTS):
+        if attempt:
+            sleep(RETRY_S)
         try:
             status, body = get(url, params, {"x-api-key": api_key} if api_key else {})
             if status == 200:
                 return body.get("data") or [], int(body.get("total") or 0)
-        except Exception:  # noqa: BLE001 - a failed request is tried again
-            pass
-        sleep(RETRY_S)
-    return [], 0
+            trouble = f"status {status}"
+        except Exception as e:  # noqa: BLE001 - a failed request is tried again
+            trouble = e
+    raise ConnectionError(f"no page at offset {offset} after {ATTEMPTS} attempts: {trouble}")
 
 
 class _Pages(InputPartition):

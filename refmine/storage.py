@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import SparkSession
 
@@ -47,6 +47,12 @@ def file_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(n for n in found if not n.startswith((".", "_")))
 
 
+def folder_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders in a folder, sorted; none if there is no folder."""
+    fs, p = filesystem(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
+
+
 def files_below(spark: SparkSession, folder: str) -> Iterator[str]:
     """Paths of all files below a folder. A missing folder raises."""
     fs, root = filesystem(spark, folder)
@@ -84,10 +90,13 @@ def local_path(path: str) -> str | None:
 
 
 class TextFile:
-    """A text file written piece by piece beside its place and moved there when it is whole."""
+    """A text file written piece by piece beside its place and moved there when it is whole.
+
+    ``keep`` is called before that, to put an earlier file aside.
+    """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.local = spark, path, local_path(path)
+    def __init__(self, spark: SparkSession | None, path: str, keep: Callable[[], object] | None = None):
+        self.spark, self.path, self.local, self.keep = spark, path, local_path(path), keep
         self.parts, self.held = [], 0
         self.staged = f"{self.local or path}.new"
         if self.local:
@@ -116,6 +125,8 @@ class TextFile:
         if not failed:
             self._flush()
         self.out.close()
+        if not failed and self.keep:
+            self.keep()
         if failed:
             os.remove(self.staged) if self.local else delete(self.spark, self.staged)
         elif self.local:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from refmine.__main__ import main
 from refmine.sinks.files import clean_columns, rewrite_link_tables, rotate_backup, save_document, save_json, save_tsv, write_tsv
-from refmine.sources.documents import read_context_files, read_contexts, read_extractions, read_tsv
+from refmine.sources.documents import PAPERS_DOCUMENT, read_context_files, read_contexts, read_extractions, read_tsv, unreadable
 from refmine.sources.jsonl import convert_files, find_input_files, ingest_jsonl, rows_by_file
 from refmine.sources.search import PaperSearchSource, fetch_page, paper_by_id, search_local
 from refmine.streaming.incremental import ingest_new_files, latest_by_key, windowed_counts
@@ -71,8 +71,6 @@ def test_json_and_backups(spark, tmp_path):
     df = spark.createDataFrame([(1.0, [1.0, float("nan")]), (float("inf"), None)], "v double, a array<double>")
     assert [tuple(r) for r in clean_columns(df).collect()] == [(1.0, [1.0, None]), (None, None)]
     assert save_document(df, path, "rows", {"n": 2}) and json.load(open(path))["rows"][0] == {"v": 1.0, "a": [1.0, None]}
-    with pytest.raises(ValueError):
-        save_document(df, path, "rows", max_rows=1)
 
 
 def test_link_tables(spark, tmp_path, capsys):
@@ -104,6 +102,37 @@ def test_documents(spark, tmp_path):
     assert (tmp_path / "rank.tsv").read_text().splitlines()[1].startswith("1\tA\t1\t")
 
 
+def test_one_odd_value_costs_no_document(spark, tmp_path):
+    papers = [{"corpusid": 1, "citations": [{"cited_corpusid": "11", "contexts": ["A"]}]}, {"corpusid": "3", "citations": [{"cited_corpusid": {"x": 1}, "contexts": ["B"]}, {"cited_corpusid": 4, "contexts": "no list"}]}]
+    (tmp_path / "p.json").write_text(json.dumps({"papers": papers}))
+    (tmp_path / "broken.json").write_text("{")
+    assert sorted((r.context, r.citing_paper_id, r.cited_paper_id) for r in read_context_files(spark, str(tmp_path)).collect()) == [("A", 1, 11), ("B", 3, None)]
+    assert {r.file_name for r in unreadable(spark, str(tmp_path / "*.json"), PAPERS_DOCUMENT).collect()} == {"broken.json", "p.json"}
+
+
+def test_documents_are_streamed(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", i) for i in range(5)] + [(2, None, 9)], "p int, t string, v int").repartition(4).orderBy("p", "v")
+    path = tmp_path / "deep" / "d.json"
+    rows = df.select("p", "t", F.struct("v").alias("m"))
+    assert save_document(rows, f"file://{path}", "x", {"q": ["é", None]}, within="m")
+    want = {"q": ["é", None], "x": [{"p": 1, "t": "a", "m": [{"v": i} for i in range(5)]}, {"p": 2, "t": None, "m": [{"v": 9}]}]}
+    assert path.read_text() == json.dumps(want, ensure_ascii=False, indent=2)
+    assert save_document(df, str(path), "x") and len(json.loads(path.read_text())["x"]) == 6
+    assert (tmp_path / "deep" / "d.json.backup").exists() and not list(path.parent.glob("*.new"))
+    assert save_document(df.limit(0), str(path), "x", {}, backup=False) and json.loads(path.read_text()) == {"x": []}
+    save_tsv(df, str(tmp_path / "d.tsv"))
+    assert (tmp_path / "d.tsv").read_text().splitlines()[-1] == "2\t\t9"
+
+
+def test_conversion_by_own_schemas(spark, tmp_path):
+    for i in range(5):
+        write(tmp_path / "in" / f"{i}.jsonl", [{f"k{i}": i}])
+    write(tmp_path / "in" / "bad.jsonl", ["{"])
+    report = convert_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), workers=3)
+    assert [(r.ok, r.rows) for r in report] == [(True, 1)] * 5 + [(False, 0)]
+    assert spark.read.parquet(report[3].output).columns == ["k3"]
+
+
 def test_local_search(spark):
     df = spark.createDataFrame([(3, "Crop Mapping", None), (1, None, "mapping a crop"), (0, "crop mapping", ""), (None, "crop mapping", "")], "corpusid int, title string, abstract string")
     assert [r.corpusid for r in search_local(df, "crop mapping", limit=5).collect()] == [1, 3]
@@ -139,4 +168,7 @@ def test_retries():
 
     assert fetch_page("u", "q", 10, 0, busy, naps.append, api_key="k") == ([{"corpusId": 1}], 1)
     assert naps == [5.0] * 3 and calls[0] == {"x-api-key": "k"}
-    assert fetch_page("u", "q", 10, 0, lambda *a: (500, {}), lambda s: None) == ([], 0)
+    naps.clear()
+    with pytest.raises(ConnectionError, match="10 attempts"):
+        fetch_page("u", "q", 10, 0, lambda *a: (500, {}), naps.append)
+    assert len(naps) == 9

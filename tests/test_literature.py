@@ -3,9 +3,11 @@ import random
 
 from pyspark.sql import functions as F
 
-from refmine.model.client import RuleClient, extraction_rule, relevance_rule
+from refmine.__main__ import main
+from refmine.model.client import RuleClient
 from refmine.operators import consolidate as C, contexts as N, graph as G
 from refmine.plans.pipeline import ContextQuery, Store, analyze, export_audit, export_contexts, extract, extract_file, merge_contexts
+from refmine.plans.rules import extraction_rule, relevance_rule
 
 
 def toy_extractions(spark):
@@ -117,3 +119,88 @@ def test_exports_feed_the_next_stage(spark, tmp_path):
     assert extract_file(spark, str(tmp_path / "all_contexts.json"), str(out), lambda: RuleClient(extraction_rule), "t")
     found = json.loads(out.read_text())
     assert found["contexts_with_datasets"] == 1 and found["extractions"][0]["datasets"] == ["Pozi QA"]
+
+
+def test_an_update_keeps_what_is_built(spark, tmp_path):
+    def put(name, *rows):
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("".join(json.dumps(r) + "\n" for r in rows))
+
+    put("one/a.jsonl", *[{"corpusid": i, "title": f"t{i}"} for i in (1, 2, 3)])
+    put("two/b.jsonl", {"corpusid": 3, "title": "new"}, {"corpusid": 4, "title": "t4"}, "cut off")
+    titles = lambda df: {r.corpusid: r.title for r in df.collect()}
+    with Store(spark, str(tmp_path / "store")) as store:
+        assert titles(store.build_papers(str(tmp_path / "one"))) == {1: "t1", 2: "t2", 3: "t3"}
+        assert titles(store.update_papers(str(tmp_path / "two"))) == {1: "t1", 2: "t2", 3: "new", 4: "t4"}
+        version = store._current("papers")
+        assert titles(store.update_papers(str(tmp_path / "one"))) == {1: "t1", 2: "t2", 3: "new", 4: "t4"} and store._current("papers") == version
+        put("one/c.jsonl", {"corpusid": 1, "title": "t1, later"})
+        assert titles(store.update_papers(str(tmp_path / "one"))) == {1: "t1, later", 2: "t2", 3: "new", 4: "t4"}
+        assert len(store._versions("papers")) == 2 and titles(store.build_papers(str(tmp_path / "one"), force=True)).keys() == {1, 2, 3}
+    again = Store(spark, str(tmp_path / "store"))
+    assert again.papers.count() == 3 and not again.ready()
+    put("empty/readme.txt")
+    for folder in ("empty", "nowhere"):
+        try:
+            again.check_files(str(tmp_path / folder))
+        except FileNotFoundError:
+            continue
+        raise AssertionError(folder)
+
+
+def test_the_stages_one_after_the_other_through_files(spark, tmp_path, capsys):
+    data, cache, out = tmp_path / "data", str(tmp_path / "cache"), tmp_path / "out"
+    for name, rows in {
+        "papers/p.jsonl": [{"corpusid": 1, "title": "crop maps", "abstract": "a"}, {"corpusid": 2, "title": "other"}, {"corpusid": 11, "title": "crop yields"}, {"corpusid": 12, "title": "twelve"}],
+        "citations/c.jsonl": [{"citingcorpusid": 1, "citedcorpusid": 11, "contexts": ["We use Pozi QA.", " "]}, {"citingcorpusid": 1, "citedcorpusid": 12, "contexts": ["Pozi QA and Rezu Bench"]}, {"citingcorpusid": 2, "citedcorpusid": 1, "contexts": ["none"]}, {"citingcorpusid": 12, "citedcorpusid": 2, "contexts": None}],
+        "new/n.jsonl": [{"corpusid": 2, "title": "crop, added"}],
+    }.items():
+        (data / name).parent.mkdir(parents=True, exist_ok=True)
+        (data / name).write_text("".join(json.dumps(r) + "\n" for r in rows))
+    said = lambda user: relevance_rule("crop")(user) if user.startswith("Topic: crop\nTitle") else extraction_rule(user)
+    run = lambda *a: main([str(x) for x in a], client=lambda: RuleClient(said))
+    assert run("build", "--data-dir", data) == 1
+    assert run("query", "-q", "crop", "--cache-dir", cache) == 1
+    assert run("build", "--all", "--data-dir", data, "--cache-dir", cache) == 0
+    assert run("build", "--papers", "-i", "--from-jsonl", data / "new", "--cache-dir", cache) == 0
+    assert run("query", "-q", "crop", "-l", 10, "--context-type", "both", "--second", "--llm-prefilter", "--merge", "-o", out, "--cache-dir", cache) == 0
+    names = {p.name for p in out.glob("*")}
+    assert {"crop_combined_contexts_10_citing.json", "crop_combined_contexts_10_cited_by.json", "crop_combined_contexts_10_citing_audit.csv", "all_contexts.json"} <= names
+    citing = json.loads((out / "crop_combined_contexts_10_citing.json").read_text())
+    assert {p["corpusid"]: [(c["cited_corpusid"], len(c["contexts"])) for c in p["citations"]] for p in citing["papers"]} == {1: [(11, 2), (12, 1)], 2: [(1, 1)]}
+    assert run("query", "-q", "crop", "-o", out, "--no-backup", "--cache-dir", cache) == 0 and (out / "crop_citing_contexts_100.json").exists()
+    assert run("extract", "-i", out / "all_contexts.json", "-o", out / "found.json", "-t", "crop") == 0
+    assert run("extract", "-i", out / "crop_citing_contexts_100.json", "-o", out / "found2.json", "--no-filter") == 0
+    found = json.loads((out / "found.json").read_text())
+    assert found["topic"] == "crop" and {d for x in found["extractions"] for d in x["datasets"]} == {"Pozi QA", "Rezu Bench"}
+    table = out / "x_merged_analysis_table.tsv"
+    assert run("rank", "-e", out / "found.json", "-c", out / "crop_combined_contexts_10_citing.json", "-o", table, "--validation", "basic", "--citation-counts", out / "counts.tsv") == 0
+    lines = table.read_text().splitlines()
+    assert lines[0].split("\t")[:3] == ["Rank", "Dataset", "Mentions"] and lines[1].split("\t")[1] == "Pozi QA"
+    assert (out / "counts.tsv").read_text().splitlines() == ["corpusid\tcitations", "1\t2", "2\t1"]
+    assert run("rank", "-e", out / "missing.json", "-o", table) == 1
+    table.write_text("Citing Article\tDataset\nhttp://x, http://x .,\td\n")
+    assert run("links", "--dirs", out) == 0 and table.read_text().splitlines()[1] == "http://x\td"
+    capsys.readouterr()
+
+
+def test_exports_of_the_package():
+    import refmine
+
+    assert "Store" in dir(refmine) and refmine.Store is Store and all(getattr(refmine, n) is not None for n in refmine.__all__)
+    try:
+        refmine.nothing
+    except AttributeError:
+        return
+    raise AssertionError
+
+
+def test_mentions_in_bounded_lists(spark):
+    rows = [(i, ["Hot", "x"] if i % 3 else ["HOT!"], 0.5, "1", "2", None) for i in range(100)]
+    df = spark.createDataFrame(rows, "extraction_id int, extracted_datasets array<string>, confidence_score double, citing_paper_id string, cited_paper_id string, dataset_descriptions map<string,string>").repartition(3)
+    lists = C.collect_mentions(C.mentions_of(df), 30).collect()
+    sizes = {(r.normalized_name, r.part): len(r.mentions) for r in lists}
+    assert sizes == {("hot", 0): 30, ("hot", 1): 30, ("hot", 2): 30, ("hot", 3): 10, ("x", 0): 30, ("x", 1): 30, ("x", 2): 6}
+    hot = [m.name for r in sorted(lists, key=lambda r: r.part) if r.normalized_name == "hot" for m in r.mentions]
+    assert hot == ["Hot" if i % 3 else "HOT!" for i in range(100)]

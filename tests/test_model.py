@@ -3,7 +3,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from refmine.model.client import RuleClient, extraction_rule, relevance_rule
+from refmine.model.client import RuleClient
+from refmine.plans.rules import extraction_rule, relevance_rule
 from refmine.model.operator import ask, extract_datasets, extraction_counters, extraction_rows, filter_relevant
 from refmine.model.prompts import extraction_prompt, relevance_prompt
 from refmine.model.operator import RELEVANCE_TYPE

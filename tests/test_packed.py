@@ -65,3 +65,11 @@ def test_one_long_cell_rejects_nothing(spark):
         rows = [("s", "f", "a; b")] * 100 + [("s", "f", long)]
         got = infer_delimiters(spark.createDataFrame(rows, "_source string, _field string, _cell string")).collect()
         assert [r[2] for r in got] == [[";"]], odd
+
+
+def test_brackets_around_a_whole_list_only():
+    assert split_cell("[A], [B]", [","]) == ["[A]", "[B]"]
+    assert split_cell("[1] Foo, Bar [2]", [","]) == ["[1] Foo", "Bar [2]"]
+    assert split_cell("[[A], [B]]", [","]) == ["[A]", "[B]"]
+    assert split_cell('["a]", "b["]', [","]) == ["a]", "b["]
+    assert split_cell("[A; B \\] C]", [";"]) == ["A", "B ] C"] and split_cell("[]", [","]) == []

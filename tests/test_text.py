@@ -20,6 +20,7 @@ def test_doi(spark):
     cases = [
         ("HTTPS://DOI.org/10.1000/ABC", "10.1000/ABC"), ("https://doi.org/10.1000/abc.", "10.1000/abc."), ("see 10.1000/abc).", "10.1000/abc"),
         ("https://dx.doi.org/10.1000/abc", "10.1000/abc"), ("10.12/abc", None), ("", None), (None, None),
+        ("10.1234/ab\u00a0cd", "10.1234/ab"), ("10.1234/ab\u2003x", "10.1234/ab"), ("\u2003https://doi.org/10.1/a\u00a0b\u2003", "10.1/a\u00a0b"), ("10.\u0661\u0662\u0663\u0664/x", "10.\u0661\u0662\u0663\u0664/x"),
     ]
     assert apply(spark, X.extract_doi, [a for a, _ in cases]) == [b for _, b in cases]
 
@@ -29,7 +30,7 @@ def test_link_cells(spark):
         ("https://doi.org/10.1000/ABC, 10.1000/abc., https://doi.org/10.1000/abc (+3), https://example.org/x., https://example.org/X", "https://doi.org/10.1000/ABC, https://example.org/x."),
         ("https://a.org/1 (+2), https://a.org/1 (+5)", "https://a.org/1 (+2)"),
         ("https://doi.org/10.1000/abc., 10.1000/abc", "https://doi.org/10.1000/abc., 10.1000/abc"),
-        ("nan", ""), (" ", ""), (None, ""), ("a,,b, ", "a, b"),
+        ("nan", ""), (" ", ""), (None, ""), ("a,,b, ", "a, b"), ("http://x, http://x .,", "http://x"), ("http://x, http://x\u00a0)", "http://x"), ("u\u2003(+2), u", "u\u2003(+2)"), ("10.1234/a\u00a0b, 10.1234/a", "10.1234/a\u00a0b"),
     ]
     assert apply(spark, X.dedup_link_cell, [a for a, _ in cases]) == [b for _, b in cases]
 
