@@ -13,7 +13,7 @@ from refmine import storage
 from refmine.model.client import LLMClient, ModelSettings, served
 from refmine.operators.contexts import edges_from_contexts
 from refmine.plans.pipeline import ContextQuery, Store, analyze_files, extract_file, query_contexts
-from refmine.session import build_session
+from refmine.session import build_session, tidy
 from refmine.sinks.files import rewrite_link_tables
 from refmine.sources.documents import read_context_files
 from refmine.sources.jsonl import convert_files
@@ -142,6 +142,13 @@ def main(argv: list[str] | None = None, client: Callable[[], LLMClient] | None =
     """``client``: makes a model client; by default one of the served model."""
     a = _parser().parse_args(argv)
     spark = build_session()
+    try:
+        return _run(spark, a, client)
+    finally:
+        tidy(spark)
+
+
+def _run(spark: SparkSession, a: argparse.Namespace, client: Callable[[], LLMClient] | None) -> int:
     if a.stage == "build":
         return run_build(spark, a)
     if a.stage == "query":

@@ -109,6 +109,13 @@ UNION ALL SELECT feed, seq, 'retyped', old_field, new_field FROM renamed WHERE o
 UNION ALL SELECT n.feed, n.seq, 'retyped', n.field, n.field FROM n JOIN o ON n.feed = o.feed AND n.seq = o.seq AND n.field = o.field WHERE n.typ <> o.typ
 UNION ALL SELECT g.feed, g.seq, 'removed', g.field, '' FROM gone g ANTI JOIN renamed r ON g.feed = r.feed AND g.seq = r.seq AND g.field = r.old_field
 UNION ALL SELECT h.feed, h.seq, 'added', '', h.field FROM fresh h ANTI JOIN renamed r ON h.feed = r.feed AND h.seq = r.seq AND h.field = r.new_field""",
+    "p4_schema": _DRIFT + """, near AS (
+  SELECT DISTINCT field AS x, field AS y FROM s UNION SELECT n.x, CASE WHEN r.old_field = n.y THEN r.new_field ELSE r.old_field END FROM near n JOIN renamed r ON n.y IN (r.old_field, r.new_field)
+), own AS (SELECT x AS field, min(y) AS part FROM near GROUP BY x),
+by_name AS (SELECT field, sum(lines) AS lines, count(DISTINCT (feed, seq)) AS files, list_filter(list_distinct(list(typ)), lambda x: x IS NOT NULL) AS types FROM s GROUP BY field),
+merged AS (SELECT part, list(field ORDER BY lines DESC, field) AS names, sum(lines) AS lines, sum(files) AS files, list_sort(list_distinct(flatten(list(types)))) AS types FROM by_name JOIN own USING (field) GROUP BY part)
+SELECT names[1] AS "column", array_to_string(names, ' ') AS names, CAST(lines AS BIGINT) AS lines, CAST(files AS BIGINT) AS files,
+  CASE WHEN len(types) = 0 THEN NULL WHEN len(types) = 1 THEN ['string', 'boolean', 'array', 'object', 'integer', 'decimal'][types[1]] WHEN types = [5, 6] THEN 'decimal' ELSE 'string' END AS type FROM merged""",
     "p4_edge_ids": _DRIFT + """, alias AS (
   SELECT unnest(['edge_uid', 'corpusid', 'cited_corpusid', 'year']) AS target, target AS field
   UNION SELECT a.target, CASE WHEN r.old_field = a.field THEN r.new_field ELSE r.old_field END FROM alias a JOIN renamed r ON a.field IN (r.old_field, r.new_field)

@@ -10,6 +10,8 @@ from pathlib import Path
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
+from refmine import storage
+
 _OWN_DIR: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 
@@ -35,13 +37,14 @@ def build_session(app: str = "refmine", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir`` of the session.
+    """This application's own folder in the one that all executors share: ``spark.checkpoint.dir`` of the session.
 
     Where that is unset a temporary folder is made, which only a local master may use.
+    ``tidy`` removes it.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
-        return path.rstrip("/")
+        return f"{path.rstrip('/')}/refmine-{spark.sparkContext.applicationId}"
     if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     key = spark.sparkContext.applicationId
@@ -50,6 +53,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN_DIR[key]
 
 
+def tidy(spark: SparkSession) -> None:
+    """Remove this application's folder with all cut lineages; tables that still read them are void."""
+    storage.delete(spark, shared_dir(spark))
+    _OWN_DIR.pop(spark.sparkContext.applicationId, None)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package's source to the Python workers, once a session; operators with Python stages call it."""
     app = spark.sparkContext.applicationId

@@ -172,3 +172,26 @@ def test_retries():
     with pytest.raises(ConnectionError, match="10 attempts"):
         fetch_page("u", "q", 10, 0, lambda *a: (500, {}), naps.append)
     assert len(naps) == 9
+
+
+def test_fields_of_study_and_settings(spark, monkeypatch):
+    from refmine.model.client import ModelSettings
+    from refmine.sources.search import KEY_VARIABLE
+
+    df = spark.createDataFrame([(1, "crop", None, ["Biology"]), (2, "crop", None, ["Physics", "Biology"]), (3, "crop", None, None)], "corpusid int, title string, abstract string, fields_of_study array<string>")
+    assert {r.corpusid for r in search_local(df, "crop", fields_of_study=["Physics"]).collect()} == {2}
+    asked = []
+    fetch_page("u", "q", 5, 7, lambda u, p, h: asked.append((p, h)) or (200, {}), fields_of_study=["Biology", "Physics"], api_key="k")
+    assert asked[0][0]["fieldsOfStudy"] == "Biology,Physics" and asked[0][0]["offset"] == 7 and asked[0][1] == {"x-api-key": "k"}
+    assert ModelSettings().timeout_s == 360.0 and ModelSettings().max_concurrency == 500 and KEY_VARIABLE.isupper()
+
+
+def test_shared_folder_is_removed(spark):
+    from refmine import storage
+    from refmine.session import materialize, shared_dir, tidy
+
+    assert materialize(spark.range(3), "x").count() == 3 and storage.exists(spark, shared_dir(spark))
+    was = shared_dir(spark)
+    tidy(spark)
+    assert not storage.exists(spark, was)
+    assert materialize(spark.range(3), "x").count() == 3
