@@ -126,7 +126,10 @@ def score_cell(cell: str | None, candidates: Sequence[str] = CANDIDATES) -> list
     A piece is regular when it is of the type of most pieces of the cell (link or name), so
     a candidate that cuts links or names into fragments scores low.
     """
-    pieces, between = _scan(cell, candidates)
+    return _scored(*_scan(cell, candidates))
+
+
+def _scored(pieces: list[str], between: list[str]) -> list[dict]:
     if not between:
         return []
     kinds = [_kind(p) if p else None for p in pieces]
@@ -141,10 +144,14 @@ def score_cell(cell: str | None, candidates: Sequence[str] = CANDIDATES) -> list
     return [{"delimiter": d, "pieces": n, "regular": r, "times": t} for d, (n, r, t) in found.items()]
 
 
-@F.arrow_udf(T.ArrayType(T.StructType([T.StructField("delimiter", T.StringType()), T.StructField("pieces", T.IntegerType()), T.StructField("regular", T.IntegerType()), T.StructField("times", T.IntegerType())])))
-def _scores(cells: pa.Array) -> pa.Array:
+_SCORE = T.StructType([T.StructField("delimiter", T.StringType()), T.StructField("pieces", T.IntegerType()), T.StructField("regular", T.IntegerType()), T.StructField("times", T.IntegerType())])
+
+
+@F.arrow_udf(T.StructType([T.StructField("values", T.ArrayType(T.StringType())), T.StructField("scores", T.ArrayType(_SCORE))]))
+def _scanned(cells: pa.Array) -> pa.Array:
     kind = pa.list_(pa.struct([("delimiter", pa.string()), ("pieces", pa.int32()), ("regular", pa.int32()), ("times", pa.int32())]))
-    return pa.array([score_cell(c) for c in cells.to_pylist()], kind)
+    found = [_scan(c, CANDIDATES) for c in cells.to_pylist()]
+    return pa.StructArray.from_arrays([pa.array([[p for p in pieces if p] for pieces, _ in found], pa.list_(pa.string())), pa.array([_scored(*f) for f in found], kind)], ["values", "scores"])
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
@@ -152,17 +159,22 @@ def _split(cells: pa.Array, delimiters: pa.Array) -> pa.Array:
     return pa.array([split_cell(c, d or ()) for c, d in zip(cells.to_pylist(), delimiters.to_pylist())], pa.list_(pa.string()))
 
 
-def infer_delimiters(cells: DataFrame, min_score: float = 0.5, prior_pieces: int = 16) -> DataFrame:
+def scan_cells(cells: DataFrame) -> DataFrame:
+    """Cells (_source, _field, _cell, ...) with _values and _scores: split at every candidate, and how each candidate did."""
+    return cells.withColumn("_s", _scanned("_cell")).withColumns({"_values": F.col("_s.values"), "_scores": F.col("_s.scores")}).drop("_s")
+
+
+def infer_delimiters(scanned: DataFrame, min_score: float = 0.5, prior_pieces: int = 16) -> DataFrame:
     """Accepted delimiters of each source: (_source, _field, _delimiters ARRAY<STRING>).
 
-    ``cells`` has _source, _field, _cell. A candidate's score in a source is the mean over
+    ``scanned`` comes from ``scan_cells``. A candidate's score in a source is the mean over
     its cells of the share of regular pieces: each cell counts once, as two pieces, so no
     long cell can reject a delimiter that the others use, and uneven counts don't matter. It
     is smoothed with ``prior_pieces`` pieces of the field as a whole so that a source of few
     cells can be judged. Scores are sums, so that a source that holds most rows
     leaves one row a task and candidate; they are written once and read by all later steps.
     """
-    seen = cells.select("_source", "_field", F.explode(_scores("_cell")).alias("_s"))
+    seen = scanned.select("_source", "_field", F.explode("_scores").alias("_s"))
     # Candidates with nothing but empty pieces around them tell nothing.
     n, reg = F.count_if(F.col("_s.pieces") > 0) * 2.0, F.sum(F.try_divide(F.col("_s.regular") * 2.0, F.col("_s.pieces")))
     by_source = materialize(seen.groupBy("_source", "_field", F.col("_s.delimiter").alias("_d")).agg(n.alias("_n"), F.coalesce(reg, F.lit(0.0)).alias("_reg")), "delimiter-scores")
@@ -184,6 +196,10 @@ def split_packed(df: DataFrame, id_column: str, fields: Sequence[str], source: s
     source without any accepted delimiter keeps each cell as one value. Null, blank and
     ``nan`` cells give no rows, nor does an empty table. Repeated rows and repeated values
     are kept. Only ``id_column``, the fields and the source are read.
+
+    Cells are scanned once, for all candidates, and written. A cell whose every delimiter is
+    accepted in its source is split by that already: fewer candidates would give the same.
+    The others are scanned again.
     """
     ship(df.sparkSession)
     src = F.lit("") if source is None else F.coalesce((F.col(source) if isinstance(source, str) else source).cast("string"), F.lit(""))
@@ -193,7 +209,11 @@ def split_packed(df: DataFrame, id_column: str, fields: Sequence[str], source: s
         F.explode(F.array(*[F.struct(F.lit(f).alias("_field"), F.col(f).cast("string").alias("_cell")) for f in fields])).alias("_c"),
     ).select("_id", "_source", "_c._field", "_c._cell")
     cells = cells.where(F.col("_cell").isNotNull() & ~is_blank("_cell") & (F.lower(trim_u("_cell")) != "nan"))
-    marked = hot_key_join(cells, infer_delimiters(cells, min_score), ["_source", "_field"], "left")
+    scanned = materialize(scan_cells(cells), "cells-scanned")
+    marked = hot_key_join(scanned, infer_delimiters(scanned, min_score), ["_source", "_field"], "left")
+    none = F.array().cast("array<string>")
+    settled = F.size(F.array_except(F.transform("_scores", lambda x: x["delimiter"]), F.coalesce("_delimiters", none))) == 0
+    values = F.coalesce(F.when(settled, F.col("_values")), _split(F.when(~settled, F.col("_cell")), F.col("_delimiters")))
     return marked.select(
-        F.col("_id").alias(id_column), F.col("_field").alias("field_name"), F.posexplode(_split("_cell", "_delimiters")).alias("_p", "item")
+        F.col("_id").alias(id_column), F.col("_field").alias("field_name"), F.posexplode(values).alias("_p", "item")
     ).select(id_column, "field_name", (F.col("_p") + 1).cast("int").alias("pos"), "item")

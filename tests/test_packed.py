@@ -1,7 +1,7 @@
 import pytest
 from hypothesis import given, strategies as st
 
-from refmine.operators.packed import infer_delimiters, score_cell, split_cell, split_packed
+from refmine.operators.packed import infer_delimiters, scan_cells, score_cell, split_cell, split_packed
 
 CASES = [
     ('"Kegobivo, QA";Kegobivo QA;KGB-FFM', ["Kegobivo, QA", "Kegobivo QA", "KGB-FFM"]),
@@ -44,6 +44,12 @@ def test_scores_tell_fragments():
     assert score_cell("one value") == []
 
 
+@given(st.text(alphabet="ab \"'[],;|\\\t()+1/", max_size=30))
+def test_candidates_that_a_cell_lacks_change_nothing(cell):
+    found = {d["delimiter"] for d in score_cell(cell)}
+    assert split_cell(cell, found) == split_cell(cell) == split_cell(cell, found | {"、"})
+
+
 def test_split_packed(spark):
     rows = [(1, "A; B", None, "f1", 0), (2, None, " ", "f1", 0), (3, "nan", "https://x.org/1|https://x.org/2|https://x.org/2", None, 0), (3, "nan", "10.9999/a", None, 0)]
     df = spark.createDataFrame(rows, "id int, v string, c string, src string, pos int")
@@ -55,7 +61,7 @@ def test_split_packed(spark):
 def test_a_source_can_reject_a_delimiter(spark):
     # In one source semicolons only cut values into fragments without letters.
     rows = [("s", "f", f"name{i};{i};0") for i in range(40)] + [("t", "f", "name a;name b")] * 40
-    got = {(r[0]): r[2] for r in infer_delimiters(spark.createDataFrame(rows, "_source string, _field string, _cell string")).collect()}
+    got = {(r[0]): r[2] for r in infer_delimiters(scan_cells(spark.createDataFrame(rows, "_source string, _field string, _cell string"))).collect()}
     assert got == {"t": [";"]}
 
 
@@ -63,7 +69,7 @@ def test_one_long_cell_rejects_nothing(spark):
     for odd in (20, 300, 700):
         long = "; ".join(["0"] * odd + [f"name {i}" for i in range(1000 - odd)])
         rows = [("s", "f", "a; b")] * 100 + [("s", "f", long)]
-        got = infer_delimiters(spark.createDataFrame(rows, "_source string, _field string, _cell string")).collect()
+        got = infer_delimiters(scan_cells(spark.createDataFrame(rows, "_source string, _field string, _cell string"))).collect()
         assert [r[2] for r in got] == [[";"]], odd
 
 
