@@ -133,11 +133,11 @@ def _best_cuts(t: np.ndarray, s: np.ndarray, penalty: np.ndarray, limit: int, ta
     cuts is solved at once, against all cuts before it.
     """
     cost, came = np.full(len(t), np.inf), np.full(len(t), -1, np.int64)
+    ends, lows, highs = t.searchsorted(t + least, "left").tolist(), s.searchsorted(t - limit, "left").tolist(), t.searchsorted(t - least, "right").tolist()
     cost[0], at = 0.0, 1
     while at < len(t):
-        end = max(at + 1, int(np.searchsorted(t, t[at] + least, "left")))
-        lo, hi = int(np.searchsorted(s, t[at] - limit, "left")), int(np.searchsorted(t, t[end - 1] - least, "right"))
-        hi = min(hi, at)
+        end = max(at + 1, ends[at])
+        lo, hi = lows[at], min(highs[end - 1], at)
         if lo < hi:
             size = t[at:end, None] - s[None, lo:hi]
             sums = cost[None, lo:hi] + ((size - target) / limit) ** 2
@@ -178,7 +178,7 @@ def split_text(text: str, merger: PairMerger, limit: int, overlap: int, slices:
         if path is None:
             dense.append(now.widest_gap(limit))
             continue
-        out = _pieces(text, now, path, merger, dense)
+        out = _pieces(text, now, path, merger, dense, k, p)
         long = [x["stop"] for x in out if x["tokens"] > limit]
         if not long:
             return out
@@ -245,17 +245,29 @@ def _solve(cuts: _Cuts, limit: int, overlap: int) -> list[int] | None:
     return _best_cuts(cuts.t, cuts.s, penalty, limit, target, limit // 8) or _best_cuts(cuts.t, cuts.s, penalty, limit, target, 1)
 
 
-def _pieces(text: str, cuts: _Cuts, path: list[int], merger: PairMerger, dense: list) -> list[dict]:
+def _pieces(text: str, cuts: _Cuts, path: list[int], merger: PairMerger, dense: list, k: np.ndarray, p: np.ndarray) -> list[dict]:
+    """The pieces between the cuts; ``k`` and ``p``: tokens and characters before each slice of the text."""
     out, before, stop_before = [], 0, 0
     for n, j in enumerate(path):
         start, stop = (0 if n == 0 else int(cuts.back[before])), int(cuts.c[j])
         out.append({"piece": n + 1, "start": start, "stop": stop, "tokens": int(cuts.t[j] - (cuts.s[before] if n else 0)), "overlap": stop_before - start, "cut": "end" if stop == len(text) else _KINDS[cuts.kinds[j]]})
         before, stop_before = j, stop
-    # White space at a piece's end can merge otherwise than before more text: count such pieces again, and those measured in bytes.
-    loose = [x for x in out if (x["stop"] < len(text) and text[x["stop"] - 1].isspace()) or any(x["start"] < hi and x["stop"] > lo for lo, hi in dense)]
-    if loose:
-        for x, (_, parts) in zip(loose, encode_slices([text[x["start"] : x["stop"]] for x in loose], merger)):
-            x["tokens"] = sum(map(len, parts))
+    # White space at a piece's end can merge otherwise than before more text: count it again from the slice before it
+    # on, and pieces measured in bytes as a whole.
+    again = []
+    for x, j in zip(out, path):
+        start, stop = x["start"], x["stop"]
+        if any(start < hi and stop > lo for lo, hi in dense):
+            again.append((x, start, 0))
+        elif stop < len(text) and text[stop - 1].isspace():
+            end = stop - 1
+            while end > start and text[end - 1].isspace():
+                end -= 1
+            i = int(p.searchsorted(max(end - 1, 0), "right")) - 1
+            again.append((x, int(p[i]), x["tokens"] - int(cuts.t[j] - k[i])) if p[i] > start and not dense else (x, start, 0))
+    if again:
+        for (x, _, before), (_, parts) in zip(again, encode_slices([text[at : x["stop"]] for x, at, _ in again], merger)):
+            x["tokens"] = before + sum(map(len, parts))
     return out
 
 
