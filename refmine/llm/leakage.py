@@ -294,11 +294,28 @@ class _Latent:
         return out
 
 
+def _add_products(total: np.ndarray, seen: np.ndarray, words: np.ndarray, owner: np.ndarray, weight: np.ndarray, g: np.ndarray) -> None:
+    """Add A'AG of some rows to ``total`` and mark their words: ``words`` of the rows ``owner``, each counted once a row."""
+    key = np.unique(owner * len(weight) + words)
+    if not len(key):
+        return
+    owner, words = key // len(weight), key % len(weight)
+    a = weight[words]
+    heads = np.flatnonzero(np.diff(owner, prepend=-1))
+    share = np.add.reduceat(g[words] * a[:, None], heads, axis=0)
+    order = np.argsort(words, kind="stable")
+    firsts = np.flatnonzero(np.diff(words[order], prepend=-1))
+    rows = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(words))))[order]
+    which = words[order][firsts]
+    total[which] += np.add.reduceat(share[rows] * a[order, None], firsts, axis=0)
+    seen[which] = True
+
+
 def _basis(passages: DataFrame, index: ItemIndex, idf: np.ndarray, rank: int, seed: int) -> np.ndarray:
     """Leading right singular vectors of the TF-IDF passages, by a randomised range finder.
 
-    One distributed pass forms (A'A)G for a random G, A being the corpus passages with the
-    items' windows below them; each task adds up its rows' share and gives one vector a word
+    One distributed pass forms (A'A)G for a random G, A being the corpus passages with
+    windows of the items below them; each task adds up its rows' share and gives one vector a word
     it saw. The driver holds vocabulary x rank numbers: bounded by the block of items.
     """
     size = len(idf)
@@ -314,40 +331,28 @@ def _basis(passages: DataFrame, index: ItemIndex, idf: np.ndarray, rank: int, se
             for at in range(0, b.num_rows, 2048):
                 part = b.column(0).slice(at, 2048)
                 words, owner = np.asarray(part.flatten()), np.asarray(part.value_parent_indices()).astype(np.int64)
-                key = np.unique(owner[words >= 0] * len(weight) + words[words >= 0])  # each word once a passage
-                owner, words = key // len(weight), key % len(weight)
-                a = weight[words]
-                heads = np.flatnonzero(np.diff(owner, prepend=-1))
-                share = np.add.reduceat(g[words] * a[:, None], heads, axis=0)
-                order = np.argsort(words, kind="stable")
-                firsts = np.flatnonzero(np.diff(words[order], prepend=-1))
-                rows = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(words))))[order]
-                which = words[order][firsts]
-                total[which] += np.add.reduceat(share[rows] * a[order, None], firsts, axis=0)
-                seen[which] = True
+                _add_products(total, seen, words[words >= 0], owner[words >= 0], weight, g)
         rows = np.flatnonzero(seen)
         parts = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * g.shape[1], pa.int32()), pa.array(total[rows].ravel()))
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), parts], ["word", "part"])
 
     parts = passages.select("stretch").mapInArrow(sketch, "word int, part array<float>")
     sums = parts.groupBy("word").agg(F.array(*[F.sum(F.col("part")[j]) for j in range(k)]).alias("row"))
-    total = np.zeros((size, k))
+    total = np.zeros((size, k), np.float32)
     for r in sums.toLocalIterator():
         total[r["word"]] = r["row"]
-    padded, wide = np.append(idf, np.float32(0)).astype(np.float64), np.vstack([noise, np.zeros((1, k), np.float32)]).astype(np.float64)
-    for lo in range(0, len(index.owner), 20_000):
-        rows = index.windows(np.arange(lo, min(lo + 20_000, len(index.owner))))
-        w = padded[rows]
-        share = np.einsum("ij,ijk->ik", w, wide[rows])
-        for j in range(rows.shape[1]):
-            inside = rows[:, j] < size
-            np.add.at(total, rows[inside, j], w[inside, j, None] * share[inside])
+    # The items' windows side by side: each word about once.
+    which = np.flatnonzero((index.place - index.start[index.owner]) % index.gram == 0)
+    for lo in range(0, len(which), 4096):
+        rows = index.windows(which[lo : lo + 4096])
+        inside = rows < size
+        _add_products(total, np.zeros(size, bool), rows[inside], np.nonzero(inside)[0], idf, noise)
     # A'A is about total (G' total)^-1 total': its eigenvectors from the sketch alone.
-    middle = noise.T.astype(np.float64) @ total
+    middle = (noise.T @ total).astype(np.float64)
     middle = (middle + middle.T) / 2
     shift = 1e-8 * max(float(np.trace(middle)) / k, 1e-12)
     values, vectors = np.linalg.eigh(middle + shift * np.eye(k))
-    half = total @ (vectors / np.sqrt(np.maximum(values, shift)))
+    half = total @ (vectors / np.sqrt(np.maximum(values, shift))).astype(np.float32)
     left, _, _ = np.linalg.svd(half, full_matrices=False)
     return left[:, : min(rank, k)].astype(np.float32)
 
