@@ -15,12 +15,12 @@ import json
 import re
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from refmine import storage
 from refmine.functions.text import bare_form
 from refmine.operators.skew import HOT_PARTS, hot_key_join
-from refmine.session import shared_dir
+from refmine.session import materialize, shared_dir
 
 #: The bucket in the name of a bucketed file.
 _BUCKET = re.compile(r"_(\d+)(?:\..*)?$")
@@ -110,9 +110,9 @@ class CopyLedger:
             return False
         batch_id = batch_id or uuid.uuid4().hex
         id_type = dict(batch.dtypes)["id"]
-        found = found or {"version": 0, "buckets": self.buckets, "id_type": id_type, "files": {}, "batches": [], "stale": []}
+        found = found or {"version": 0, "buckets": self.buckets, "id_type": id_type, "rows": 0, "files": {}, "batches": [], "stale": []}
         staged, folder = f"{self.name}_{uuid.uuid4().hex}", f"{self.path}/staged/{uuid.uuid4().hex}"
-        self._stage(batch, staged, folder)
+        rows = self._stage(batch, staged, folder)
         try:
             fresh = self._by_bucket(folder)
             met = [b for b in fresh if b in found["files"]]
@@ -129,17 +129,21 @@ class CopyLedger:
             for b in set(fresh) - set(met):
                 new[b] = fresh[b]
                 storage.rename(self.spark, f"{folder}/{fresh[b]}", f"{self.path}/data/{fresh[b]}")
-            self._commit(found, new, batch_id)
+            self._commit(found, new, batch_id, rows)
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
             storage.delete(self.spark, folder)
         return True
 
-    def _stage(self, batch: DataFrame, name: str, folder: str) -> None:
+    def _stage(self, batch: DataFrame, name: str, folder: str) -> int:
+        """Write the batch's distinct keys in the ledger's buckets; the number of its records."""
         new = batch.where("key IS NOT NULL").groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("first_id"))
         if self.buckets != int(self.spark.conf.get("spark.sql.shuffle.partitions")):
             new = new.repartition(self.buckets, *_KEYS)  # one file a bucket
+        told = Observation()
+        new = new.observe(told, F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"))
         new.write.option("path", folder).bucketBy(self.buckets, *_KEYS).sortBy(*_KEYS).saveAsTable(name)
+        return told.get["rows"]
 
     @staticmethod
     def _merged(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -154,10 +158,10 @@ class CopyLedger:
     def _by_bucket(self, folder: str, but: set[str] = frozenset()) -> dict[str, str]:
         return {_BUCKET.search(n)[1]: n for n in storage.file_names(self.spark, folder) if n not in but and _BUCKET.search(n)}
 
-    def _commit(self, found: dict, new: dict[str, str], batch_id: str) -> None:
+    def _commit(self, found: dict, new: dict[str, str], batch_id: str, rows: int) -> None:
         stale = [found["files"][b] for b in new if b in found["files"]]
         version = found["version"] + 1
-        manifest = {**found, "version": version, "files": {**found["files"], **new}, "batches": [*found["batches"], batch_id], "stale": stale}
+        manifest = {**found, "version": version, "rows": found["rows"] + rows, "files": {**found["files"], **new}, "batches": [*found["batches"], batch_id], "stale": stale}
         storage.write_new(self.spark, f"{self.path}/manifests/{version:09d}.json", json.dumps(manifest))
         for n in found["stale"]:
             storage.delete(self.spark, f"{self.path}/data/{n}")
@@ -171,12 +175,11 @@ class CopyLedger:
 
         The ledger itself tells which keys are hot; their rows are matched where they lie.
         """
-        entries = self.entries
-        if entries is None:
+        manifest = self._latest()
+        if manifest is None:
             raise ValueError("the ledger is empty")
-        repeated = entries.where("copies > 1").select("scope", "key", "copies", "first_id")
-        total = entries.agg(F.sum("copies").alias("_all"))
-        hot = repeated.where(F.col("copies") * HOT_PARTS > total.scalar()).select(*_KEYS)
+        repeated = materialize(self._rows(list(manifest["files"].values())).where("copies > 1"), "repeated-keys")
+        hot = repeated.where(F.col("copies") > manifest["rows"] // HOT_PARTS).select(*_KEYS)
         found = hot_key_join(rows.where("key IS NOT NULL"), repeated.drop("copies"), list(_KEYS), hot=hot)
         return found.where("id <> first_id").select("scope", "first_id", F.col("id").alias("copy_id"))
 
