@@ -65,6 +65,7 @@ class CopyLedger:
         found = self._latest()
         self.buckets = found["buckets"] if found else buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.name = "ledger_" + hashlib.md5(self.path.encode()).hexdigest()
+        self._staged: list[str] = []
         if found:
             self._register(found)
 
@@ -76,10 +77,11 @@ class CopyLedger:
 
     def _register(self, manifest: dict) -> None:
         """The folder's files as a bucketed table of this session's catalog, so that scans know the buckets."""
-        columns = f"scope STRING, key BINARY, copies BIGINT, first_id {manifest['id_type']}"
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}) USING parquet CLUSTERED BY (scope, key) SORTED BY (scope, key) INTO {self.buckets} BUCKETS LOCATION '{self.path}/data'"
-        )
+        self._define(self.name, f"{self.path}/data", manifest["id_type"])
+
+    def _define(self, name: str, folder: str, id_type: str) -> None:
+        columns = f"scope STRING, key BINARY, copies BIGINT, first_id {id_type}"
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY (scope, key) SORTED BY (scope, key) INTO {self.buckets} BUCKETS LOCATION '{folder}'")
 
     def _rows(self, files: list[str]) -> DataFrame:
         self.spark.catalog.refreshTable(self.name)
@@ -111,40 +113,50 @@ class CopyLedger:
         batch_id = batch_id or uuid.uuid4().hex
         id_type = dict(batch.dtypes)["id"]
         found = found or {"version": 0, "buckets": self.buckets, "id_type": id_type, "rows": 0, "files": {}, "batches": [], "stale": []}
-        staged, folder = f"{self.name}_{uuid.uuid4().hex}", f"{self.path}/staged/{uuid.uuid4().hex}"
-        rows = self._stage(batch, staged, folder)
+        folder = f"{self.path}/staged/{uuid.uuid4().hex}"
         try:
-            fresh = self._by_bucket(folder)
+            rows = self._stage(batch, f"{folder}/batch")
+            fresh = self._by_bucket(f"{folder}/batch")
             met = [b for b in fresh if b in found["files"]]
+            moved = {b: f"{folder}/batch/{fresh[b]}" for b in fresh}
             storage.make_folder(self.spark, f"{self.path}/data")
-            self._register(found)
-            new = {}
             if met:
-                before = set(storage.file_names(self.spark, f"{self.path}/data"))
-                own = self.spark.table(staged).where(F.col("_metadata.file_name").isin([fresh[b] for b in met]))
-                merged = self._merged(self._rows([found["files"][b] for b in met]), own)
-                merged.write.mode("append").format("parquet").bucketBy(self.buckets, *_KEYS).sortBy(*_KEYS).saveAsTable(self.name)
-                new = self._by_bucket(f"{self.path}/data", before)
+                self._register(found)
+                own = self._bucketed(f"{folder}/batch", id_type).where(F.col("_metadata.file_name").isin([fresh[b] for b in met]))
+                self._put(self._merged(self._rows([found["files"][b] for b in met]), own), f"{folder}/merged")
+                moved |= {b: f"{folder}/merged/{n}" for b, n in self._by_bucket(f"{folder}/merged").items()}
             # Buckets that the ledger hasn't yet are taken over as they are.
-            for b in set(fresh) - set(met):
-                new[b] = fresh[b]
-                storage.rename(self.spark, f"{folder}/{fresh[b]}", f"{self.path}/data/{fresh[b]}")
-            self._commit(found, new, batch_id, rows)
+            for path in moved.values():
+                storage.rename(self.spark, path, f"{self.path}/data/{path.rsplit('/', 1)[1]}")
+            self._commit(found, {b: path.rsplit("/", 1)[1] for b, path in moved.items()}, batch_id, rows)
+            self._register(found)
         finally:
-            self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
+            for name in self._staged:
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self._staged.clear()
             storage.delete(self.spark, folder)
         return True
 
-    def _stage(self, batch: DataFrame, name: str, folder: str) -> int:
+    def _stage(self, batch: DataFrame, folder: str) -> int:
         """Write the batch's distinct keys in the ledger's buckets; the number of its records."""
         new = batch.where("key IS NOT NULL").groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("first_id"))
         if self.buckets != int(self.spark.conf.get("spark.sql.shuffle.partitions")):
             new = new.repartition(self.buckets, *_KEYS)  # one file a bucket
         told = Observation()
-        new = new.observe(told, F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"))
-        new.write.option("path", folder).bucketBy(self.buckets, *_KEYS).sortBy(*_KEYS).saveAsTable(name)
+        self._put(new.observe(told, F.coalesce(F.sum("copies"), F.lit(0)).alias("rows")), folder)
         return told.get["rows"]
 
+    def _put(self, df: DataFrame, folder: str) -> None:
+        name = f"{self.name}_{uuid.uuid4().hex}"
+        self._staged.append(name)
+        df.write.option("path", folder).bucketBy(self.buckets, *_KEYS).sortBy(*_KEYS).saveAsTable(name)
+
+    def _bucketed(self, folder: str, id_type: str) -> DataFrame:
+        name = f"{self.name}_{uuid.uuid4().hex}"
+        self._staged.append(name)
+        self._define(name, folder, id_type)
+        return self.spark.table(name)
+
     @staticmethod
     def _merged(old: DataFrame, new: DataFrame) -> DataFrame:
         o, n = old.alias("o"), new.alias("n")
@@ -155,8 +167,8 @@ class CopyLedger:
             F.least("o.first_id", "n.first_id").alias("first_id"),
         )
 
-    def _by_bucket(self, folder: str, but: set[str] = frozenset()) -> dict[str, str]:
-        return {_BUCKET.search(n)[1]: n for n in storage.file_names(self.spark, folder) if n not in but and _BUCKET.search(n)}
+    def _by_bucket(self, folder: str) -> dict[str, str]:
+        return {_BUCKET.search(n)[1]: n for n in storage.file_names(self.spark, folder) if _BUCKET.search(n)}
 
     def _commit(self, found: dict, new: dict[str, str], batch_id: str, rows: int) -> None:
         stale = [found["files"][b] for b in new if b in found["files"]]
@@ -166,7 +178,15 @@ class CopyLedger:
         for n in found["stale"]:
             storage.delete(self.spark, f"{self.path}/data/{n}")
         storage.delete(self.spark, f"{self.path}/manifests/{version - 2:09d}.json")
-        self.spark.catalog.refreshTable(self.name)
+
+    def vacuum(self) -> None:
+        """Remove what failed updates left behind. Not while another one runs."""
+        found = self._latest()
+        kept = {*found["files"].values(), *found["stale"]} if found else set()
+        for n in storage.file_names(self.spark, f"{self.path}/data"):
+            if n not in kept:
+                storage.delete(self.spark, f"{self.path}/data/{n}")
+        storage.delete(self.spark, f"{self.path}/staged")
 
     # Copies ---------------------------------------------------------------------------
 

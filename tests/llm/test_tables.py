@@ -57,6 +57,21 @@ def test_ledger_goes_on_where_it_was(spark, tmp_path):
     assert len(left - set(again._latest()["files"].values())) == 1  # what the last update replaced
     assert len(list((tmp_path / "ledger" / "manifests").glob("*.json"))) == 2 and not list((tmp_path / "ledger" / "staged").glob("*"))
 
+    def fails(*_):
+        raise RuntimeError
+
+    kept, sums = again._commit, lambda: sorted((r.first_id, r.copies) for r in CopyLedger(spark, path).entries.collect())
+    before, again._commit = sums(), fails
+    try:
+        again.update(rows([(7, "name 3")]), "lost")
+    except RuntimeError:
+        again._commit = kept
+    assert sums() == before
+    again.vacuum()
+    data = {p.name for p in (tmp_path / "ledger" / "data").glob("*.parquet")}
+    assert sums() == before and len(data) == len(left) and again.update(rows([(7, "name 3")]), "lost")
+    after = again._latest()["files"]
+
     old, new = again._rows(list(after.values())), again._rows(list(after.values()))
     plan = again._merged(old, new)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange" not in plan
