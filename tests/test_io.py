@@ -124,6 +124,21 @@ def test_documents_are_streamed(spark, tmp_path):
     assert (tmp_path / "d.tsv").read_text().splitlines()[-1] == "2\t\t9"
 
 
+def test_documents_on_another_file_system(spark, tmp_path, monkeypatch):
+    from refmine import storage
+
+    monkeypatch.setattr(storage, "local_path", lambda path: None)
+    df, path = spark.range(3).coalesce(1), f"file://{tmp_path}/far/d.json"
+    for n in range(3):
+        assert save_document(df, path, "x", {"n": n})
+    assert json.loads((tmp_path / "far" / "d.json").read_text()) == {"n": 2, "x": [{"id": i} for i in range(3)]}
+    assert (tmp_path / "far" / "d.json.backup").exists() and (tmp_path / "far" / "d.json.backup_1").exists() and not (tmp_path / "far" / "d.json.new").exists()
+    table = tmp_path / "far" / "t.tsv"
+    table.write_text("Citing Article\nhttp://x, http://x\n")
+    (tmp_path / "far" / ".t.tsv.crc").unlink(missing_ok=True)
+    assert rewrite_link_tables(spark, [f"file://{tmp_path}/far"], pattern="*.tsv") and table.read_text().splitlines()[1] == "http://x" and (tmp_path / "far" / "t.tsv.bak").exists()
+
+
 def test_conversion_by_own_schemas(spark, tmp_path):
     for i in range(5):
         write(tmp_path / "in" / f"{i}.jsonl", [{f"k{i}": i}])
