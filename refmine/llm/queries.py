@@ -130,7 +130,7 @@ WITH i AS (
 
 _SURVIVORS = f"""
 WITH RECURSIVE m AS (
-  SELECT record_id AS id, name, trust, updated_at AS tm, mention_ids, list_filter(list_distinct(variants), lambda x: {_BARE.format("x")} <> '') AS own,
+  SELECT record_id AS id, name, variants, trust, updated_at AS tm, mention_ids, list_filter(list_distinct(variants), lambda x: {_BARE.format("x")} <> '') AS own,
     list_filter(list_distinct(list_transform(list_append(coalesce(variants, []), name), lambda x: {_BARE.format("x")})), lambda x: x <> '') AS forms
   FROM merged_datasets
 ), f AS (SELECT id, unnest(forms) AS form FROM m), l AS (SELECT DISTINCT a.id AS x, b.id AS y FROM f a JOIN f b USING (form)),
@@ -159,6 +159,29 @@ n AS (SELECT item_id, w, least(12, len(w)) AS n FROM i WHERE len(w) > 0),
 g AS (SELECT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda k: array_to_string(w[k:k + n - 1], ' '))) AS gram FROM n),
 p AS (SELECT doc_id, s.n, unnest(list_transform(range(1, len(w) - s.n + 2), lambda k: array_to_string(w[k:k + s.n - 1], ' '))) AS gram FROM d, (SELECT DISTINCT n FROM n) s)
 SELECT DISTINCT doc_id, item_id FROM g JOIN p USING (n, gram)""",
+    "p6_records": _SURVIVORS + f""", q AS (
+  SELECT id, eid, row_number() OVER (PARTITION BY id ORDER BY c DESC NULLS LAST, d.tm DESC NULLS LAST, eid) AS n
+  FROM (SELECT group_id, id, unnest(list_distinct(mention_ids)) AS eid FROM r) JOIN d USING (eid) JOIN known USING (group_id, form)
+), pt AS (
+  SELECT r.group_id, r.id, r.name, r.variants, q.eid, coalesce({_BARE.format("r.name")} <> '', false) AS named, coalesce(len(r.own) > 0, false) AS spelled,
+    CAST(coalesce({_BARE.format("r.name")} <> '', false) AS INT) + CAST(coalesce(len(r.own) > 0, false) AS INT) + CAST(q.eid IS NOT NULL AS INT) AS filled,
+    coalesce(epoch_us(r.tm), -9223372036854775807) AS tm, coalesce(r.trust, -2147483648) AS trust
+  FROM r LEFT JOIN q ON q.id = r.id AND q.n = 1
+), dom AS (
+  SELECT y.id AS y, x.id AS x FROM pt y JOIN pt x ON x.group_id = y.group_id AND y.filled >= x.filled AND y.tm >= x.tm AND y.trust >= x.trust AND (y.filled > x.filled OR y.tm > x.tm OR y.trust > x.trust)
+), chain AS (SELECT id, 0 AS n FROM pt UNION SELECT dom.x, chain.n + 1 FROM chain JOIN dom ON dom.y = chain.id),
+layer AS (SELECT id, least(4, max(n)) AS layer FROM chain GROUP BY id),
+pick AS (
+  SELECT *, row_number() OVER (PARTITION BY group_id, named ORDER BY layer, trust DESC, tm DESC, id) AS by_name, row_number() OVER (PARTITION BY group_id, spelled ORDER BY layer, trust DESC, tm DESC, id) AS by_spelling,
+    row_number() OVER (PARTITION BY group_id, eid IS NOT NULL ORDER BY layer, trust DESC, tm DESC, id) AS by_text FROM pt JOIN layer USING (id)
+), x AS (
+  SELECT group_id, said.eid, min_by(e.value, e.key) AS description FROM pick JOIN said USING (eid) JOIN known USING (group_id)
+  WHERE eid IS NOT NULL AND by_text = 1 AND known.form = {_BARE.format("e.key")} AND {_BARE.format("e.value")} <> '' AND {_BARE.format("e.value")} NOT IN ({", ".join(repr(p) for p in PLACEHOLDERS)})
+  GROUP BY ALL
+)
+SELECT group_id, n.name, array_to_string(v.variants, ' | ') AS variants, x.description, n.layer AS name_layer, v.layer AS variants_layer, t.layer AS description_layer
+FROM (SELECT DISTINCT group_id FROM pt WHERE filled > 0) LEFT JOIN (SELECT * FROM pick WHERE named AND by_name = 1) n USING (group_id) LEFT JOIN (SELECT * FROM pick WHERE spelled AND by_spelling = 1) v USING (group_id)
+LEFT JOIN (SELECT * FROM pick WHERE eid IS NOT NULL AND by_text = 1) t USING (group_id) LEFT JOIN x USING (group_id)""",
     "p6_found": _SURVIVORS + " SELECT group_id, field_name, source_id FROM ranked WHERE n = 1",
     "p2_found": _KEYS + """
 SELECT * FROM (SELECT table_name, min(id) OVER (PARTITION BY table_name, k) AS first_id, id AS copy_id FROM keys) WHERE first_id <> copy_id""",
