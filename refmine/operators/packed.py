@@ -164,26 +164,30 @@ def scan_cells(cells: DataFrame) -> DataFrame:
     return cells.withColumn("_s", _scanned("_cell")).withColumns({"_values": F.col("_s.values"), "_scores": F.col("_s.scores")}).drop("_s")
 
 
-def infer_delimiters(scanned: DataFrame, min_score: float = 0.5, prior_pieces: int = 16) -> DataFrame:
+def infer_delimiters(scanned: DataFrame, min_score: float = 0.5, prior_pieces: int = 16, allowance: float = 0.1) -> DataFrame:
     """Accepted delimiters of each source: (_source, _field, _delimiters ARRAY<STRING>).
 
-    ``scanned`` comes from ``scan_cells``. A candidate's score in a source is the mean over
-    its cells of the share of regular pieces: each cell counts once, as two pieces, so no
-    long cell can reject a delimiter that the others use, and uneven counts don't matter. It
-    is smoothed with ``prior_pieces`` pieces of the field as a whole so that a source of few
-    cells can be judged. Scores are sums, so that a source that holds most rows
+    ``scanned`` comes from ``scan_cells``. A candidate's regularity in a source is the mean
+    over its cells of the share of regular pieces: each cell counts once, as two pieces, so
+    no long cell can reject a delimiter that the others use. It is smoothed with
+    ``prior_pieces`` pieces of the field as a whole so that a source of few cells can be
+    judged. Its consistency is near 1 where it occurs about as often in every cell, by the
+    spread of the logarithms of its counts; a consistent candidate may fall short of
+    ``min_score`` by up to ``allowance``, an inconsistent one needs no more than it. Scores are sums, so that a source that holds most rows
     leaves one row a task and candidate; they are written once and read by all later steps.
     """
     seen = scanned.select("_source", "_field", F.explode("_scores").alias("_s"))
     # Candidates with nothing but empty pieces around them tell nothing.
     n, reg = F.count_if(F.col("_s.pieces") > 0) * 2.0, F.sum(F.try_divide(F.col("_s.regular") * 2.0, F.col("_s.pieces")))
-    by_source = materialize(seen.groupBy("_source", "_field", F.col("_s.delimiter").alias("_d")).agg(n.alias("_n"), F.coalesce(reg, F.lit(0.0)).alias("_reg")), "delimiter-scores")
+    spread = F.var_pop(F.log2(F.col("_s.times") + F.lit(1.0)))
+    by_source = materialize(seen.groupBy("_source", "_field", F.col("_s.delimiter").alias("_d")).agg(n.alias("_n"), F.coalesce(reg, F.lit(0.0)).alias("_reg"), spread.alias("_spread")), "delimiter-scores")
     # One row a field and candidate at most: bounded by the fields and CANDIDATES.
     by_field = by_source.groupBy("_field", "_d").agg(F.try_divide(F.sum("_reg"), F.sum("_n")).alias("_usual"))
     score = (F.col("_reg") + prior_pieces * F.coalesce("_usual", F.lit(0.0))) / (F.col("_n") + prior_pieces)
+    consistency = F.col("_n") / (F.col("_n") + prior_pieces) / (1 + F.col("_spread"))
     return (
         by_source.join(F.broadcast(by_field), ["_field", "_d"])
-        .where(score >= min_score)
+        .where(score >= min_score - allowance * consistency)
         .groupBy("_source", "_field")
         .agg(F.sort_array(F.collect_set("_d")).alias("_delimiters"))
     )

@@ -65,6 +65,14 @@ def test_a_source_can_reject_a_delimiter(spark):
     assert got == {"t": [";"]}
 
 
+def test_alike_counts_make_up_for_some_odd_pieces(spark):
+    even = ["name a;0"] * 85 + ["0;0"] * 15
+    uneven = [";".join(["name a", "0"] * (1 << i % 7)) for i in range(85)] + ["0;0"] * 15
+    rows = [("even", "f", c) for c in even] + [("uneven", "f", c) for c in uneven]
+    got = {r[0]: r[2] for r in infer_delimiters(scan_cells(spark.createDataFrame(rows, "_source string, _field string, _cell string"))).collect()}
+    assert got == {"even": [";"]}
+
+
 def test_one_long_cell_rejects_nothing(spark):
     for odd in (20, 300, 700):
         long = "; ".join(["0"] * odd + [f"name {i}" for i in range(1000 - odd)])
