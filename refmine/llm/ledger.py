@@ -101,7 +101,7 @@ class CopyLedger:
     # Updates --------------------------------------------------------------------------
 
     def update(self, batch: DataFrame, batch_id: str | None = None) -> bool:
-        """Add a batch of (scope, key, id): one row a record. Null keys are left out; a batch may be empty.
+        """Add a batch of (scope, key, id): one row a record. Null scopes and keys are left out; a batch may be empty; other columns aren't read.
 
         A hot key is one row a task after partial aggregation. Ids repeat as often as they
         come. A ``batch_id`` that was counted before changes nothing: False. Only the batch's
@@ -139,7 +139,7 @@ class CopyLedger:
 
     def _stage(self, batch: DataFrame, folder: str) -> int:
         """Write the batch's distinct keys in the ledger's buckets; the number of its records."""
-        new = batch.where("key IS NOT NULL").groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("first_id"))
+        new = batch.where("scope IS NOT NULL AND key IS NOT NULL").groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("first_id"))
         if self.buckets != int(self.spark.conf.get("spark.sql.shuffle.partitions")):
             new = new.repartition(self.buckets, *_KEYS)  # one file a bucket
         told = Observation()

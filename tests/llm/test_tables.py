@@ -24,7 +24,8 @@ def test_ledger_over_batches(spark):
     batches = [numbered.where(F.col("n") == i).drop("n", "at") for i in range(3)]
     assert sum(b.count() for b in batches) == 2500
     ledger = CopyLedger(spark, buckets=4)
-    for b in [*batches, keyed.limit(0)]:
+    odd = keyed.limit(3).select(F.lit(None).cast("string").alias("scope"), "key", "id", F.lit(1).alias("copies"), F.lit(2).alias("first_id"))
+    for b in [*batches, keyed.limit(0), odd]:
         ledger.update(b)
     groups = defaultdict(list)
     for i, n, _ in rows:
