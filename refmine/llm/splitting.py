@@ -8,7 +8,6 @@ piece brings at least an eighth of the limit of new text wherever the boundaries
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -24,19 +23,48 @@ PARAGRAPH, LINE, SENTENCE, WORD, SLICE, INSIDE = "paragraph", "line", "sentence"
 PENALTY = {PARAGRAPH: 0.0, LINE: 0.05, SENTENCE: 0.15, WORD: 0.6, SLICE: 1.2, INSIDE: 2.0}
 _KINDS = list(PENALTY)
 _COSTS = np.array(list(PENALTY.values()))
-_PARAGRAPH = re.compile(r"(?:\r\n|[\n\r ])[^\S\n\r ]*(?:\r\n|[\n\r ])\s*| \s*")
-_LINE = re.compile(r"[\n\r \x85]\s*")
-_SENTENCE = re.compile(r"[.!?…]++[\"'”’»)\]]*+(?=\s)|[。！？]++[」』”’）)]*+")
 #: The overlap may miss the wanted one by so many tokens, for the sake of a word's beginning.
 _SLACK = 16
-_BLANK = np.array([chr(c).isspace() for c in range(0x3002)])
+# What a character is, one bit each: white space, a line break, a paragraph break, ends and closes a sentence (before white space, or by itself).
+_SPACE, _BREAK, _NEXT_LINE, _PARTING, _END, _CLOSE, _FULL_END, _FULL_CLOSE = (1 << i for i in range(8))
+_CLASSES = np.zeros(0x10000, np.uint8)
+_CLASSES[[c for c in range(0x3002) if chr(c).isspace()]] |= _SPACE
+for _bit, _chars in ((_BREAK, "\n\r\u2028"), (_NEXT_LINE, "\x85"), (_PARTING, "\u2029"), (_END, ".!?…"), (_CLOSE, "\"'”’»)]"), (_FULL_END, "。！？"), (_FULL_CLOSE, "」』”’）)")):
+    _CLASSES[[ord(c) for c in _chars]] |= _bit
 
 
-def _words(text: str, p: np.ndarray) -> np.ndarray:
-    """Whether white space or an end of the text is on either side of each position."""
-    blank = np.ones(len(text) + 2, bool)
-    blank[1:-1] = _BLANK[np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), len(_BLANK) - 1)]
-    return blank[p] | blank[p + 1]
+def natural_ends(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ends of paragraphs, of lines, of sentences, whether each character is white space), as places in the text.
+
+    A run of white space with a line break ends a line, and with two (CR LF is one) or a
+    paragraph separator a paragraph, where the run ends. A sentence ends behind its marks
+    and closing quotes, before white space; full-width marks need none.
+    """
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    kind = _CLASSES[np.minimum(points, 0xFFFF)]
+    blank = (kind & _SPACE).astype(bool)
+    edges = np.flatnonzero(np.diff(blank, prepend=False, append=False))
+    start, end = edges[::2], edges[1::2]
+
+    def within(mask: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(mask)])
+        return total[end] - total[start]
+
+    breaks = (kind & _BREAK).astype(bool)
+    lines = end[(within(breaks) > 0) | (within(kind & _NEXT_LINE > 0) > 0)]
+    single = breaks.copy()
+    single[1:] &= ~((points[1:] == 0x0A) & (points[:-1] == 0x0D))
+    paragraphs = end[(within(single) > 1) | (within(kind & _PARTING > 0) > 0)]
+    before = np.maximum.accumulate(np.where(kind & _CLOSE > 0, -1, np.arange(len(kind))))
+    first = start[start > 0]
+    last = before[first - 1]
+    sentences = [first[(last >= 0) & (kind[last] & _END > 0)]]
+    full = kind & _FULL_END > 0
+    if full.any():
+        marks = np.flatnonzero(full & ~np.append(full[1:], False)) + 1
+        stop = np.append(np.where(kind & _FULL_CLOSE > 0, len(kind), np.arange(len(kind))), len(kind))
+        sentences.append(np.minimum.accumulate(stop[::-1])[::-1][marks])
+    return paragraphs, lines, np.concatenate(sentences), blank
 
 
 def _boundaries(text: str, starts: list[int], ids: list[tuple], cap: int, merger: PairMerger):
@@ -48,13 +76,15 @@ def _boundaries(text: str, starts: list[int], ids: list[tuple], cap: int, merger
     p = np.array([*starts, len(text)], np.int64)
     k = np.array([0, *accumulate(map(len, ids))], np.int64)
     kind = np.full(len(p), -1, np.int8)
-    for number, pattern in ((2, _SENTENCE), (1, _LINE), (0, _PARAGRAPH)):
-        ends = np.fromiter((m.end() for m in pattern.finditer(text)), np.int64)
+    paragraphs, lines, sentences, blank = natural_ends(text)
+    for number, ends in ((2, sentences), (1, lines), (0, paragraphs)):
         # The last white space of a run may belong to the next slice: the cut is then before it.
         at = np.searchsorted(p, ends, "right") - 1
         kind[at] = number
     kind[0] = kind[-1] = 0
-    word = _words(text, p)
+    # White space or an end of the text on either side.
+    around = np.concatenate([[True], blank, [True]])
+    word = around[p] | around[p + 1]
 
     def gaps(chosen: np.ndarray):
         t = k[chosen]

@@ -1,9 +1,10 @@
 import os
 import random
+import re
 
 import pytest
 
-from refmine.llm.splitting import split_oversized, split_text
+from refmine.llm.splitting import natural_ends, split_oversized, split_text
 from refmine.llm.tokenizer import PairMerger, encode_slices, load_merger, vocabulary_path
 
 PATH = vocabulary_path()
@@ -50,6 +51,19 @@ def test_natural_boundaries_come_first():
     assert {p["cut"] for p in split_text(text, merger, 128, 16)[:-1]} == {"sentence"}
 
 
+def test_natural_ends_against_patterns():
+    paragraph = re.compile("(?>\\r\\n|[\\n\\r\u2028])[^\\S\\n\\r\u2028]*(?>\\r\\n|[\\n\\r\u2028])\\s*|\u2029\\s*")
+    line = re.compile("[\\n\\r\u2028\x85]\\s*")
+    sentence = re.compile("[.!?…]++[\"'”’»)\\]]*+(?=\\s)|[。！？]++[」』”’）)]*+")
+    rng = random.Random(9)
+    texts = [*samples(), *("".join(rng.choices("ab. \n\r\t\u2028\u2029\x85!?…\"')]。！」”😀\u3000", k=rng.randint(1, 60))) for _ in range(3000))]
+    for text in filter(None, texts):
+        found = natural_ends(text)
+        for pattern, ends in zip((paragraph, line, sentence), found):
+            assert sorted(set(ends.tolist())) == sorted({m.end() for m in pattern.finditer(text)}), (pattern, text)
+        assert found[3].tolist() == [c.isspace() for c in text]
+
+
 def test_overlap_is_about_as_wanted():
     merger = load_merger(PATH)
     text = " ".join(["One two three four five six seven eight nine ten."] * 200)
