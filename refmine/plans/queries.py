@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,11 +12,12 @@ from refmine.model.client import RuleClient
 from refmine.model.operator import RELEVANCE_TYPE, ask, extract_datasets, extraction_counters, extraction_rows, filter_relevant
 from refmine.model.responses import relevance_record
 from refmine.operators import consolidate as C, contexts as N, graph as G
-from refmine.plans.pipeline import ContextQuery, Store
+from refmine.plans.pipeline import ContextQuery, Store, export_contexts, extraction_document, merge_contexts
 from refmine.plans.rules import NAME_RULE, extraction_rule, relevance_rule
-from refmine.session import shared_dir, table
-from refmine.sinks.files import clean_columns
-from refmine.sources.jsonl import ingest_jsonl
+from refmine.session import materialize, shared_dir, table
+from refmine.sinks.files import clean_columns, rewrite_link_tables, save_tsv
+from refmine.sources.documents import read_contexts, read_extractions, read_tsv
+from refmine.sources.jsonl import convert_files, ingest_jsonl
 from refmine.sources.search import search_local
 from refmine.streaming.incremental import ingest_new_files, latest_by_key, windowed_counts
 
@@ -337,6 +339,38 @@ def relevance_filter(spark: SparkSession, folder: str) -> DataFrame:
     return filter_relevant(papers, lambda: RuleClient(relevance_rule("resources")), "resources").select("corpusid", "title")
 
 
+@query(_FOUND + " SELECT substr(context, 1, 500) AS context, array_to_string(names, '|') AS datasets, CASE WHEN len(names) = 1 THEN 0.9::DOUBLE ELSE 0.7::DOUBLE END AS confidence FROM r WHERE len(names) > 0")
+def extraction_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Extractions written as one document and read again."""
+    path = f"{shared_dir(spark)}/{_unique('extractions')}.json"
+    contexts = table(spark, folder, "citation_contexts").where("context <> ''").select(F.col("context_id").alias("ord"), "context", F.col("citing_paper_id").cast("string"), F.col("cited_paper_id").cast("string"))
+    extraction_document(materialize(extract_datasets(contexts, lambda: RuleClient(extraction_rule)), "extracted"), path, TOPIC, folder, datetime.now())
+    return read_extractions(spark, path).select("context", F.array_join("datasets", "|").alias("datasets"), "confidence")
+
+
+# Files ------------------------------------------------------------------------------------
+
+
+@query(f"""SELECT context, CAST(citing_paper_id AS VARCHAR) AS citing_paper_id, CAST(cited_paper_id AS VARCHAR) AS cited_paper_id FROM citation_contexts, range(2)
+WHERE citing_paper_id <> 0 AND cited_paper_id <> 0 AND regexp_matches(context, {_SOLID})""")
+def context_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All contexts exported in both directions, merged into one document, and read again."""
+    base, edges, titles = f"{shared_dir(spark)}/{_unique('contexts')}", _edges(spark, folder), _titles(spark, folder)
+    for direction in ("citing", "cited"):
+        export_contexts(edges, titles, direction, f"{base}/{direction}.json", TOPIC)
+    merge_contexts(spark, base, TOPIC)
+    return read_contexts(spark, f"{base}/all_contexts.json").select("context", "citing_paper_id", "cited_paper_id")
+
+
+@query("SELECT event_id, user_id, event_type FROM events")
+def converted_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Events in JSON Lines files, each converted to Parquet of its own, and read again."""
+    base = f"{shared_dir(spark)}/{_unique('convert')}"
+    table(spark, folder, "events").select("event_id", "user_id", "event_type").repartition(5, "event_id").write.option("compression", "gzip").json(base + "/in")
+    report = convert_files(spark, base + "/in", base + "/out", "event_id bigint, user_id bigint, event_type string", patterns=("*.json.gz",))
+    return spark.read.parquet(*[r.output for r in report if r.rows])
+
+
 # Text functions -----------------------------------------------------------------------------
 
 
@@ -387,6 +421,18 @@ def link_cell_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "analyzed_datasets").select("row_id", X.dedup_link_cell(thrice).alias("links"))
 
 
+@query(f"""WITH c AS (
+  SELECT row_id, list_filter(list_transform(string_split(citing_article || ', ' || citing_article, ','), lambda x: {_sql_trim("x")}), lambda x: x <> '') AS items FROM analyzed_datasets
+), k AS (SELECT *, list_transform(items, lambda x: {_KEY}) AS keys FROM c)
+SELECT CAST(row_id AS VARCHAR) AS row_id, nullif(array_to_string(list_filter(items, lambda x, i: list_position(keys, keys[i]) = i), ', '), '') AS links FROM k""")
+def link_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """A TSV table with every link twice, rewritten in its place and read again."""
+    base = f"{shared_dir(spark)}/{_unique('tables')}"
+    save_tsv(table(spark, folder, "analyzed_datasets").select("row_id", F.concat("citing_article", F.lit(", "), "citing_article").alias("Citing Article")), f"{base}/x_merged_analysis_table.tsv")
+    rewrite_link_tables(spark, [base])
+    return read_tsv(spark, f"{base}/x_merged_analysis_table.tsv").select("row_id", F.col("Citing Article").alias("links"))
+
+
 @query(rf"""SELECT corpusid, title, regexp_replace(regexp_replace(translate(lower(title), ' -/', '___'), '[^\p{{L}}\p{{N}}_]', '', 'g'), '^_+|_+$', '', 'g') || '_citing_contexts_100.json' AS file_name FROM papers""")
 def safe_filename(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "papers").select("corpusid", "title", X.context_file_name("title", "citing", 100).alias("file_name"))
