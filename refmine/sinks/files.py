@@ -67,9 +67,22 @@ def rotate_backup(path: str, spark: SparkSession | None = None) -> str | None:
     return target
 
 
+_SCALAR = json.JSONEncoder(ensure_ascii=False).encode
+
+
 def _json(value, depth: int) -> str:
     """Indented JSON of a value that stands so many blanks deep."""
-    return json.dumps(plain(value), ensure_ascii=False, indent=2).replace("\n", "\n" + " " * depth)
+    return _laid_out(plain(value), "\n" + " " * depth)
+
+
+def _laid_out(value, line: str) -> str:
+    """As the standard library with indent=2, whose fast encoder doesn't indent: it gets the scalars."""
+    if not value or not isinstance(value, (dict, list)):
+        return _SCALAR(value)
+    inner = line + "  "
+    if isinstance(value, dict):
+        return "{" + ",".join([f"{inner}{_SCALAR(k)}: {_laid_out(v, inner)}" for k, v in value.items()]) + line + "}"
+    return "[" + ",".join([inner + _laid_out(v, inner) for v in value]) + line + "]"
 
 
 def save_json(data, path: str, backup: bool = True) -> bool:

@@ -124,6 +124,12 @@ def test_documents_are_streamed(spark, tmp_path):
     assert (tmp_path / "d.tsv").read_text().splitlines()[-1] == "2\t\t9"
 
 
+def test_layout_of_json(tmp_path):
+    value = {"a": [], "b": {}, "c": [1, [2.5, None], {"d": "é\n\"", "e": True}], "": "", "z": {"y": [[]]}}
+    assert save_json(value, str(tmp_path / "x.json"))
+    assert (tmp_path / "x.json").read_text() == json.dumps(value, ensure_ascii=False, indent=2)
+
+
 def test_documents_on_another_file_system(spark, tmp_path, monkeypatch):
     from refmine import storage
 
