@@ -31,7 +31,7 @@ _WINDOW = 24
 #: Pairs of passages and windows that are looked at at once.
 _PAIRS = 500_000
 #: Share of a window's weight that is indexed beyond what a passage may lack.
-_MORE = 0.3
+_MORE = 0.15
 
 
 def words_of(text: str) -> list[str]:
