@@ -3,9 +3,12 @@ import unicodedata
 from collections import Counter, defaultdict
 from datetime import datetime
 
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from refmine.llm.ledger import CopyLedger, batch_numbers, canonical_items, canonical_text, key_digest
+from refmine.llm.queries import ORACLE
 from refmine.llm.survivors import Field, _peel, dominance_layers, layered_survivors, says_something, surviving_fields, surviving_records
 from refmine.llm.terms import BurstTrie, _bounds, _merged, _routed, term_frequencies
 
@@ -226,6 +229,33 @@ def test_surviving_fields(spark):
     assert surviving_fields(r.limit(0), e).count() == 0 and surviving_fields(r, e.limit(0)).count() == 3
 
 
+def test_fields_by_rule_make_no_layers(spark, tmp_path, monkeypatch):
+    """Layers can't change what each field's own policy picks, so none are made; odd qualities are ordered as in the SQL."""
+    duckdb = pytest.importorskip("duckdb")
+    rng = random.Random(9)
+    far = datetime(9990, 1, 1)
+    when = lambda: rng.choice([None, datetime(2024, 1, 1), far, far.replace(microsecond=1)])
+    records = []
+    for i in [-(2**63), 2**63 - 1, *range(-30, 170)]:
+        j = rng.randrange(40)
+        variants = rng.choice([None, [], [f"N{j}", f"n_{j}", None], [f"n{j}", "--"]])
+        records.append((i, rng.choice([None, "", f"n {j}", f"N {j}"]), variants, rng.choice([None, rng.sample(range(60), 6)]), rng.choice([None, 1, 2]), when()))
+    odd = [None, 0.5, 0.0, -0.0, float("nan"), float("inf"), float("-inf")]
+    extractions = [(i, {f"N-{rng.randrange(40)}": rng.choice(["text", "n/a", None]) for _ in range(20)}, rng.choice(odd), when()) for i in range(60)]
+    r = spark.createDataFrame(records, "record_id bigint, name string, variants array<string>, mention_ids array<bigint>, trust int, updated_at timestamp")
+    e = spark.createDataFrame(extractions, "extraction_id bigint, dataset_descriptions map<string,string>, confidence_score double, extracted_at timestamp")
+    db = duckdb.connect()
+    db.execute("SET timezone = 'UTC'")
+    for name, df in (("merged_datasets", r), ("extraction_results", e)):
+        pq.write_table(df.toArrow(), tmp_path / f"{name}.parquet")
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'")
+    want = db.execute(ORACLE["p6_found"]).fetchall()
+    monkeypatch.setattr("refmine.llm.survivors.layered_survivors", None)
+    got = surviving_fields(r, e)
+    assert len(want) > 50 and sorted(tuple(x) for x in got.collect()) == sorted(want)
+    assert "MapInArrow" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_placeholders(spark):
     df = spark.createDataFrame([(v,) for v in ("text", "N/A", "None.", "--", " ", None, "not available", "tbd", "?")], "v string")
     assert [r[0] for r in df.select(says_something("v")).collect()] == [True] + [False] * 8
