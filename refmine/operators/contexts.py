@@ -19,6 +19,10 @@ def from_merged(contexts: DataFrame, ord_column: str | None = None) -> DataFrame
     return contexts.where("context <> ''").select(*out)
 
 
+def _far_ends(elements: str, other: str) -> Column:
+    return F.transform(elements, lambda x: F.struct(truthy_id(x[other]).alias("far"), x["contexts"].alias("contexts")))
+
+
 def from_papers(papers: DataFrame, row_order: str, legacy_roles: bool = False, source: Column | None = None) -> DataFrame:
     """Rows of the papers format, one a context that isn't blank, with ord (row, list, element, context).
 
@@ -28,20 +32,18 @@ def from_papers(papers: DataFrame, row_order: str, legacy_roles: bool = False, s
     """
     paper = _first_truthy(F.col("corpusid"), F.col("cited_corpusid"))
     base = papers.select(F.col(row_order).alias("_row"), paper.alias("_paper"), "citations", "citing_papers")
-    branches = []
-    for number, (field, other) in enumerate((("citations", "cited_corpusid"), ("citing_papers", "citing_corpusid"))):
-        each = base.select("_row", "_paper", F.posexplode(field).alias("_e", "_x"))
-        flat = each.select("_row", "_paper", "_e", F.col(f"_x.{other}").alias("_other"), F.posexplode("_x.contexts").alias("_c", "context")).where(not_blank("context"))
-        far = truthy_id("_other")
-        paper_cites = field == "citations" or legacy_roles
-        branches.append(flat.select(
-            "context",
-            (F.col("_paper") if paper_cites else far).alias("citing_paper_id"),
-            (far if paper_cites else F.col("_paper")).alias("cited_paper_id"),
-            *([source.alias("source")] if source is not None else []),
-            F.struct(F.col("_row").alias("row"), F.lit(number).alias("list"), F.col("_e").alias("element"), F.col("_c").alias("context")).alias("ord"),
-        ))
-    return branches[0].unionByName(branches[1])
+    # Both lists in one pass: what the papers come from is read and parsed once.
+    lists = [_far_ends(field, other) for field, other in (("citations", "cited_corpusid"), ("citing_papers", "citing_corpusid"))]
+    each = base.select("_row", "_paper", F.posexplode(F.array(*lists)).alias("_l", "_list")).select("_row", "_paper", "_l", F.posexplode("_list").alias("_e", "_x"))
+    flat = each.select("_row", "_paper", "_l", "_e", F.col("_x.far").alias("_far"), F.posexplode("_x.contexts").alias("_c", "context")).where(not_blank("context"))
+    paper_cites = F.lit(True) if legacy_roles else F.col("_l") == 0
+    return flat.select(
+        "context",
+        F.when(paper_cites, F.col("_paper")).otherwise(F.col("_far")).alias("citing_paper_id"),
+        F.when(paper_cites, F.col("_far")).otherwise(F.col("_paper")).alias("cited_paper_id"),
+        *([source.alias("source")] if source is not None else []),
+        F.struct(F.col("_row").alias("row"), F.col("_l").alias("list"), F.col("_e").alias("element"), F.col("_c").alias("context")).alias("ord"),
+    )
 
 
 def edges_from_contexts(contexts: DataFrame) -> DataFrame:

@@ -15,10 +15,12 @@ from datetime import date, datetime
 from fnmatch import fnmatch
 from itertools import groupby
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from refmine import storage
 from refmine.functions.text import dedup_link_cell, finite
+from refmine.session import ship
 from refmine.sources.documents import read_tsv
 
 
@@ -99,24 +101,27 @@ def save_json(data, path: str, backup: bool = True) -> bool:
 def save_document(df: DataFrame, path: str, key: str, header: dict | None = None, backup: bool = True, within: str | None = None) -> bool:
     """One JSON document: the header's entries, then the rows under ``key``, in their order. False where it can't be written.
 
-    Rows pass through the driver one partition at a time, whatever their number. ``within``:
+    Rows pass through the driver one partition at a time, whatever their number; where all
+    are texts, whole numbers and truth values, as text that the tasks made. ``within``:
     a column of structs; consecutive rows that are equal in all others make one object, with
     their structs in a list of that name, also written as they come. ``path`` may be on any
     file system that Spark knows.
     """
     spark = df.sparkSession
-    rows = clean_columns(df).toLocalIterator()
+    by_spark = _plain_text(df.schema) and (within is None or len(df.columns) > 1)
+    rows = (_text_batches(df, within) if by_spark else clean_columns(df)).toLocalIterator()
+    write = _write_batches if by_spark else _write_rows if within is None else _write_groups
     try:
         with storage.TextFile(spark, path, (lambda: rotate_backup(path, spark)) if backup else None) as f:
             f.write("{\n" + "".join(f"  {json.dumps(k)}: {_json(v, 2)},\n" for k, v in (header or {}).items()) + f"  {json.dumps(key)}: [")
-            n = _write_rows(f, rows) if within is None else _write_groups(f, rows, within)
+            n = write(f, rows, within)
             f.write("\n  ]\n}" if n else "]\n}")
         return True
     except (OSError, TypeError, ValueError):
         return False
 
 
-def _write_rows(f: storage.TextFile, rows: Iterable) -> int:
+def _write_rows(f: storage.TextFile, rows: Iterable, _: None = None) -> int:
     n = 0
     for n, row in enumerate(rows, 1):
         f.write((",\n    " if n > 1 else "\n    ") + _json(row, 4))
@@ -133,6 +138,89 @@ def _write_groups(f: storage.TextFile, rows: Iterable, within: str) -> int:
     return n
 
 
+def _plain_text(kind: T.DataType) -> bool:
+    """Whether Spark writes values of a type as Python's JSON does."""
+    if isinstance(kind, T.StructType):
+        return 0 < len(kind) == len(set(kind.names)) and all(_plain_text(x.dataType) for x in kind)
+    if isinstance(kind, T.ArrayType):
+        return _plain_text(kind.elementType)
+    return type(kind) in (T.StringType, T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _quoted(c: Column) -> Column:
+    """A JSON string as Python's encoder writes it."""
+    text = F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    rare = text
+    for n in range(32):
+        rare = F.replace(rare, F.lit(chr(n)), F.lit(_SCALAR(chr(n))[1:-1]))
+    return F.concat(F.lit('"'), F.when(c.rlike(r"[\x00-\x1f]"), rare).otherwise(text), F.lit('"'))
+
+
+def _text(c: Column, kind: T.DataType, line: str) -> Column:
+    """``_laid_out`` as an expression."""
+    inner = line + "  "
+    if isinstance(kind, T.StructType):
+        fields = [p for i, x in enumerate(kind) for p in (F.lit(f"{',' if i else '{'}{inner}{_SCALAR(x.name)}: "), _text(c.getField(x.name), x.dataType, inner))]
+        out = F.concat(*fields, F.lit(line + "}"))
+    elif isinstance(kind, T.ArrayType):
+        each = F.transform(c, lambda x: F.concat(F.lit(inner), _text(x, kind.elementType, inner)))
+        out = F.when(F.size(c) == 0, F.lit("[]")).otherwise(F.concat(F.lit("["), F.array_join(each, ","), F.lit(line + "]")))
+    else:
+        out = _quoted(c) if isinstance(kind, T.StringType) else c.cast("string")
+    return F.when(c.isNull(), F.lit("null")).otherwise(out)
+
+
+def _opening(within: str) -> str:
+    return f",\n      {json.dumps(within)}: ["
+
+
+def _text_batches(df: DataFrame, within: str | None) -> DataFrame:
+    """(first, text, last): the text of consecutive rows; with ``within`` the first and the last object's own text, of which the text has what lies between."""
+    ship(df.sparkSession)
+
+    def text(names: list[str], line: str) -> Column:
+        return _text(F.struct(*[F.col(f"`{n}`") for n in names]), T.StructType([df.schema[n] for n in names]), line)
+
+    if within is None:
+        columns = [F.lit(None).cast("string").alias("own"), text(df.columns, "\n    ").alias("member")]
+    else:
+        own = F.expr("substr(own, 1, length(own) - 6)")
+        columns = [text([c for c in df.columns if c != within], "\n    ").alias("own"), _text(F.col(f"`{within}`"), df.schema[within].dataType, "\n        ").alias("member")]
+    texts = df.select(*columns)
+    if within is not None:
+        texts = texts.select(own.alias("own"), "member")
+    same, between = ",\n    " if within is None else ",\n        ", _opening(within or "")
+
+    def join(batches):
+        for b in batches:
+            owns, members = (c.cast(pa.binary()).to_pylist() for c in b.columns)
+            if not members:
+                continue
+            parts, was = [members[0]], owns[0]
+            for own, member in zip(owns[1:], members[1:]):
+                parts += (same.encode(), member) if own == was else (b"\n      ]\n    },\n    ", own, f"{between}\n        ".encode(), member)
+                was = own
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (owns[0], b"".join(parts), was)], ["first", "text", "last"])
+
+    return texts.mapInArrow(join, "first binary, text binary, last binary")
+
+
+def _write_batches(f: storage.TextFile, batches: Iterable, within: str | None) -> int:
+    n, was = 0, None
+    for n, b in enumerate(batches, 1):
+        if within is None:
+            f.write(",\n    " if n > 1 else "\n    ")
+        elif n > 1 and b.first == was:
+            f.write(",\n        ")
+        else:
+            f.write(("\n      ]\n    },\n    " if n > 1 else "\n    ") + b.first.decode("utf-8", "replace") + _opening(within) + "\n        ")
+        f.write(b.text.decode("utf-8", "replace"))
+        was = b.last
+    if n and within is not None:
+        f.write("\n      ]\n    }")
+    return n
+
+
 def save_tsv(df: DataFrame, path: str, keep: Callable[[], object] | None = None) -> None:
     """One TSV file with header, quoted where needed, null as empty, in the order of the rows, which pass as in ``save_document``."""
     with storage.TextFile(df.sparkSession, path, keep) as f:

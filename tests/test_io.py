@@ -216,3 +216,64 @@ def test_shared_folder_is_removed(spark):
     tidy(spark)
     assert not storage.exists(spark, was)
     assert materialize(spark.range(3), "x").count() == 3
+
+
+def test_documents_are_read_in_pieces(spark, tmp_path):
+    from refmine.plans.pipeline import merge_contexts
+
+    papers = [{"corpusid": i, "title": 'a"\\\u0001\n    {\n  ]é', "citations": [{"cited_corpusid": 10 * i + j, "contexts": [f"use {j}\n    {{", " "]} for j in range(i % 4)]} for i in range(1, 400)]
+    (tmp_path / "p.json").write_text(json.dumps({"query": "q", "papers": papers}, indent=2, ensure_ascii=False))
+    papers = [{"corpusid": 5, "citing_papers": [{"citing_corpusid": "7", "contexts": ["seven"]}, {"citing_corpusid": 8, "contexts": "no list"}]}, {"corpusid": {"x": 1}, "citing_papers": [{"citing_corpusid": 9, "contexts": ["nine"]}]}]
+    (tmp_path / "q.json").write_text(json.dumps({"papers": papers, "n": {"papers": 1}}, indent=2) + "\n")
+    want = [(f"use {j}\n    {{", str(i), str(10 * i + j)) for i in range(1, 400) for j in range(i % 4)]
+    tail = [("seven", "7", "5"), ("nine", "9", None)]
+    rows = lambda df: [(r.context, r.citing_paper_id, r.cited_paper_id) for r in df.orderBy("ord").collect()]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        one = read_contexts(spark, str(tmp_path / "p.json"))
+        assert one.select(F.spark_partition_id()).distinct().count() > 2 and rows(one) == want
+        assert rows(read_contexts(spark, str(tmp_path / "q.json"))) == tail
+        assert merge_contexts(spark, str(tmp_path), "q")
+        merged = read_contexts(spark, str(tmp_path / "all_contexts.json"))
+        assert merged.select(F.spark_partition_id()).distinct().count() > 2 and rows(merged) == want + tail
+        assert merge_contexts(spark, str(tmp_path), "q") and rows(read_contexts(spark, str(tmp_path / "all_contexts.json"))) == want + tail
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    there = json.loads((tmp_path / "all_contexts.json").read_text())
+    assert (tmp_path / "all_contexts.json").read_text() == json.dumps(there, ensure_ascii=False, indent=2)
+
+
+@pytest.mark.parametrize("text, found", [
+    ('{\n  "papers": [\n    {A},\n    {B}\n  ]\n}', "AB"),
+    ('{\n  "papers": [\n    {A},\n    {B}\n  ]\n', ""),
+    ('{\n  "papers": [\n    {A},\n    {B\n  ]\n}', ""),
+    ('{\n  "papers": [\n    {A} {A},\n    {B}\n  ]\n}', ""),
+    ('{\n  "papers": [\n    {A}, {C},\n    {B}\n  ]\n}', "ACB"),
+    ('{\n  "papers": [\n    {A},\n    null,\n    {B}\n  ], "x": [\n    {C}\n  ]\n}', "AB"),
+    ('{\n  "papers": [\n    {A}], "x": [{C},\n    {B}\n  ]\n}', "A"),
+    ('{\n  "x": [\n    {A}\n  ],\n  "papers": [\n    {B}\n  ]\n}', "B"),
+    ('{\n  "x": {\n  "papers": [\n    {A}\n  ]\n}}', ""),
+    ('{\n  "papers": [{A},\n    {B}\n  ]\n}', "AB"),
+    ('{\n "papers": [\n  {"corpusid": 1, "citations": [\n    {"cited_corpusid": 2, "contexts": ["A"]},\n    {"cited_corpusid": 2, "contexts": ["B"]}\n  ]}]}', "AB"),
+])
+def test_layouts_of_documents(spark, tmp_path, text, found):
+    for c in "ABC":
+        text = text.replace(f"{{{c}", f'{{"corpusid": 1, "citations": [{{"cited_corpusid": 2, "contexts": ["{c}"]}}]')
+    (tmp_path / "p.json").write_text(text)
+    assert "".join(r.context for r in read_contexts(spark, str(tmp_path / "p.json")).orderBy("ord").collect()) == found
+    assert "".join(r.context for r in read_context_files(spark, str(tmp_path)).orderBy("ord").collect()) == found
+
+
+def test_text_of_documents_made_by_spark(spark, tmp_path):
+    odd = "".join(map(chr, range(32))) + '"\\\x7f/é 😀\\u001f'
+    rows = [(1, odd, [odd, None], (True, [])), (1, odd, None, (None, [5, None])), (2, None, [], None), (None, "", ["x"], (False, None)), (None, "", ["y"], (False, None))]
+    df = spark.createDataFrame(rows, 'a int, `b"` string, c array<string>, d struct<e: boolean, f: array<bigint>>').coalesce(1)
+    path = tmp_path / "d.json"
+    want = [{"a": a, 'b"': b, "c": c, "d": d and {"e": d[0], "f": d[1]}} for a, b, c, d in rows]
+    assert save_document(df, str(path), "x", {}) and path.read_text() == json.dumps({"x": want}, ensure_ascii=False, indent=2)
+    for parts in (1, 5):
+        near = df.select("a", 'b"', F.struct("c", "d").alias("m")).repartitionByRange(parts, F.col("a").desc_nulls_last()) if parts > 1 else df.select("a", 'b"', F.struct("c", "d").alias("m"))
+        assert save_document(near, str(path), "x", {}, within="m")
+        got = json.loads(path.read_text())
+        assert path.read_text() == json.dumps(got, ensure_ascii=False, indent=2)
+        assert sorted(map(str, got["x"])) == sorted(map(str, [{"a": a, 'b"': b, "m": [{"c": w["c"], "d": w["d"]} for w in want if (w["a"], w['b"']) == (a, b)]} for a, b in ((1, odd), (2, None), (None, ""))]))
